@@ -276,3 +276,33 @@ FROM u_flags"""),
     "gold_alert_reason_counts": _q(TX_CHAIN + (KPIS, ALERTS), "SELECT alert_reason, "
                                    "CAST(count(*) AS BIGINT) AS n_alerts FROM alerts GROUP BY alert_reason"),
 }
+
+# --- streaming flows: the staged files must reproduce the fixture rows ----------------------
+TX_COLS = ("transaction_id, user_id, merchant_id, amount, transaction_type, channel, status, "
+           "currency, transaction_date, reference_id")
+NO_RESCUE = "CAST(NULL AS VARCHAR) AS _rescued_data"
+
+ORACLE_SQL.update({
+    "kpis_partitioned_roundtrip": ORACLE_SQL["gold_daily_kpis"],
+    "ingest_json_stream": _q([RAW_TX], f"SELECT *, {NO_RESCUE} FROM raw_tx"),
+    "ingest_parquet_stream": _q([RAW_TX], f"SELECT *, {NO_RESCUE} FROM raw_tx"),
+    # CSV inference types the small sequence numbers as int.
+    "ingest_csv_stream": _q([RAW_M], "SELECT CAST(_seq AS INTEGER) AS _seq, merchant_id, merchant_name, "
+                            "category, country, affiliation_date, status, risk_level, "
+                            f"{NO_RESCUE} FROM raw_m"),
+    "ingest_text_stream": _q([RAW_U], f"SELECT value, {NO_RESCUE} FROM raw_u"),
+    "ingest_source_file_lineage": _q([RAW_U], "SELECT CAST(count(*) AS BIGINT) AS n_rows, "
+                                     "CAST(count(*) AS BIGINT) AS n_with_source_file, "
+                                     "CAST(count(*) AS BIGINT) AS n_txt_files FROM raw_u"),
+    "ingest_schema_evolution": _q([RAW_TX], "SELECT *, CASE WHEN _seq >= 1000000000 "
+                                  f"THEN upper(trim(channel)) END AS device, {NO_RESCUE} FROM raw_tx"),
+    "ingest_rescued_data": _q([RAW_TX], "SELECT CASE WHEN _seq < 1000000000 THEN _seq END AS _seq, "
+                              f"{TX_COLS}, CASE WHEN _seq >= 1000000000 THEN "
+                              "'{\"_seq\":\"#' || CAST(_seq AS VARCHAR) || '\"}' END AS _rescued_data "
+                              "FROM raw_tx"),
+    "stream_dedup_across_batches": _q([RAW_TX], "SELECT DISTINCT transaction_id FROM raw_tx"),
+    "stream_quarantine_fan_in": _q(TX_CHAIN[:4] + M_CHAIN[:4],
+                                   "SELECT source_name, rejection_reason, record_key, record_reason "
+                                   f"FROM ({Q_TX}\nUNION ALL\n{Q_M})"),
+    "stream_silver_end_to_end": ORACLE_SQL["gold_daily_kpis"],
+})

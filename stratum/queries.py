@@ -15,6 +15,10 @@ from pyspark.sql import functions as F
 from stratum.functions.normalize import parse_amount, parse_date
 from stratum.plans import gold, merchants, transactions, users
 from stratum.sources import fixtures
+from stratum.sources.tables import overwrite, read_partitioned, read_path
+from stratum.streaming import flows, staging
+from stratum.streaming.flows import QUARANTINE
+from stratum.streaming.pipeline import KPI_TABLE, Pipeline
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -216,6 +220,120 @@ def gold_alert_reason_counts(spark, sf_dir):
         F.count(F.lit(1)).alias("n_alerts"))
 
 
+# --- streaming: landing files -> bronze -> silver -> gold ----------------------------------
+#
+# These stage the fixtures as landing files under the shared checkpoint folder
+# (a fresh run directory per call) and run the Structured Streaming flows with
+# an available-now trigger; the result is read back from the flows' tables.
+
+def _bronze_rows(spark, layout, source):
+    return flows.bronze_table(spark, layout, source).drop("_ingestion_timestamp", "_source_file")
+
+
+def _ingest_once(spark, sf_dir, source, fmt):
+    layout = staging.fresh_layout(spark, f"ingest_{fmt}")
+    raw = staging.FIXTURE_READERS[source](spark, sf_dir)
+    spec = staging.stage(spark, layout, source, raw, fmt)
+    flows.ingest(spark, layout, spec)
+    return layout
+
+
+def ingest_json_stream(spark, sf_dir):
+    """JSON array files -> typed bronze (inferred types, no misfits, lineage dropped)."""
+    return _bronze_rows(spark, _ingest_once(spark, sf_dir, "transactions", "json"), "transactions")
+
+
+def ingest_csv_stream(spark, sf_dir):
+    return _bronze_rows(spark, _ingest_once(spark, sf_dir, "merchants", "csv"), "merchants")
+
+
+def ingest_text_stream(spark, sf_dir):
+    return _bronze_rows(spark, _ingest_once(spark, sf_dir, "users", "text"), "users")
+
+
+def ingest_parquet_stream(spark, sf_dir):
+    return _bronze_rows(spark, _ingest_once(spark, sf_dir, "transactions", "parquet"),
+                        "transactions")
+
+
+def ingest_source_file_lineage(spark, sf_dir):
+    """Rows per landing file name as recorded by the ingest (lineage column)."""
+    layout = _ingest_once(spark, sf_dir, "users", "text")
+    b = flows.bronze_table(spark, layout, "users")
+    return b.agg(F.count(F.lit(1)).alias("n_rows"),
+                 F.count("_source_file").alias("n_with_source_file"),
+                 F.count_if(F.col("_source_file").endswith(".txt")).alias("n_txt_files"))
+
+
+def ingest_schema_evolution(spark, sf_dir):
+    """Second delivery carries a new column: it is appended, older rows read NULL."""
+    layout = staging.fresh_layout(spark, "ingest_schema_evolution")
+    raw = fixtures.raw_transactions(spark, sf_dir)
+    spec = staging.stage(spark, layout, "transactions", staging.first_copies(raw), "json")
+    flows.ingest(spark, layout, spec)
+    late = staging.late_copies(raw).withColumn("device", F.upper(F.trim("channel")))
+    staging.stage(spark, layout, "transactions", late, "json")
+    flows.ingest(spark, layout, spec)
+    return _bronze_rows(spark, layout, "transactions")
+
+
+def ingest_rescued_data(spark, sf_dir):
+    """Second delivery writes ``_seq`` as text: the value is rescued, not lost."""
+    layout = staging.fresh_layout(spark, "ingest_rescued_data")
+    raw = fixtures.raw_transactions(spark, sf_dir)
+    spec = staging.stage(spark, layout, "transactions", staging.first_copies(raw), "json")
+    flows.ingest(spark, layout, spec)
+    late = staging.late_copies(raw).withColumn("_seq", F.concat(F.lit("#"), F.col("_seq")))
+    staging.stage(spark, layout, "transactions", late, "json")
+    flows.ingest(spark, layout, spec)
+    return _bronze_rows(spark, layout, "transactions")
+
+
+def _two_delivery_silver(spark, sf_dir, name, sources=("transactions", "merchants")):
+    """Deliver first copies, run bronze+silver; deliver late copies, run again."""
+    layout = staging.fresh_layout(spark, name)
+    raws = {s: staging.FIXTURE_READERS[s](spark, sf_dir) for s in sources}
+    specs = [staging.spec_for(layout, s, staging.DEFAULT_FORMATS[s]) for s in sources]
+    pipe = Pipeline(spark, layout, specs, register_tables=False)
+    for pick in (staging.first_copies, staging.late_copies):
+        for s in sources:
+            staging.stage(spark, layout, s, pick(raws[s]), staging.DEFAULT_FORMATS[s])
+        pipe.run_bronze()
+        pipe.run_silver()
+    return layout, pipe
+
+
+def stream_dedup_across_batches(spark, sf_dir):
+    """Keys of the streamed validated table: later copies were dropped by state."""
+    layout, _ = _two_delivery_silver(spark, sf_dir, "stream_dedup", ("transactions",))
+    v = read_path(spark, layout.table_path("silver.transactions_validated"))
+    return v.select("transaction_id")
+
+
+def stream_quarantine_fan_in(spark, sf_dir):
+    layout, _ = _two_delivery_silver(spark, sf_dir, "stream_quarantine")
+    q = read_path(spark, layout.table_path(QUARANTINE))
+    return _quarantine_fields(q).select("source_name", "rejection_reason", "record_key",
+                                        "record_reason")
+
+
+def stream_silver_end_to_end(spark, sf_dir):
+    """Landing files -> bronze -> silver streams -> gold KPIs (batch) = batch KPIs."""
+    layout, pipe = _two_delivery_silver(spark, sf_dir, "stream_e2e", ("transactions",))
+    pipe.run_gold()
+    kpis = read_path(spark, layout.table_path(KPI_TABLE))
+    return kpis.drop("_processed_at")
+
+
+def kpis_partitioned_roundtrip(spark, sf_dir):
+    """KPI table written partitioned by date and read back whole."""
+    layout = staging.fresh_layout(spark, "kpis_partitioned")
+    kpis = _kpis(spark, sf_dir)
+    path = layout.table_path(KPI_TABLE)
+    overwrite(kpis, path, partition_by=("transaction_date",))
+    return read_partitioned(spark, path, kpis.columns)
+
+
 QUERIES: dict[str, Query] = {
     "tx_parse_amount": tx_parse_amount,
     "tx_fold_and_recode": tx_fold_and_recode,
@@ -250,4 +368,15 @@ QUERIES: dict[str, Query] = {
     "gold_merchant_risk_summary": gold_merchant_risk_summary,
     "gold_fraud_alerts": gold_fraud_alerts,
     "gold_alert_reason_counts": gold_alert_reason_counts,
+    "kpis_partitioned_roundtrip": kpis_partitioned_roundtrip,
+    "ingest_json_stream": ingest_json_stream,
+    "ingest_csv_stream": ingest_csv_stream,
+    "ingest_text_stream": ingest_text_stream,
+    "ingest_parquet_stream": ingest_parquet_stream,
+    "ingest_source_file_lineage": ingest_source_file_lineage,
+    "ingest_schema_evolution": ingest_schema_evolution,
+    "ingest_rescued_data": ingest_rescued_data,
+    "stream_dedup_across_batches": stream_dedup_across_batches,
+    "stream_quarantine_fan_in": stream_quarantine_fan_in,
+    "stream_silver_end_to_end": stream_silver_end_to_end,
 }

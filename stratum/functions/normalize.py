@@ -56,9 +56,26 @@ def parse_amount(c: ColumnOrName) -> Column:
 
 
 def parse_date(c: ColumnOrName, formats: Sequence[str] = ("yyyy-MM-dd", "dd/MM/yyyy")) -> Column:
-    """First format that parses wins; NULL when none does (strict, no error)."""
+    """First format that parses wins; NULL when none does (strict, no error).
+
+    Each attempt is guarded by the format's literal separators being present
+    in the text - a necessary condition for the parse to succeed, so results
+    are unchanged - which skips the costly failed-parse path for rows written
+    in another format.
+    """
     col = _col(c)
-    return F.coalesce(*[F.try_to_date(col, fmt) for fmt in formats])
+    attempts = []
+    for fmt in formats:
+        parsed = F.try_to_date(col, fmt)
+        literals = sorted({ch for ch in fmt if not ch.isalpha() and ch != "'"})
+        if literals:
+            guard = None
+            for ch in literals:
+                g = col.contains(ch)
+                guard = g if guard is None else guard & g
+            parsed = F.when(guard, parsed)
+        attempts.append(parsed)
+    return F.coalesce(*attempts)
 
 
 def parse_date_gated(c: ColumnOrName, shapes: Sequence[tuple[str, str]]) -> Column:

@@ -74,7 +74,8 @@ def dedup(df: DataFrame, batch_order: str | None = "_seq") -> DataFrame:
 
 
 def validate(bronze: DataFrame, batch_order: str | None = "_seq") -> DataFrame:
-    return dedup(normalize(bronze), batch_order).withColumn(REASON, rejection_reason())
+    """Deduplicate on the raw key, then normalise (same rows; see transactions)."""
+    return normalize(dedup(bronze, batch_order)).withColumn(REASON, rejection_reason())
 
 
 def clean(validated: DataFrame) -> DataFrame:

@@ -93,8 +93,14 @@ def dedup(df: DataFrame, batch_order: str | None = "_seq") -> DataFrame:
 
 
 def validate(bronze: DataFrame, batch_order: str | None = "_seq") -> DataFrame:
-    """bronze -> silver.transactions_validated (all deduplicated rows + reason)."""
-    return dedup(normalize(bronze), batch_order).withColumn(REASON, rejection_reason())
+    """bronze -> silver.transactions_validated (all deduplicated rows + reason).
+
+    The source pipeline normalises, then deduplicates on the raw key.  Since
+    normalisation is row-wise and touches neither the key nor the arrival
+    order, deduplicating first gives the same rows and moves the parsing after
+    the shuffle, onto surviving rows only.
+    """
+    return normalize(dedup(bronze, batch_order)).withColumn(REASON, rejection_reason())
 
 
 def clean(validated: DataFrame) -> DataFrame:

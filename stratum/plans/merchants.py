@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 
 from stratum.functions.normalize import fold, parse_date, recode
 from stratum.functions.rules import first_failure
+from stratum.operators.conform import ensure_columns
 from stratum.operators.dedup import dedup_first, dedup_stream
 from stratum.operators.quality import REASON, quarantine_envelope, rejected_rows, valid_rows
 
 SOURCE_NAME = "merchants"
+RAW_COLUMNS = ("merchant_id", "merchant_name", "category", "country", "affiliation_date",
+               "status", "risk_level")
 KEY = "merchant_id"
 
 # ---------------------------------------------------------------------------
@@ -75,7 +78,8 @@ def dedup(df: DataFrame, batch_order: str | None = "_seq") -> DataFrame:
 
 def validate(bronze: DataFrame, batch_order: str | None = "_seq") -> DataFrame:
     """Deduplicate on the raw key, then normalise (same rows; see transactions)."""
-    return normalize(dedup(bronze, batch_order)).withColumn(REASON, rejection_reason())
+    raw = ensure_columns(bronze, RAW_COLUMNS)
+    return normalize(dedup(raw, batch_order)).withColumn(REASON, rejection_reason())
 
 
 def clean(validated: DataFrame) -> DataFrame:

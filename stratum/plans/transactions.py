@@ -12,10 +12,13 @@ from pyspark.sql import functions as F
 
 from stratum.functions.normalize import fold, parse_amount, parse_date, recode
 from stratum.functions.rules import first_failure
+from stratum.operators.conform import ensure_columns
 from stratum.operators.dedup import dedup_first, dedup_stream
 from stratum.operators.quality import REASON, quarantine_envelope, rejected_rows, valid_rows
 
 SOURCE_NAME = "transactions"
+RAW_COLUMNS = ("transaction_id", "user_id", "merchant_id", "amount", "transaction_type",
+               "channel", "status", "currency", "transaction_date", "reference_id")
 KEY = "transaction_id"
 
 # ---------------------------------------------------------------------------
@@ -100,7 +103,8 @@ def validate(bronze: DataFrame, batch_order: str | None = "_seq") -> DataFrame:
     order, deduplicating first gives the same rows and moves the parsing after
     the shuffle, onto surviving rows only.
     """
-    return normalize(dedup(bronze, batch_order)).withColumn(REASON, rejection_reason())
+    raw = ensure_columns(bronze, RAW_COLUMNS)
+    return normalize(dedup(raw, batch_order)).withColumn(REASON, rejection_reason())
 
 
 def clean(validated: DataFrame) -> DataFrame:

@@ -21,13 +21,16 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from stratum.plans import gold, merchants, transactions, users  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+from stratum.plans import gold, merchants, transactions  # noqa: E402
 from stratum.session import build_session, shared_path  # noqa: E402
 from stratum.sources import fixtures  # noqa: E402
 from stratum.sources.landing import write_json_arrays  # noqa: E402
 from stratum.sources.registry import SourceSpec  # noqa: E402
 from stratum.sources.tables import Layout  # noqa: E402
 from stratum.streaming import flows  # noqa: E402
+from stratum.streaming.pipeline import Pipeline  # noqa: E402
 
 
 def consume(df) -> None:
@@ -97,15 +100,15 @@ def main() -> None:
     def q_merchants_validate():
         consume(merchants.validate(rd("bronze", "merchants")))
 
+    users_layout = Layout(p("users_pipeline"))
+    fixtures.raw_users(spark, sf_dir).withColumn("_source_file", F.lit("users.txt")) \
+        .write.parquet(users_layout.table_path("bronze.users"))
+    users_pipe = Pipeline(spark, users_layout, [], register_tables=False)
+
     def q_users():
-        raw = rd("bronze", "users")
-        fields, bad = users.split_lines(raw, keep=("_seq",))
-        flagged = users.flags(users.normalize(fields))
-        good, rejected = users.clean_and_quarantine(flagged)
-        consume(good)
-        consume(rejected)
-        consume(bad)
-        consume(users.summary(flagged))
+        # As the pipeline runs it: flags computed once and persisted, then the
+        # clean table, both quarantines and the DQ report are derived from it.
+        consume(users_pipe.run_users())
 
     counter = {"n": 0}
 

@@ -2,8 +2,9 @@
 additive schema evolution, rescued values and file lineage.
 
 How a run works (``bronze_stream``):
-  1. infer a typed schema from the files now in the landing folder (a batch
-     read, distributed; ``samplingRatio`` bounds it on huge folders);
+  1. infer a typed schema from the landing files not seen by an earlier run
+     (listed with Spark's ``binaryFile`` source and anti-joined with the set
+     of merged files kept beside the schema; ``samplingRatio`` bounds it);
   2. merge it into the schema persisted at ``schema_location``: known columns
      keep their first type, new columns are appended (add-new-columns
      evolution); persist the result;
@@ -21,6 +22,7 @@ schema resumes from the same checkpoint.
 from __future__ import annotations
 
 import json
+import os
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,21 +52,60 @@ def reader_options(spec: SourceSpec) -> dict:
     return opts
 
 
-def infer_schema(spark: SparkSession, spec: SourceSpec, sampling_ratio: float = 1.0
-                 ) -> T.StructType | None:
-    """Typed schema of the files currently in the landing folder (None if empty)."""
+def _not_found(exc: Exception) -> bool:
+    msg = str(exc)
+    return "PATH_NOT_FOUND" in msg or "UNABLE_TO_INFER_SCHEMA" in msg
+
+
+def list_files(spark: SparkSession, path: str) -> DataFrame | None:
+    """Data files under ``path`` (hidden and marker files excluded), as a frame.
+
+    Spark's ``binaryFile`` source lists in a distributed way; only the path is
+    selected, so no file content is read.
+    """
+    try:
+        return spark.read.format("binaryFile").load(path).select("path")
+    except Exception as exc:
+        if _not_found(exc):
+            return None
+        raise
+
+
+def _seen_files_path(spec: SourceSpec) -> str:
+    return os.path.join(spec.schema_location, "files")
+
+
+def unseen_files(spark: SparkSession, spec: SourceSpec) -> DataFrame | None:
+    """Landing files whose schema has not been merged yet (exact, by path)."""
+    listing = list_files(spark, spec.source_path)
+    if listing is None:
+        return None
+    try:
+        seen = spark.read.parquet(_seen_files_path(spec))
+    except Exception as exc:
+        if _not_found(exc):
+            return listing
+        raise
+    return listing.join(seen, "path", "left_anti")
+
+
+def infer_schema(spark: SparkSession, spec: SourceSpec, paths: list[str] | None = None,
+                 sampling_ratio: float = 1.0) -> T.StructType | None:
+    """Typed schema of ``paths`` (default: the whole landing folder); None if no files."""
     fmt = spec.file_format
     if fmt == "text":
         return T.StructType([T.StructField("value", T.StringType())])
+    if paths is not None and not paths:
+        return None
     reader = spark.read.options(**reader_options(spec))
     if fmt in ("json", "csv"):
         reader = reader.option("samplingRatio", sampling_ratio)
     if fmt == "csv":
         reader = reader.option("inferSchema", "true")
     try:
-        schema = reader.format(fmt).load(spec.source_path).schema
+        schema = reader.format(fmt).load(paths if paths is not None else spec.source_path).schema
     except Exception as exc:  # empty or missing landing folder
-        if "PATH_NOT_FOUND" in str(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc):
+        if _not_found(exc):
             return None
         raise
     return T.StructType([f for f in schema.fields if f.name != "_corrupt_record"])
@@ -81,11 +122,15 @@ def merge_schemas(persisted: T.StructType | None, inferred: T.StructType | None)
     return T.StructType(list(persisted.fields) + extra)
 
 
+def _schema_path(location: str) -> str:
+    return os.path.join(location, "schema")
+
+
 def load_schema(spark: SparkSession, location: str) -> T.StructType | None:
     try:
-        rows = spark.read.text(location).collect()  # one small JSON document
+        rows = spark.read.text(_schema_path(location)).collect()  # one small JSON document
     except Exception as exc:
-        if "PATH_NOT_FOUND" in str(exc):
+        if _not_found(exc):
             return None
         raise
     if not rows:
@@ -96,15 +141,30 @@ def load_schema(spark: SparkSession, location: str) -> T.StructType | None:
 def save_schema(spark: SparkSession, location: str, schema: T.StructType) -> None:
     """Persist through Spark's file layer so any shared file system works."""
     spark.createDataFrame([(schema.json(),)], "value string").coalesce(1) \
-        .write.mode("overwrite").text(location)
+        .write.mode("overwrite").text(_schema_path(location))
 
 
 def evolve_schema(spark: SparkSession, spec: SourceSpec, sampling_ratio: float = 1.0
                   ) -> T.StructType:
+    """Merge the schema of files not seen before into the persisted schema.
+
+    Only new files are read for inference (the set of merged files is kept
+    next to the schema), so the cost of a run follows the new data, not the
+    history of the landing folder.  Text sources have a fixed schema.
+    """
     persisted = load_schema(spark, spec.schema_location)
-    merged = merge_schemas(persisted, infer_schema(spark, spec, sampling_ratio))
+    if spec.file_format == "text":
+        inferred, fresh = infer_schema(spark, spec), None
+    else:
+        fresh = unseen_files(spark, spec)
+        paths = [] if fresh is None else [r.path for r in fresh.collect()]  # new file names
+        inferred = infer_schema(spark, spec, paths, sampling_ratio)
+    merged = merge_schemas(persisted, inferred)
     if persisted is None or merged != persisted:
         save_schema(spark, spec.schema_location, merged)
+    if fresh is not None and paths:
+        spark.createDataFrame([(p,) for p in paths], "path string") \
+            .write.mode("append").parquet(_seen_files_path(spec))
     return merged
 
 

@@ -89,6 +89,40 @@ def unseen_files(spark: SparkSession, spec: SourceSpec) -> DataFrame | None:
     return listing.join(seen, "path", "left_anti")
 
 
+def csv_headers(spark: SparkSession, spec: SourceSpec, paths: list[str]) -> dict[str, list[str]]:
+    """First line of each CSV file, grouped: {header line: [paths]}.
+
+    Read as text; a file's first line is the lowest-numbered row of the split
+    that starts at offset 0 (row ids increase in read order within a task).
+    Only the distinct headers and their file lists come back to the driver.
+    """
+    lines = spark.read.text(paths).select(
+        "value", F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("i"))
+    first = (lines.filter(F.col("start") == 0).groupBy("path")
+             .agg(F.min_by("value", "i").alias("header")))
+    groups = first.groupBy("header").agg(F.collect_list("path").alias("paths")).collect()
+    return {r.header: list(r.paths) for r in groups}
+
+
+def _header_names(header: str, sep: str) -> list[str]:
+    return [h.strip().strip('"') for h in header.split(sep)]
+
+
+def _check_positional(schema: T.StructType, groups: dict[str, list[str]], sep: str) -> None:
+    """Positional CSV reading is exact only when each header is a prefix of the schema."""
+    names = [f.name.lower() for f in schema.fields]
+    for header, files in groups.items():
+        cols = [c.lower() for c in _header_names(header, sep)]
+        if cols != names[:len(cols)]:
+            raise ValueError(
+                "CSV header does not match the column order of the table "
+                f"({', '.join(names)}): {header!r} in {len(files)} file(s), e.g. {files[0]}. "
+                "Positional reading would misplace values; write such files with the "
+                "table's column order (new columns last) or ingest them as a separate source.")
+
+
 def infer_schema(spark: SparkSession, spec: SourceSpec, paths: list[str] | None = None,
                  sampling_ratio: float = 1.0) -> T.StructType | None:
     """Typed schema of ``paths`` (default: the whole landing folder); None if no files."""
@@ -153,16 +187,29 @@ def evolve_schema(spark: SparkSession, spec: SourceSpec, sampling_ratio: float =
     history of the landing folder.  Text sources have a fixed schema.
     """
     persisted = load_schema(spark, spec.schema_location)
+    fresh, paths = None, []
     if spec.file_format == "text":
-        inferred, fresh = infer_schema(spark, spec), None
+        inferred = infer_schema(spark, spec)
     else:
         fresh = unseen_files(spark, spec)
         paths = [] if fresh is None else [r.path for r in fresh.collect()]  # new file names
-        inferred = infer_schema(spark, spec, paths, sampling_ratio)
+        groups = None
+        if spec.file_format == "csv" and paths:
+            # Files with different headers are inferred per header group (the
+            # CSV reader takes one header for all files it reads together).
+            groups = csv_headers(spark, spec, paths)
+            inferred = None
+            for _, group_paths in sorted(groups.items()):
+                inferred = merge_schemas(inferred, infer_schema(spark, spec, group_paths,
+                                                                sampling_ratio))
+        else:
+            inferred = infer_schema(spark, spec, paths, sampling_ratio)
     merged = merge_schemas(persisted, inferred)
+    if spec.file_format == "csv" and groups:
+        _check_positional(merged, groups, spec.options.get("delimiter", ","))
     if persisted is None or merged != persisted:
         save_schema(spark, spec.schema_location, merged)
-    if fresh is not None and paths:
+    if spec.file_format != "text" and fresh is not None and paths:
         spark.createDataFrame([(p,) for p in paths], "path string") \
             .write.mode("append").parquet(_seen_files_path(spec))
     return merged

@@ -154,3 +154,23 @@ def test_catalog_registration(spark, run_dir):
              .collect()}
     assert props.get("quality") == "gold"
     assert spark.read.table("silver.quarantine").count() == 0
+
+
+def test_csv_header_groups(spark, run_dir):
+    import pytest
+    layout = Layout(run_dir)
+    m = spec(layout, "merchants", "csv")
+    cols = "_seq int, merchant_id string, category string"
+    write_csv(spark.createDataFrame([(1, "MCH-00001", "retail")], cols), m.source_path)
+    flows.ingest(spark, layout, m)
+    # A later file with an extra trailing column: positional reading is exact.
+    write_csv(spark.createDataFrame([(2, "MCH-00002", "moda", "PE")], cols + ", country string"),
+              m.source_path)
+    flows.ingest(spark, layout, m)
+    rows = {r._seq: r for r in flows.bronze_table(spark, layout, "merchants").collect()}
+    assert rows[1].country is None and rows[2].country == "PE" and rows[2].category == "moda"
+    # A file with the columns in another order is refused, not misread.
+    write_csv(spark.createDataFrame([("MCH-00003", 3, "salud")],
+                                    "merchant_id string, _seq int, category string"), m.source_path)
+    with pytest.raises(ValueError, match="column order"):
+        flows.ingest(spark, layout, m)

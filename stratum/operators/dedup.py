@@ -11,7 +11,14 @@ exchange instead of landing whole in a single sort task.
 Streaming (``dedup_stream``): ``dropDuplicates`` on the key; Spark keeps the
 set of seen keys in the state store across micro-batches and restarts, so a
 copy arriving in a later batch is dropped.  Which copy survives *within* one
-micro-batch is unspecified, as in the source pipeline.
+micro-batch is unspecified, as in the source pipeline.  With ``salt_buckets``
+the dedup runs in two levels so a hot key does not land whole in one state
+partition: level 1 drops duplicates of (key, hash(payload) mod S), spreading a
+hot key over S partitions; level 2 drops duplicates of the key and receives at
+most S rows per key over the whole stream.  The surviving row per key is a
+first-seen copy either way (a copy in a later batch always meets the level-2
+state), so results are unchanged.  The setting is part of the checkpointed
+plan: choose it before the first run.
 """
 
 from __future__ import annotations
@@ -34,9 +41,16 @@ def dedup_first(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     return picked.select(*keys, *[F.col(f"_first.{c}").alias(c) for c in payload]).select(*df.columns)
 
 
-def dedup_stream(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def dedup_stream(df: DataFrame, keys: Sequence[str], salt_buckets: int | None = None,
+                 exclude_from_salt: Sequence[str] = ("_ingestion_timestamp",)) -> DataFrame:
     """Streaming first-seen dedup with unbounded key state (no watermark)."""
-    return df.dropDuplicates(list(keys))
+    keys = list(keys)
+    if salt_buckets and salt_buckets > 1:
+        payload = [c for c in df.columns if c not in keys and c not in exclude_from_salt]
+        digest = F.xxhash64(*[F.col(c) for c in payload]) if payload else F.lit(0)
+        df = (df.withColumn("_dedup_salt", F.pmod(digest, F.lit(salt_buckets)))
+              .dropDuplicates(keys + ["_dedup_salt"]).drop("_dedup_salt"))
+    return df.dropDuplicates(keys)
 
 
 def dedup_stream_within_watermark(df: DataFrame, keys: Sequence[str], event_time: str,

@@ -70,16 +70,18 @@ def rejection_reason():
     ])
 
 
-def dedup(df: DataFrame, batch_order: str | None = "_seq") -> DataFrame:
+def dedup(df: DataFrame, batch_order: str | None = "_seq",
+          salt_buckets: int | None = None) -> DataFrame:
     if df.isStreaming or batch_order is None:
-        return dedup_stream(df, [KEY])
+        return dedup_stream(df, [KEY], salt_buckets)
     return dedup_first(df, [KEY], batch_order)
 
 
-def validate(bronze: DataFrame, batch_order: str | None = "_seq") -> DataFrame:
+def validate(bronze: DataFrame, batch_order: str | None = "_seq",
+             salt_buckets: int | None = None) -> DataFrame:
     """Deduplicate on the raw key, then normalise (same rows; see transactions)."""
     raw = ensure_columns(bronze, RAW_COLUMNS)
-    return normalize(dedup(raw, batch_order)).withColumn(REASON, rejection_reason())
+    return normalize(dedup(raw, batch_order, salt_buckets)).withColumn(REASON, rejection_reason())
 
 
 def clean(validated: DataFrame) -> DataFrame:

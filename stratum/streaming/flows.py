@@ -45,6 +45,9 @@ class FlowOptions:
     processing_time: str | None = None  # or run continuously on this interval
     max_files_per_trigger: int | None = None
     sampling_ratio: float = 1.0
+    # Two-level salted streaming dedup (hot keys spread over this many state
+    # partitions); None = single dropDuplicates.  Fixed once checkpointed.
+    dedup_salt_buckets: int | None = 16
 
 
 def _start(df: DataFrame, path: str, checkpoint: str, name: str, opts: FlowOptions,
@@ -85,7 +88,7 @@ def validated(spark: SparkSession, layout: Layout, entity: str,
     opts = opts or FlowOptions()
     plan = ENTITIES[entity]
     src = stream_path(spark, layout.table_path(f"bronze.{entity}"))
-    out = plan.validate(src, batch_order=None)
+    out = plan.validate(src, batch_order=None, salt_buckets=opts.dedup_salt_buckets)
     q = _start(out, layout.table_path(f"silver.{entity}_validated"),
                layout.checkpoint(f"silver_{entity}_validated"), f"silver_{entity}_validated", opts)
     return _finish(spark, q, opts)

@@ -174,3 +174,33 @@ def test_csv_header_groups(spark, run_dir):
                                     "merchant_id string, _seq int, category string"), m.source_path)
     with pytest.raises(ValueError, match="column order"):
         flows.ingest(spark, layout, m)
+
+
+def test_salted_stream_dedup_hot_null_key(spark, run_dir):
+    from stratum.operators.dedup import dedup_stream
+    src = os.path.join(run_dir, "src")
+    cols = "k string, seq long, v string"
+    rows = [(None, i, f"v{i % 50}") for i in range(400)] + [("a", 1000, "x"), ("a", 1001, "y")]
+    spark.createDataFrame(rows, cols).write.parquet(src)
+    schema = spark.read.parquet(src).schema
+
+    def run():
+        out = dedup_stream(spark.readStream.schema(schema).parquet(src), ["k"], salt_buckets=8)
+        (out.writeStream.format("parquet").option("path", os.path.join(run_dir, "out"))
+         .option("checkpointLocation", os.path.join(run_dir, "ck"))
+         .trigger(availableNow=True).start().awaitTermination())
+        return out
+
+    out = run()
+    spark.createDataFrame([(None, 5000, "late"), ("a", 5001, "late"), ("b", 5002, "new")], cols) \
+        .write.mode("append").parquet(src)
+    run()
+    got = spark.read.parquet(os.path.join(run_dir, "out")).collect()
+    by_key = {}
+    for r in got:
+        by_key.setdefault(r.k, []).append(r)
+    assert sorted(by_key, key=str) == sorted([None, "a", "b"], key=str)
+    assert all(len(v) == 1 for v in by_key.values())
+    assert by_key[None][0].v != "late" and by_key["a"][0].v != "late"
+    plan = out._jdf.queryExecution().logical().toString()
+    assert plan.count("Deduplicate") == 2

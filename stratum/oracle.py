@@ -305,4 +305,5 @@ ORACLE_SQL.update({
                                    "SELECT source_name, rejection_reason, record_key, record_reason "
                                    f"FROM ({Q_TX}\nUNION ALL\n{Q_M})"),
     "stream_silver_end_to_end": ORACLE_SQL["gold_daily_kpis"],
+    "stream_gold_incremental": ORACLE_SQL["gold_daily_kpis"],
 })

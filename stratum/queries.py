@@ -325,6 +325,25 @@ def stream_silver_end_to_end(spark, sf_dir):
     return kpis.drop("_processed_at")
 
 
+def stream_gold_incremental(spark, sf_dir):
+    """Three deliveries in arrival order (earlier events, later events, late copies);
+    gold is refreshed after each, incrementally by date; the end state must
+    equal the KPIs computed in one batch over the whole fixture."""
+    layout = staging.fresh_layout(spark, "stream_gold_incremental")
+    raw = fixtures.raw_transactions(spark, sf_dir)
+    first = staging.first_copies(raw)
+    n = first.count()
+    spec = staging.spec_for(layout, "transactions", "json")
+    pipe = Pipeline(spark, layout, [spec], register_tables=False)
+    for part in (first.filter(F.col("_seq") < n // 2), first.filter(F.col("_seq") >= n // 2),
+                 staging.late_copies(raw)):
+        staging.stage(spark, layout, "transactions", part, "json")
+        pipe.run_bronze()
+        pipe.run_silver()
+        pipe.run_gold()
+    return read_path(spark, layout.table_path(KPI_TABLE)).drop("_processed_at")
+
+
 def kpis_partitioned_roundtrip(spark, sf_dir):
     """KPI table written partitioned by date and read back whole."""
     layout = staging.fresh_layout(spark, "kpis_partitioned")
@@ -379,4 +398,5 @@ QUERIES: dict[str, Query] = {
     "stream_dedup_across_batches": stream_dedup_across_batches,
     "stream_quarantine_fan_in": stream_quarantine_fan_in,
     "stream_silver_end_to_end": stream_silver_end_to_end,
+    "stream_gold_incremental": stream_gold_incremental,
 }

@@ -11,6 +11,7 @@ stream checkpoint so the next run rebuilds it from its inputs.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stratum.plans import gold, users
 from stratum.sources.registry import SourceSpec
@@ -65,14 +66,43 @@ class Pipeline:
                 flows.register_silver(self.spark, self.layout, e)
 
     # --- gold --------------------------------------------------------------------------
-    def run_gold(self) -> None:
+    def run_gold(self, incremental: bool = True) -> None:
+        """Refresh the KPI table, then rebuild the summary and the alerts from it.
+
+        The KPIs of a date depend only on that date's transactions, so an
+        incremental refresh recomputes just the dates present in silver files
+        committed since the last refresh and replaces those partitions
+        (dynamic partition overwrite); the rest of the table is untouched.
+        A full rebuild happens on the first run, with ``incremental=False``,
+        or when silver no longer holds every file aggregated before (refresh).
+        """
         spark, layout = self.spark, self.layout
-        tx = read_path(spark, layout.table_path("silver.transactions"))
-        kpis = gold.daily_kpis(tx)
-        cols = kpis.columns
+        silver_path = layout.table_path("silver.transactions")
+        tx = read_path(spark, silver_path)
         kpi_path = layout.table_path(KPI_TABLE)
-        overwrite(kpis, kpi_path, partition_by=("transaction_date",))
-        # Materialised once, read by both consumers.
+        cols = gold.daily_kpis(tx).columns
+        committed = spark.createDataFrame([(f,) for f in tx.inputFiles()], "path string")
+        consumed_path = layout.checkpoint("gold_daily_transaction_kpis")  # files aggregated
+        consumed = _read_or_none(spark, consumed_path)
+        full = (not incremental or consumed is None or _read_or_none(spark, kpi_path) is None
+                or consumed.join(committed, "path", "left_anti").limit(1).count() > 0)
+        if full:
+            overwrite(gold.daily_kpis(tx), kpi_path, partition_by=("transaction_date",))
+            new_files = committed
+        else:
+            new_files = committed.join(consumed, "path", "left_anti")
+            paths = [r.path for r in new_files.collect()]  # committed file names, not rows
+            if paths:
+                dates = (spark.read.parquet(*paths).select("transaction_date").distinct()
+                         .collect())  # one row per calendar date touched
+                touched = [r.transaction_date for r in dates if r.transaction_date is not None]
+                if touched:
+                    affected = tx.filter(F.col("transaction_date").isin(touched))
+                    (gold.daily_kpis(affected).write.mode("overwrite")
+                     .option("partitionOverwriteMode", "dynamic")
+                     .partitionBy("transaction_date").parquet(kpi_path))
+        new_files.write.mode("overwrite" if full else "append").parquet(consumed_path)
+        # Materialised once, read by both consumers (small: one row per group).
         kpis_t = read_partitioned(spark, kpi_path, cols)
         overwrite(gold.fraud_alerts(kpis_t), layout.table_path(ALERTS_TABLE))
         if self._has_source("merchants"):
@@ -126,6 +156,15 @@ class Pipeline:
             self.spark.sql(f"DROP TABLE IF EXISTS {table}")
 
 
+def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path)
+    except Exception as exc:
+        if "PATH_NOT_FOUND" in str(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc):
+            return None
+        raise
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)

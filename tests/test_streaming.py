@@ -204,3 +204,31 @@ def test_salted_stream_dedup_hot_null_key(spark, run_dir):
     assert by_key[None][0].v != "late" and by_key["a"][0].v != "late"
     plan = out._jdf.queryExecution().logical().toString()
     assert plan.count("Deduplicate") == 2
+
+
+def test_incremental_kpi_refresh_equals_full_rebuild(spark, run_dir):
+    from stratum.plans import gold
+    layout = Layout(run_dir)
+    t = spec(layout, "transactions", "json")
+    pipe = Pipeline(spark, layout, [t], register_tables=False)
+
+    def rows(start, n, date, kind="pago", amount="10,50"):
+        return [(i, f"TXN-{date.replace('-', '')}-{i:05d}", "USR-000001", "MCH-00001", amount,
+                 kind, "web", "aprobado", "PEN", date, None) for i in range(start, start + n)]
+
+    write_json_arrays(spark.createDataFrame(rows(1, 5, "2024-01-05") + rows(10, 3, "2024-01-06"),
+                                            TX), t.source_path)
+    pipe.run_bronze(); pipe.run_silver(); pipe.run_gold()
+    kpi = layout.table_path(KPI_TABLE)
+    untouched = sorted(f for f in spark.read.parquet(kpi).inputFiles() if "2024-01-05" in f)
+    # Second delivery touches 2024-01-06 and a new date only.
+    second = rows(20, 2, "2024-01-06", "retiro", "5.25") + rows(30, 1, "2024-01-07")
+    write_json_arrays(spark.createDataFrame(second, TX), t.source_path)
+    pipe.run_bronze(); pipe.run_silver(); pipe.run_gold()
+    after = sorted(f for f in spark.read.parquet(kpi).inputFiles() if "2024-01-05" in f)
+    assert after == untouched  # partition not rewritten
+    full = gold.daily_kpis(read_path(spark, layout.table_path("silver.transactions")),
+                           with_timestamp=False)
+    got = spark.read.parquet(kpi).drop("_processed_at").select(*full.columns)
+    assert got.exceptAll(full).count() == 0 and full.exceptAll(got).count() == 0
+    assert got.count() == 3

@@ -26,9 +26,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from stratum.operators.quality import QUARANTINE_SCHEMA
+from stratum.operators.quality import QUARANTINE_SCHEMA, REASON
 from stratum.plans import merchants, transactions
 from stratum.sources.files import bronze_stream
 from stratum.sources.registry import SourceSpec
@@ -89,6 +90,11 @@ def validated(spark: SparkSession, layout: Layout, entity: str,
     plan = ENTITIES[entity]
     src = stream_path(spark, layout.table_path(f"bronze.{entity}"))
     out = plan.validate(src, batch_order=None, salt_buckets=opts.dedup_salt_buckets)
+    # Per-micro-batch quality metrics, reported in the query progress
+    # (``q.lastProgress["observedMetrics"]``) at no extra pass over the data.
+    out = out.observe(f"silver_{entity}_validated",
+                      F.count(F.lit(1)).alias("rows"),
+                      F.count_if(F.col(REASON).isNotNull()).alias("rejected"))
     q = _start(out, layout.table_path(f"silver.{entity}_validated"),
                layout.checkpoint(f"silver_{entity}_validated"), f"silver_{entity}_validated", opts)
     return _finish(spark, q, opts)

@@ -111,6 +111,10 @@ def test_stream_dedup_across_restarts_and_fan_in(spark, run_dir):
                                     "status string, risk_level string"), m.source_path)
     pipe.run_bronze()
     pipe.run_silver()
+    q = flows.validated(spark, layout, "transactions")  # nothing new: an empty run
+    progress = [p for p in q.recentProgress if p.get("observedMetrics")]
+    assert all(p["observedMetrics"]["silver_transactions_validated"]["rows"] == 0
+               for p in progress)
     # Second delivery: a valid copy of the invalid key, and a new key.
     write_json_arrays(spark.createDataFrame(tx_rows(1, 1) + tx_rows(10, 1), TX), t.source_path)
     pipe.run_bronze()

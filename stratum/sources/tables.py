@@ -69,15 +69,16 @@ def declare_table(spark: SparkSession, layout: Layout, name: str, schema_ddl: st
 
 def register(spark: SparkSession, layout: Layout, name: str, comment: str | None = None,
              properties: dict | None = None, partition_by: tuple[str, ...] = ()) -> None:
-    """(Re-)register the external table over its files, picking up a wider schema."""
+    """(Re-)register the external table over its files, picking up a wider schema.
+
+    Schema and partition columns are discovered from the files (``mergeSchema``
+    unions evolved column sets); partitions are then synced into the catalog.
+    """
     path = layout.table_path(name)
-    schema = read_path(spark, path).schema
     ensure_namespaces(spark, [split_name(name)[0]])
     spark.sql(f"DROP TABLE IF EXISTS {name}")  # metadata only: the table is external
-    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    part = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
-    spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet{part} LOCATION '{path}'"
-              f"{_comment_sql(comment)}{_props_sql(properties)}")
+    spark.sql(f"CREATE TABLE {name} USING parquet OPTIONS ('mergeSchema' 'true') "
+              f"LOCATION '{path}'{_comment_sql(comment)}{_props_sql(properties)}")
     if partition_by:
         spark.sql(f"MSCK REPAIR TABLE {name}")
 

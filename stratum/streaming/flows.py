@@ -38,6 +38,9 @@ from stratum.sources.tables import (Layout, declare_table, ensure_namespaces, re
 
 QUARANTINE = "silver.quarantine"
 ENTITIES = {"transactions": transactions, "merchants": merchants}
+# Clean tables partitioned for their consumers: the gold KPIs are computed per
+# transaction date, so an incremental refresh prunes to the touched dates.
+CLEAN_PARTITIONS = {"transactions": ("transaction_date",), "merchants": ()}
 
 
 @dataclass
@@ -106,7 +109,8 @@ def clean(spark: SparkSession, layout: Layout, entity: str,
     plan = ENTITIES[entity]
     src = stream_path(spark, layout.table_path(f"silver.{entity}_validated"))
     q = _start(plan.clean(src), layout.table_path(f"silver.{entity}"),
-               layout.checkpoint(f"silver_{entity}"), f"silver_{entity}", opts)
+               layout.checkpoint(f"silver_{entity}"), f"silver_{entity}", opts,
+               CLEAN_PARTITIONS.get(entity, ()))
     return _finish(spark, q, opts)
 
 
@@ -143,4 +147,4 @@ def register_silver(spark: SparkSession, layout: Layout, entity: str) -> None:
              comment=f"Validated {entity} (all deduplicated rows + rejection_reason)",
              properties={"pipelines.reset.allowed": "true"})
     register(spark, layout, f"silver.{entity}", comment=f"Clean {entity}",
-             properties={"quality": "silver"})
+             properties={"quality": "silver"}, partition_by=CLEAN_PARTITIONS.get(entity, ()))

@@ -93,7 +93,10 @@ class Pipeline:
             new_files = committed.join(consumed, "path", "left_anti")
             paths = [r.path for r in new_files.collect()]  # committed file names, not rows
             if paths:
-                dates = (spark.read.parquet(*paths).select("transaction_date").distinct()
+                # Partitioned by date: the dates come from the new files' paths
+                # (partition discovery), no data is read.
+                dates = (spark.read.option("basePath", silver_path).parquet(*paths)
+                         .select("transaction_date").distinct()
                          .collect())  # one row per calendar date touched
                 touched = [r.transaction_date for r in dates if r.transaction_date is not None]
                 if touched:

@@ -158,6 +158,8 @@ def test_catalog_registration(spark, run_dir):
              .collect()}
     assert props.get("quality") == "gold"
     assert spark.read.table("silver.quarantine").count() == 0
+    assert [r.partition for r in spark.sql("SHOW PARTITIONS silver.transactions").collect()] == \
+        ["transaction_date=2024-01-05"]
 
 
 def test_csv_header_groups(spark, run_dir):

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from stratum.functions.normalize import parse_amount, parse_date
 from stratum.plans import gold, merchants, transactions, users
+from stratum.session import ensure_checkpoint_dir
 from stratum.sources import fixtures
 from stratum.sources.tables import overwrite, read_partitioned, read_path
 from stratum.streaming import flows, staging
@@ -118,19 +119,30 @@ def quarantine_all(spark, sf_dir):
 KEEP = ("_seq",)
 
 
+def _raw_users(spark, sf_dir):
+    """The users lines with lineage cut (reliable checkpoint in the shared folder).
+
+    In the pipeline the lines come from the stored bronze table; here they are
+    computed from the test tables, and without the cut Catalyst would inline
+    that whole computation into every pushed-down flag filter.
+    """
+    ensure_checkpoint_dir(spark)  # the session's shared folder; set only if unset
+    return fixtures.raw_users(spark, sf_dir).checkpoint(eager=True)
+
+
 def users_structural_split(spark, sf_dir):
-    ok, _ = users.split_lines(fixtures.raw_users(spark, sf_dir), keep=KEEP)
+    ok, _ = users.split_lines(_raw_users(spark, sf_dir), keep=KEEP)
     return ok
 
 
 def users_structural_quarantine(spark, sf_dir):
-    _, bad = users.split_lines(fixtures.raw_users(spark, sf_dir), keep=KEEP)
+    _, bad = users.split_lines(_raw_users(spark, sf_dir), keep=KEEP)
     return bad.select("_seq", "value", F.size("parts").alias("n_parts"), "error_type",
                       "error_reason")
 
 
 def users_normalized(spark, sf_dir):
-    ok, _ = users.split_lines(fixtures.raw_users(spark, sf_dir), keep=KEEP)
+    ok, _ = users.split_lines(_raw_users(spark, sf_dir), keep=KEEP)
     return users.normalize(ok)
 
 
@@ -141,7 +153,7 @@ def users_phone(spark, sf_dir):
 
 
 def users_flags(spark, sf_dir):
-    return users.validated(fixtures.raw_users(spark, sf_dir), keep=KEEP)
+    return users.validated(_raw_users(spark, sf_dir), keep=KEEP)
 
 
 def users_dq_summary(spark, sf_dir):
@@ -159,7 +171,7 @@ def users_quarantine(spark, sf_dir):
 
 
 def users_row_counts(spark, sf_dir):
-    return users.row_counts(fixtures.raw_users(spark, sf_dir))
+    return users.row_counts(_raw_users(spark, sf_dir))
 
 
 def users_invalid_email(spark, sf_dir):

@@ -94,7 +94,8 @@ def csv_headers(spark: SparkSession, spec: SourceSpec, paths: list[str]) -> dict
 
     Read as text; a file's first line is the lowest-numbered row of the split
     that starts at offset 0 (row ids increase in read order within a task).
-    Only the distinct headers and their file lists come back to the driver.
+    One (path, header) row per new file comes back - the same metadata as the
+    new-file list itself; no group is gathered inside a task.
     """
     lines = spark.read.text(paths).select(
         "value", F.col("_metadata.file_path").alias("path"),
@@ -102,8 +103,10 @@ def csv_headers(spark: SparkSession, spec: SourceSpec, paths: list[str]) -> dict
         F.monotonically_increasing_id().alias("i"))
     first = (lines.filter(F.col("start") == 0).groupBy("path")
              .agg(F.min_by("value", "i").alias("header")))
-    groups = first.groupBy("header").agg(F.collect_list("path").alias("paths")).collect()
-    return {r.header: list(r.paths) for r in groups}
+    groups: dict[str, list[str]] = {}
+    for r in first.collect():
+        groups.setdefault(r.header, []).append(r.path)
+    return groups
 
 
 def _header_names(header: str, sep: str) -> list[str]:

@@ -68,10 +68,14 @@ def _start(df: DataFrame, path: str, checkpoint: str, name: str, opts: FlowOptio
 
 
 def _finish(spark: SparkSession, q: StreamingQuery, opts: FlowOptions) -> StreamingQuery:
-    if not opts.processing_time:
+    """Available-now: wait for the end.  Continuous: wait until the data present
+    at start is processed (so dependents find their input), then keep running."""
+    if opts.processing_time:
+        q.processAllAvailable()
+    else:
         q.awaitTermination()
-        if q.exception() is not None:
-            raise q.exception()
+    if q.exception() is not None:
+        raise q.exception()
     return q
 
 
@@ -86,13 +90,31 @@ def ingest(spark: SparkSession, layout: Layout, spec: SourceSpec,
     return _finish(spark, q, opts)
 
 
+def _validated_plan(spark: SparkSession, layout: Layout, entity: str, opts: FlowOptions):
+    src = stream_path(spark, layout.table_path(f"bronze.{entity}"))
+    return ENTITIES[entity].validate(src, batch_order=None, salt_buckets=opts.dedup_salt_buckets)
+
+
+def _validated_source(spark: SparkSession, layout: Layout, entity: str,
+                      opts: FlowOptions) -> DataFrame:
+    """Stream of silver.<entity>_validated.  Its schema comes from the table once
+    it exists, else from the validated plan itself, so downstream flows can
+    start together with it under a continuous trigger."""
+    path = layout.table_path(f"silver.{entity}_validated")
+    try:
+        schema = read_path(spark, path).schema
+    except Exception as exc:
+        if "PATH_NOT_FOUND" not in str(exc) and "UNABLE_TO_INFER_SCHEMA" not in str(exc):
+            raise
+        schema = _validated_plan(spark, layout, entity, opts).schema
+    return stream_path(spark, path, schema)
+
+
 def validated(spark: SparkSession, layout: Layout, entity: str,
               opts: FlowOptions | None = None) -> StreamingQuery:
     """bronze.<entity> -> silver.<entity>_validated (streaming first-seen dedup)."""
     opts = opts or FlowOptions()
-    plan = ENTITIES[entity]
-    src = stream_path(spark, layout.table_path(f"bronze.{entity}"))
-    out = plan.validate(src, batch_order=None, salt_buckets=opts.dedup_salt_buckets)
+    out = _validated_plan(spark, layout, entity, opts)
     # Per-micro-batch quality metrics, reported in the query progress
     # (``q.lastProgress["observedMetrics"]``) at no extra pass over the data.
     out = out.observe(f"silver_{entity}_validated",
@@ -107,7 +129,7 @@ def clean(spark: SparkSession, layout: Layout, entity: str,
           opts: FlowOptions | None = None) -> StreamingQuery:
     opts = opts or FlowOptions()
     plan = ENTITIES[entity]
-    src = stream_path(spark, layout.table_path(f"silver.{entity}_validated"))
+    src = _validated_source(spark, layout, entity, opts)
     q = _start(plan.clean(src), layout.table_path(f"silver.{entity}"),
                layout.checkpoint(f"silver_{entity}"), f"silver_{entity}", opts,
                CLEAN_PARTITIONS.get(entity, ()))
@@ -129,7 +151,7 @@ def quarantine(spark: SparkSession, layout: Layout, entities=("transactions", "m
                       properties={"quality": "silver"})
     flows = []
     for entity in entities:
-        src = stream_path(spark, layout.table_path(f"silver.{entity}_validated"))
+        src = _validated_source(spark, layout, entity, opts)
         flows.append(ENTITIES[entity].quarantine(src))
     union = flows[0]
     for f in flows[1:]:

@@ -37,13 +37,14 @@ class Pipeline:
         self.specs = [s for s in specs if s.active]
         self.opts = opts or FlowOptions()
         self.register_tables = register_tables
+        self.queries: list = []  # started streaming queries, in dependency order
 
     # --- bronze ------------------------------------------------------------------------
     def run_bronze(self) -> None:
         if self.register_tables:
             ensure_namespaces(self.spark)
         for spec in self.specs:
-            flows.ingest(self.spark, self.layout, spec, self.opts)
+            self.queries.append(flows.ingest(self.spark, self.layout, spec, self.opts))
             if self.register_tables:
                 register(self.spark, self.layout, f"bronze.{spec.source_name}",
                          comment=f"Bronze table for {spec.source_name}")
@@ -55,12 +56,12 @@ class Pipeline:
     def run_silver(self) -> None:
         entities = [e for e in ("transactions", "merchants") if self._has_source(e)]
         for e in entities:
-            flows.validated(self.spark, self.layout, e, self.opts)
+            self.queries.append(flows.validated(self.spark, self.layout, e, self.opts))
         for e in entities:
-            flows.clean(self.spark, self.layout, e, self.opts)
+            self.queries.append(flows.clean(self.spark, self.layout, e, self.opts))
         if entities:
-            flows.quarantine(self.spark, self.layout, tuple(entities), self.opts,
-                             declare=self.register_tables)
+            self.queries.append(flows.quarantine(self.spark, self.layout, tuple(entities),
+                                                 self.opts, declare=self.register_tables))
         if self.register_tables:
             for e in entities:
                 flows.register_silver(self.spark, self.layout, e)
@@ -149,6 +150,20 @@ class Pipeline:
         if self._has_source("users"):
             self.run_users()
 
+    # --- continuous mode ---------------------------------------------------------------
+    def catch_up(self) -> None:
+        """Continuous trigger: wait until every running flow has processed what
+        is available, upstream first (so each sees its input's new data)."""
+        for q in self.queries:
+            if q.isActive:
+                q.processAllAvailable()
+
+    def stop(self) -> None:
+        for q in self.queries:
+            if q.isActive:
+                q.stop()
+        self.queries = []
+
     # --- maintenance -------------------------------------------------------------------
     def full_refresh(self, table: str) -> None:
         """Drop a table's files and its stream checkpoint; the next run rebuilds it."""

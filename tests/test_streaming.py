@@ -238,3 +238,27 @@ def test_incremental_kpi_refresh_equals_full_rebuild(spark, run_dir):
     got = spark.read.parquet(kpi).drop("_processed_at").select(*full.columns)
     assert got.exceptAll(full).count() == 0 and full.exceptAll(got).count() == 0
     assert got.count() == 3
+
+
+def test_continuous_trigger_pipeline(spark, run_dir):
+    from stratum.streaming.flows import FlowOptions
+    layout = Layout(run_dir)
+    t = spec(layout, "transactions", "json")
+    write_json_arrays(spark.createDataFrame(tx_rows(1, 3), TX), t.source_path)
+    pipe = Pipeline(spark, layout, [t], opts=FlowOptions(processing_time="1 second"),
+                    register_tables=False)
+    try:
+        pipe.run_bronze()
+        pipe.run_silver()
+        assert all(q.isActive for q in pipe.queries) and len(pipe.queries) == 4
+        # New files while the flows run: picked up without a restart.
+        write_json_arrays(spark.createDataFrame(tx_rows(1, 1) + tx_rows(50, 2), TX),
+                          t.source_path)
+        import time
+        time.sleep(2)
+        pipe.catch_up()
+        pipe.catch_up()
+    finally:
+        pipe.stop()
+    clean = read_path(spark, layout.table_path("silver.transactions"))
+    assert sorted(r._seq for r in clean.collect()) == [1, 2, 3, 50, 51]

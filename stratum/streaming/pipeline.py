@@ -78,6 +78,8 @@ class Pipeline:
         or when silver no longer holds every file aggregated before (refresh).
         """
         spark, layout = self.spark, self.layout
+        if not self._has_source("transactions"):
+            return
         silver_path = layout.table_path("silver.transactions")
         tx = read_path(spark, silver_path)
         kpi_path = layout.table_path(KPI_TABLE)
@@ -89,10 +91,9 @@ class Pipeline:
                 or consumed.join(committed, "path", "left_anti").limit(1).count() > 0)
         if full:
             overwrite(gold.daily_kpis(tx), kpi_path, partition_by=("transaction_date",))
-            new_files = committed
+            paths = None
         else:
-            new_files = committed.join(consumed, "path", "left_anti")
-            paths = [r.path for r in new_files.collect()]  # committed file names, not rows
+            paths = [r.path for r in committed.join(consumed, "path", "left_anti").collect()]
             if paths:
                 # Partitioned by date: the dates come from the new files' paths
                 # (partition discovery), no data is read.
@@ -105,7 +106,13 @@ class Pipeline:
                     (gold.daily_kpis(affected).write.mode("overwrite")
                      .option("partitionOverwriteMode", "dynamic")
                      .partitionBy("transaction_date").parquet(kpi_path))
-        new_files.write.mode("overwrite" if full else "append").parquet(consumed_path)
+        # Record what has been aggregated (from materialised names, never from a
+        # plan that reads the record itself).
+        if full:
+            committed.write.mode("overwrite").parquet(consumed_path)
+        elif paths:
+            spark.createDataFrame([(p,) for p in paths], "path string") \
+                .write.mode("append").parquet(consumed_path)
         # Materialised once, read by both consumers (small: one row per group).
         kpis_t = read_partitioned(spark, kpi_path, cols)
         overwrite(gold.fraud_alerts(kpis_t), layout.table_path(ALERTS_TABLE))

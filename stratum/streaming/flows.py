@@ -45,8 +45,9 @@ CLEAN_PARTITIONS = {"transactions": ("transaction_date",), "merchants": ()}
 
 @dataclass
 class FlowOptions:
-    available_now: bool = True          # process what is there, then stop
-    processing_time: str | None = None  # or run continuously on this interval
+    # None: available-now (process what is there, then stop); else run
+    # continuously with this trigger interval, e.g. "1 minute".
+    processing_time: str | None = None
     max_files_per_trigger: int | None = None
     sampling_ratio: float = 1.0
     # Two-level salted streaming dedup (hot keys spread over this many state

@@ -104,3 +104,11 @@ def test_dedup_pre_reduces_hot_key_before_shuffle(spark):
 def test_risk_score_tiers_are_strict(spark, rate, amount, score):
     df = spark.createDataFrame([(rate, amount)], "r double, a double")
     assert df.select(gold.risk_score(F.col("r"), F.col("a"))).collect()[0][0] == score
+
+
+def test_alerts_keep_processed_at_position(spark):
+    tx = spark.createDataFrame([(D1, "A", "web", "PEN", "reversa", "aprobado", 1.0)], TX)
+    kpis = gold.daily_kpis(tx)
+    alerts = gold.fraud_alerts(kpis)
+    assert alerts.columns == kpis.columns + ["alert_reason"]
+    assert alerts.columns.index("_processed_at") == len(kpis.columns) - 1

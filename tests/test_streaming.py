@@ -126,6 +126,10 @@ def test_stream_dedup_across_restarts_and_fan_in(spark, run_dir):
     q = read_path(spark, layout.table_path("silver.quarantine"))
     assert sorted((r.source_name, r.rejection_reason) for r in q.collect()) == [
         ("merchants", "formato merchant_id invalido"), ("transactions", "amount es nulo")]
+    for r in q.collect():  # the normalised row, with lineage, without ingestion time
+        rec = json.loads(r.original_record)
+        assert rec["_source_file"].endswith((".txt", ".csv"))
+        assert "_ingestion_timestamp" not in rec and rec["rejection_reason"] == r.rejection_reason
     clean = read_path(spark, layout.table_path("silver.transactions"))
     assert clean.count() == 3
     pipe.run_gold()

@@ -57,6 +57,9 @@ class FlowOptions:
 
 def _start(df: DataFrame, path: str, checkpoint: str, name: str, opts: FlowOptions,
            partition_by: tuple[str, ...] = ()) -> StreamingQuery:
+    active = {q.name for q in df.sparkSession.streams.active}
+    if name in active:  # another pipeline (layout) runs the same flow in this session
+        name = f"{name}_{abs(hash(checkpoint)) % 10**8:08d}"
     w = (df.writeStream.format("parquet").outputMode("append")
          .option("path", path).option("checkpointLocation", checkpoint).queryName(name))
     if partition_by:

@@ -89,8 +89,12 @@ class Pipeline:
         consumed = _read_or_none(spark, consumed_path)
         full = (not incremental or consumed is None or _read_or_none(spark, kpi_path) is None
                 or consumed.join(committed, "path", "left_anti").limit(1).count() > 0)
+        # KPI rows are aggregates (per date at most merchants x channels x
+        # currencies), so clustering them by date before the partitioned write is
+        # cheap and gives about one file per date instead of one per task and date.
         if full:
-            overwrite(gold.daily_kpis(tx), kpi_path, partition_by=("transaction_date",))
+            overwrite(gold.daily_kpis(tx).repartition("transaction_date"), kpi_path,
+                      partition_by=("transaction_date",))
             paths = None
         else:
             paths = [r.path for r in committed.join(consumed, "path", "left_anti").collect()]
@@ -103,7 +107,8 @@ class Pipeline:
                 touched = [r.transaction_date for r in dates if r.transaction_date is not None]
                 if touched:
                     affected = tx.filter(F.col("transaction_date").isin(touched))
-                    (gold.daily_kpis(affected).write.mode("overwrite")
+                    (gold.daily_kpis(affected).repartition("transaction_date")
+                     .write.mode("overwrite")
                      .option("partitionOverwriteMode", "dynamic")
                      .partitionBy("transaction_date").parquet(kpi_path))
         # Record what has been aggregated (from materialised names, never from a

@@ -289,6 +289,23 @@ def read_files(spark: SparkSession, spec: SourceSpec, schema: T.StructType,
     return with_lineage(out)
 
 
+def bronze_schema(spark: SparkSession, spec: SourceSpec) -> T.StructType | None:
+    """Columns of bronze.<source>, derived from the persisted source schema.
+
+    Lets downstream readers pass an explicit schema instead of discovering it
+    from the footers of every file of a growing table.  None before the first run.
+    """
+    typed = (T.StructType([T.StructField("value", T.StringType())])
+             if spec.file_format == "text" else load_schema(spark, spec.schema_location))
+    if typed is None:
+        return None
+    return T.StructType(list(typed.fields) + [
+        T.StructField(RESCUED, T.StringType()),
+        T.StructField(INGESTED_AT, T.TimestampType()),
+        T.StructField(SOURCE_FILE, T.StringType()),
+    ])
+
+
 def bronze_stream(spark: SparkSession, spec: SourceSpec, sampling_ratio: float = 1.0,
                   max_files_per_trigger: int | None = None) -> DataFrame:
     schema = evolve_schema(spark, spec, sampling_ratio)

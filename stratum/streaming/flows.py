@@ -27,6 +27,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from stratum.operators.quality import QUARANTINE_SCHEMA, REASON
@@ -94,31 +95,43 @@ def ingest(spark: SparkSession, layout: Layout, spec: SourceSpec,
     return _finish(spark, q, opts)
 
 
-def _validated_plan(spark: SparkSession, layout: Layout, entity: str, opts: FlowOptions):
-    src = stream_path(spark, layout.table_path(f"bronze.{entity}"))
+def _validated_plan(spark: SparkSession, layout: Layout, entity: str, opts: FlowOptions,
+                    bronze_schema: T.StructType | None = None) -> DataFrame:
+    src = stream_path(spark, layout.table_path(f"bronze.{entity}"), bronze_schema)
     return ENTITIES[entity].validate(src, batch_order=None, salt_buckets=opts.dedup_salt_buckets)
 
 
-def _validated_source(spark: SparkSession, layout: Layout, entity: str,
-                      opts: FlowOptions) -> DataFrame:
-    """Stream of silver.<entity>_validated.  Its schema comes from the table once
-    it exists, else from the validated plan itself, so downstream flows can
-    start together with it under a continuous trigger."""
-    path = layout.table_path(f"silver.{entity}_validated")
-    try:
-        schema = read_path(spark, path).schema
-    except Exception as exc:
-        if "PATH_NOT_FOUND" not in str(exc) and "UNABLE_TO_INFER_SCHEMA" not in str(exc):
-            raise
-        schema = _validated_plan(spark, layout, entity, opts).schema
-    return stream_path(spark, path, schema)
+def validated_plan(spark: SparkSession, layout: Layout, entity: str,
+                   opts: FlowOptions | None = None,
+                   bronze_schema: T.StructType | None = None) -> DataFrame:
+    """The (streaming) validated plan of an entity - for schemas and inspection."""
+    return _validated_plan(spark, layout, entity, opts or FlowOptions(), bronze_schema)
+
+
+def validated_schema(spark: SparkSession, layout: Layout, entity: str,
+                     opts: FlowOptions | None = None,
+                     bronze_schema: T.StructType | None = None) -> T.StructType:
+    """Schema of silver.<entity>_validated, from the plan (no table read)."""
+    return _validated_plan(spark, layout, entity, opts or FlowOptions(), bronze_schema).schema
+
+
+def _validated_source(spark: SparkSession, layout: Layout, entity: str, opts: FlowOptions,
+                      bronze_schema: T.StructType | None = None) -> DataFrame:
+    """Stream of silver.<entity>_validated with the schema of the validated plan, so
+    downstream flows neither scan the table's footers nor wait for it to exist."""
+    schema = validated_schema(spark, layout, entity, opts, bronze_schema)
+    return stream_path(spark, layout.table_path(f"silver.{entity}_validated"), schema)
 
 
 def validated(spark: SparkSession, layout: Layout, entity: str,
-              opts: FlowOptions | None = None) -> StreamingQuery:
-    """bronze.<entity> -> silver.<entity>_validated (streaming first-seen dedup)."""
+              opts: FlowOptions | None = None,
+              bronze_schema: T.StructType | None = None) -> StreamingQuery:
+    """bronze.<entity> -> silver.<entity>_validated (streaming first-seen dedup).
+
+    ``bronze_schema`` (see ``sources.files.bronze_schema``) avoids discovering the
+    bronze schema from the footers of all its files."""
     opts = opts or FlowOptions()
-    out = _validated_plan(spark, layout, entity, opts)
+    out = _validated_plan(spark, layout, entity, opts, bronze_schema)
     # Per-micro-batch quality metrics, reported in the query progress
     # (``q.lastProgress["observedMetrics"]``) at no extra pass over the data.
     out = out.observe(f"silver_{entity}_validated",
@@ -130,10 +143,11 @@ def validated(spark: SparkSession, layout: Layout, entity: str,
 
 
 def clean(spark: SparkSession, layout: Layout, entity: str,
-          opts: FlowOptions | None = None) -> StreamingQuery:
+          opts: FlowOptions | None = None,
+          bronze_schema: T.StructType | None = None) -> StreamingQuery:
     opts = opts or FlowOptions()
     plan = ENTITIES[entity]
-    src = _validated_source(spark, layout, entity, opts)
+    src = _validated_source(spark, layout, entity, opts, bronze_schema)
     q = _start(plan.clean(src), layout.table_path(f"silver.{entity}"),
                layout.checkpoint(f"silver_{entity}"), f"silver_{entity}", opts,
                CLEAN_PARTITIONS.get(entity, ()))
@@ -141,7 +155,8 @@ def clean(spark: SparkSession, layout: Layout, entity: str,
 
 
 def quarantine(spark: SparkSession, layout: Layout, entities=("transactions", "merchants"),
-               opts: FlowOptions | None = None, declare: bool = True) -> StreamingQuery:
+               opts: FlowOptions | None = None, declare: bool = True,
+               bronze_schemas: dict | None = None) -> StreamingQuery:
     """Reject rows of every validated table, fanned into one quarantine table.
 
     ``declare`` creates the catalog table with its declared schema first.
@@ -155,7 +170,7 @@ def quarantine(spark: SparkSession, layout: Layout, entities=("transactions", "m
                       properties={"quality": "silver"})
     flows = []
     for entity in entities:
-        src = _validated_source(spark, layout, entity, opts)
+        src = _validated_source(spark, layout, entity, opts, (bronze_schemas or {}).get(entity))
         flows.append(ENTITIES[entity].quarantine(src))
     union = flows[0]
     for f in flows[1:]:

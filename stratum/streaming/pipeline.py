@@ -13,7 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.plans import gold, users
+from stratum.plans import gold, merchants, transactions, users
+from stratum.sources.files import bronze_schema
 from stratum.sources.registry import SourceSpec
 from stratum.sources.tables import (Layout, ensure_namespaces, overwrite, read_partitioned,
                                     read_path, register)
@@ -27,6 +28,7 @@ USERS_TABLE = "silver.users"
 USERS_VALIDATED = "silver.users_validated"
 USERS_STRUCT_Q = "silver.users_structure_quarantine"
 USERS_RULE_Q = "silver.users_quarantine"
+ENTITY_PLANS = {"transactions": transactions, "merchants": merchants}
 
 
 class Pipeline:
@@ -52,16 +54,30 @@ class Pipeline:
     def _has_source(self, name: str) -> bool:
         return any(s.source_name == name for s in self.specs)
 
+    def _bronze_schema(self, name: str):
+        """bronze.<name> columns from the persisted source schema (no footer scan)."""
+        spec = next(s for s in self.specs if s.source_name == name)
+        return bronze_schema(self.spark, spec)
+
+    def _read_silver(self, entity: str) -> DataFrame:
+        """Clean silver table read with the schema of its plan (no footer scan)."""
+        schema = ENTITY_PLANS[entity].clean(flows.validated_plan(
+            self.spark, self.layout, entity, self.opts, self._bronze_schema(entity))).schema
+        return self.spark.read.schema(schema).parquet(
+            self.layout.table_path(f"silver.{entity}"))
+
     # --- silver ------------------------------------------------------------------------
     def run_silver(self) -> None:
         entities = [e for e in ("transactions", "merchants") if self._has_source(e)]
+        schemas = {e: self._bronze_schema(e) for e in entities}
         for e in entities:
-            self.queries.append(flows.validated(self.spark, self.layout, e, self.opts))
+            self.queries.append(flows.validated(self.spark, self.layout, e, self.opts, schemas[e]))
         for e in entities:
-            self.queries.append(flows.clean(self.spark, self.layout, e, self.opts))
+            self.queries.append(flows.clean(self.spark, self.layout, e, self.opts, schemas[e]))
         if entities:
             self.queries.append(flows.quarantine(self.spark, self.layout, tuple(entities),
-                                                 self.opts, declare=self.register_tables))
+                                                 self.opts, declare=self.register_tables,
+                                                 bronze_schemas=schemas))
         if self.register_tables:
             for e in entities:
                 flows.register_silver(self.spark, self.layout, e)
@@ -81,7 +97,7 @@ class Pipeline:
         if not self._has_source("transactions"):
             return
         silver_path = layout.table_path("silver.transactions")
-        tx = read_path(spark, silver_path)
+        tx = self._read_silver("transactions")
         kpi_path = layout.table_path(KPI_TABLE)
         cols = gold.daily_kpis(tx).columns
         committed = spark.createDataFrame([(f,) for f in tx.inputFiles()], "path string")
@@ -122,7 +138,7 @@ class Pipeline:
         kpis_t = read_partitioned(spark, kpi_path, cols)
         overwrite(gold.fraud_alerts(kpis_t), layout.table_path(ALERTS_TABLE))
         if self._has_source("merchants"):
-            m = read_path(spark, layout.table_path("silver.merchants"))
+            m = self._read_silver("merchants")
             overwrite(gold.merchant_risk_summary(kpis_t, m), layout.table_path(SUMMARY_TABLE))
         if self.register_tables:
             register(spark, layout, KPI_TABLE, properties={"quality": "gold"},
@@ -142,7 +158,8 @@ class Pipeline:
         the clean table, the rule quarantine and the report all read that.
         """
         spark, layout = self.spark, self.layout
-        raw = read_path(spark, layout.table_path(f"bronze.{source}"))
+        raw = spark.read.schema(self._bronze_schema(source)).parquet(
+            layout.table_path(f"bronze.{source}"))
         fields, struct_bad = users.split_lines(raw, keep=("_source_file",))
         overwrite(struct_bad, layout.table_path(USERS_STRUCT_Q))
         overwrite(users.flags(users.normalize(fields)), layout.table_path(USERS_VALIDATED))

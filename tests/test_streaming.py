@@ -266,3 +266,18 @@ def test_continuous_trigger_pipeline(spark, run_dir):
         pipe.stop()
     clean = read_path(spark, layout.table_path("silver.transactions"))
     assert sorted(r._seq for r in clean.collect()) == [1, 2, 3, 50, 51]
+
+
+def test_schema_evolution_flows_through_silver(spark, run_dir):
+    layout = Layout(run_dir)
+    t = spec(layout, "transactions", "json")
+    pipe = Pipeline(spark, layout, [t], register_tables=False)
+    write_json_arrays(spark.createDataFrame(tx_rows(1, 2), TX), t.source_path)
+    pipe.run_bronze(); pipe.run_silver()
+    late = spark.createDataFrame(tx_rows(10, 2), TX).withColumn("device", F.lit("ios"))
+    write_json_arrays(late, t.source_path)
+    pipe.run_bronze(); pipe.run_silver(); pipe.run_gold()
+    clean = pipe._read_silver("transactions")
+    rows = {r._seq: r.device for r in clean.collect()}
+    assert rows == {1: None, 2: None, 10: "ios", 11: "ios"}
+    assert read_path(spark, layout.table_path(KPI_TABLE)).count() == 1

@@ -56,8 +56,8 @@ class Pipeline:
 
     def _bronze_schema(self, name: str):
         """bronze.<name> columns from the persisted source schema (no footer scan)."""
-        spec = next(s for s in self.specs if s.source_name == name)
-        return bronze_schema(self.spark, spec)
+        spec = next((s for s in self.specs if s.source_name == name), None)
+        return None if spec is None else bronze_schema(self.spark, spec)
 
     def _read_silver(self, entity: str) -> DataFrame:
         """Clean silver table read with the schema of its plan (no footer scan)."""
@@ -158,8 +158,9 @@ class Pipeline:
         the clean table, the rule quarantine and the report all read that.
         """
         spark, layout = self.spark, self.layout
-        raw = spark.read.schema(self._bronze_schema(source)).parquet(
-            layout.table_path(f"bronze.{source}"))
+        schema = self._bronze_schema(source)
+        path = layout.table_path(f"bronze.{source}")
+        raw = spark.read.schema(schema).parquet(path) if schema else read_path(spark, path)
         fields, struct_bad = users.split_lines(raw, keep=("_source_file",))
         overwrite(struct_bad, layout.table_path(USERS_STRUCT_Q))
         overwrite(users.flags(users.normalize(fields)), layout.table_path(USERS_VALIDATED))

@@ -71,22 +71,59 @@ def list_files(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
-def _seen_files_path(spec: SourceSpec) -> str:
+SEEN_COMPACT_AFTER = 64  # append-files in the merged-file record before it is rewritten
+
+
+def _seen_files_root(spec: SourceSpec) -> str:
     return os.path.join(spec.schema_location, "files")
 
 
+def _seen_generation(spark: SparkSession, spec: SourceSpec) -> int:
+    try:
+        rows = spark.read.text(os.path.join(spec.schema_location, "files_generation")).collect()
+    except Exception as exc:
+        if _not_found(exc):
+            return 0
+        raise
+    return int(rows[0].value) if rows else 0
+
+
+def _seen_files_path(spec: SourceSpec, generation: int) -> str:
+    return os.path.join(_seen_files_root(spec), f"g={generation}")
+
+
+def read_seen_files(spark: SparkSession, spec: SourceSpec) -> DataFrame | None:
+    try:
+        return spark.read.parquet(_seen_files_path(spec, _seen_generation(spark, spec)))
+    except Exception as exc:
+        if _not_found(exc):
+            return None
+        raise
+
+
+def record_seen_files(spark: SparkSession, spec: SourceSpec, paths: list[str]) -> None:
+    """Append merged file names; rewrite the record compactly once it has many
+    small files (new generation directory first, then the pointer - a crash in
+    between leaves only an unused directory)."""
+    gen = _seen_generation(spark, spec)
+    current = _seen_files_path(spec, gen)
+    spark.createDataFrame([(p,) for p in paths], "path string").write.mode("append") \
+        .parquet(current)
+    seen = spark.read.parquet(current)
+    if len(seen.inputFiles()) > SEEN_COMPACT_AFTER:
+        seen.repartition(max(1, len(seen.inputFiles()) // SEEN_COMPACT_AFTER), "path") \
+            .write.mode("overwrite").parquet(_seen_files_path(spec, gen + 1))
+        spark.createDataFrame([(str(gen + 1),)], "value string").coalesce(1) \
+            .write.mode("overwrite").text(os.path.join(spec.schema_location, "files_generation"))
+
+
 def unseen_files(spark: SparkSession, spec: SourceSpec) -> DataFrame | None:
     """Landing files whose schema has not been merged yet (exact, by path)."""
     listing = list_files(spark, spec.source_path)
     if listing is None:
         return None
-    try:
-        seen = spark.read.parquet(_seen_files_path(spec))
-    except Exception as exc:
-        if _not_found(exc):
-            return listing
-        raise
-    return listing.join(seen, "path", "left_anti")
+    seen = read_seen_files(spark, spec)
+    return listing if seen is None else listing.join(seen, "path", "left_anti")
 
 
 def csv_headers(spark: SparkSession, spec: SourceSpec, paths: list[str]) -> dict[str, list[str]]:
@@ -213,8 +250,7 @@ def evolve_schema(spark: SparkSession, spec: SourceSpec, sampling_ratio: float =
     if persisted is None or merged != persisted:
         save_schema(spark, spec.schema_location, merged)
     if spec.file_format != "text" and fresh is not None and paths:
-        spark.createDataFrame([(p,) for p in paths], "path string") \
-            .write.mode("append").parquet(_seen_files_path(spec))
+        record_seen_files(spark, spec, paths)
     return merged
 
 

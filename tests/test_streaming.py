@@ -281,3 +281,14 @@ def test_schema_evolution_flows_through_silver(spark, run_dir):
     rows = {r._seq: r.device for r in clean.collect()}
     assert rows == {1: None, 2: None, 10: "ios", 11: "ios"}
     assert read_path(spark, layout.table_path(KPI_TABLE)).count() == 1
+
+
+def test_seen_files_record_compacts(spark, run_dir, monkeypatch):
+    from stratum.sources import files
+    monkeypatch.setattr(files, "SEEN_COMPACT_AFTER", 3)
+    s = SourceSpec("t", os.path.join(run_dir, "landing"), "json", os.path.join(run_dir, "schema"))
+    for i in range(5):
+        files.record_seen_files(spark, s, [f"file:/x/{i}.json"])
+    assert files._seen_generation(spark, s) >= 1
+    seen = sorted(r.path for r in files.read_seen_files(spark, s).collect())
+    assert seen == [f"file:/x/{i}.json" for i in range(5)]

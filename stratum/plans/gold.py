@@ -65,10 +65,32 @@ def kpi_aggregates(tx: DataFrame) -> DataFrame:
     )
 
 
-def daily_kpis(tx: DataFrame, with_timestamp: bool = True) -> DataFrame:
-    """silver.transactions -> gold.daily_transaction_kpis."""
-    kpis = kpi_aggregates(tx.select("transaction_date", "merchant_id", "channel", "currency",
-                                    "transaction_type", "status", "amount"))
+# Additive KPI measures: a KPI row for new data merges with the stored row by summing.
+ADDITIVE_KPIS = ("total_transactions", "total_payments", "total_reversals", "total_withdrawals",
+                 "total_amount", "reversed_amount", "total_rejected_transactions")
+
+
+def merge_kpis(stored: DataFrame, delta: DataFrame, with_timestamp: bool = True) -> DataFrame:
+    """Exact incremental maintenance of the KPI table for appended transactions.
+
+    ``stored`` and ``delta`` are KPI tables (same keys); their additive measures
+    are summed per group (NULL keys group together, as in the full computation)
+    and the derived ones recomputed.  ``average_amount`` is total_amount /
+    total_transactions, equal to the mean because clean rows never have a NULL
+    amount.
+    """
+    merged = (stored.select(*KPI_KEYS, *ADDITIVE_KPIS).unionByName(
+        delta.select(*KPI_KEYS, *ADDITIVE_KPIS))
+        .groupBy(*KPI_KEYS).agg(*[F.sum(c).alias(c) for c in ADDITIVE_KPIS]))
+    return _derive(merged.withColumn(
+        "average_amount", F.col("total_amount") / F.col("total_transactions")),
+        with_timestamp)
+
+
+def _derive(kpis: DataFrame, with_timestamp: bool) -> DataFrame:
+    kpis = kpis.select(*KPI_KEYS, "total_transactions", "total_payments", "total_reversals",
+                       "total_withdrawals", "total_amount", "average_amount", "reversed_amount",
+                       "total_rejected_transactions")
     kpis = kpis.withColumn("reversal_rate",
                            reversal_rate(F.col("total_payments"), F.col("total_reversals")))
     kpis = kpis.withColumn("risk_score",
@@ -78,6 +100,13 @@ def daily_kpis(tx: DataFrame, with_timestamp: bool = True) -> DataFrame:
     return kpis
 
 
+def daily_kpis(tx: DataFrame, with_timestamp: bool = True) -> DataFrame:
+    """silver.transactions -> gold.daily_transaction_kpis."""
+    kpis = kpi_aggregates(tx.select("transaction_date", "merchant_id", "channel", "currency",
+                                    "transaction_type", "status", "amount"))
+    return _derive(kpis, with_timestamp)
+
+
 def merchant_metrics(kpis: DataFrame) -> DataFrame:
     """Per-merchant roll-up of the KPI table (amounts summed across currencies,
     unweighted mean of group rates, distinct active dates)."""

@@ -10,6 +10,8 @@ stream checkpoint so the next run rebuilds it from its inputs.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -86,12 +88,16 @@ class Pipeline:
     def run_gold(self, incremental: bool = True) -> None:
         """Refresh the KPI table, then rebuild the summary and the alerts from it.
 
-        The KPIs of a date depend only on that date's transactions, so an
-        incremental refresh recomputes just the dates present in silver files
-        committed since the last refresh and replaces those partitions
-        (dynamic partition overwrite); the rest of the table is untouched.
-        A full rebuild happens on the first run, with ``incremental=False``,
-        or when silver no longer holds every file aggregated before (refresh).
+        Incremental (default): silver is append-only, and every KPI measure is a
+        count or a sum, so only the silver files committed since the last
+        refresh are aggregated and merged into the stored KPI rows of the dates
+        they touch (``gold.merge_kpis``); those date partitions are replaced by
+        dynamic partition overwrite.  Cost follows the new data, not the size
+        of a (possibly hot) date.  The files being merged are recorded as
+        *pending* first; a refresh that stops midway is repaired on the next run
+        by recomputing the pending files' dates from silver (idempotent).
+        A full rebuild happens on the first run, with ``incremental=False``, or
+        when silver no longer holds every file aggregated before (refresh).
         """
         spark, layout = self.spark, self.layout
         if not self._has_source("transactions"):
@@ -101,39 +107,56 @@ class Pipeline:
         kpi_path = layout.table_path(KPI_TABLE)
         cols = gold.daily_kpis(tx).columns
         committed = spark.createDataFrame([(f,) for f in tx.inputFiles()], "path string")
-        consumed_path = layout.checkpoint("gold_daily_transaction_kpis")  # files aggregated
+        state = layout.checkpoint("gold_daily_transaction_kpis")
+        consumed_path, pending_path = os.path.join(state, "files"), os.path.join(state, "pending")
         consumed = _read_or_none(spark, consumed_path)
         full = (not incremental or consumed is None or _read_or_none(spark, kpi_path) is None
                 or consumed.join(committed, "path", "left_anti").limit(1).count() > 0)
+
+        def new_rows(paths):
+            return spark.read.schema(tx.schema).option("basePath", silver_path).parquet(*paths)
+
+        def replace_dates(kpis):
+            (kpis.repartition("transaction_date").write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic")
+             .partitionBy("transaction_date").parquet(kpi_path))
+
+        def record(paths):
+            spark.createDataFrame([(p,) for p in paths], "path string") \
+                .write.mode("append").parquet(consumed_path)
+            _delete(spark, pending_path)
+
         # KPI rows are aggregates (per date at most merchants x channels x
         # currencies), so clustering them by date before the partitioned write is
         # cheap and gives about one file per date instead of one per task and date.
         if full:
             overwrite(gold.daily_kpis(tx).repartition("transaction_date"), kpi_path,
                       partition_by=("transaction_date",))
-            paths = None
+            committed.write.mode("overwrite").parquet(consumed_path)
+            _delete(spark, pending_path)
         else:
+            pending = _read_or_none(spark, pending_path)
+            if pending is not None:  # an earlier refresh stopped midway: redo its dates
+                paths = [r.path for r in pending.collect()]
+                touched = _dates(new_rows(paths))
+                if touched:
+                    replace_dates(gold.daily_kpis(tx.filter(F.col("transaction_date")
+                                                            .isin(touched))))
+                record(paths)
+                consumed = _read_or_none(spark, consumed_path)
             paths = [r.path for r in committed.join(consumed, "path", "left_anti").collect()]
-            if paths:
-                # Partitioned by date: the dates come from the new files' paths
-                # (partition discovery), no data is read.
-                dates = (spark.read.option("basePath", silver_path).parquet(*paths)
-                         .select("transaction_date").distinct()
-                         .collect())  # one row per calendar date touched
-                touched = [r.transaction_date for r in dates if r.transaction_date is not None]
+            if paths:  # committed file names, not rows
+                spark.createDataFrame([(p,) for p in paths], "path string") \
+                    .write.mode("overwrite").parquet(pending_path)
+                delta = gold.daily_kpis(new_rows(paths), with_timestamp=False).checkpoint()
+                touched = _dates(delta)
                 if touched:
-                    affected = tx.filter(F.col("transaction_date").isin(touched))
-                    (gold.daily_kpis(affected).repartition("transaction_date")
-                     .write.mode("overwrite")
-                     .option("partitionOverwriteMode", "dynamic")
-                     .partitionBy("transaction_date").parquet(kpi_path))
-        # Record what has been aggregated (from materialised names, never from a
-        # plan that reads the record itself).
-        if full:
-            committed.write.mode("overwrite").parquet(consumed_path)
-        elif paths:
-            spark.createDataFrame([(p,) for p in paths], "path string") \
-                .write.mode("append").parquet(consumed_path)
+                    stored = spark.read.parquet(kpi_path).filter(
+                        F.col("transaction_date").isin(touched))
+                    # checkpoint(): the merged rows no longer read the partitions
+                    # they are about to replace.
+                    replace_dates(gold.merge_kpis(stored, delta).checkpoint())
+                record(paths)
         # Materialised once, read by both consumers (small: one row per group).
         kpis_t = read_partitioned(spark, kpi_path, cols)
         overwrite(gold.fraud_alerts(kpis_t), layout.table_path(ALERTS_TABLE))
@@ -204,6 +227,12 @@ class Pipeline:
             self.spark.sql(f"DROP TABLE IF EXISTS {table}")
 
 
+def _dates(df: DataFrame) -> list:
+    """Distinct transaction dates of a frame (one row per calendar date)."""
+    return [r.transaction_date for r in df.select("transaction_date").distinct().collect()
+            if r.transaction_date is not None]
+
+
 def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         return spark.read.parquet(path)

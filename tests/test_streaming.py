@@ -292,3 +292,36 @@ def test_seen_files_record_compacts(spark, run_dir, monkeypatch):
     assert files._seen_generation(spark, s) >= 1
     seen = sorted(r.path for r in files.read_seen_files(spark, s).collect())
     assert seen == [f"file:/x/{i}.json" for i in range(5)]
+
+
+def test_incremental_kpi_refresh_recovers_from_interrupted_run(spark, run_dir):
+    from stratum.plans import gold
+    layout = Layout(run_dir)
+    t = spec(layout, "transactions", "json")
+    pipe = Pipeline(spark, layout, [t], register_tables=False)
+
+    def rows(start, n, date):
+        return [(i, f"TXN-{date.replace('-', '')}-{i:05d}", "USR-000001", "MCH-00001", "10,50",
+                 "pago", "web", "aprobado", "PEN", date, None) for i in range(start, start + n)]
+
+    write_json_arrays(spark.createDataFrame(rows(1, 3, "2024-01-05"), TX), t.source_path)
+    pipe.run_bronze(); pipe.run_silver(); pipe.run_gold()
+    write_json_arrays(spark.createDataFrame(rows(10, 2, "2024-01-06"), TX), t.source_path)
+    pipe.run_bronze(); pipe.run_silver()
+    # Simulate a refresh that wrote wrong rows for the new date and stopped
+    # before recording its files: pending list present, KPI partition corrupt.
+    kpi = layout.table_path(KPI_TABLE)
+    state = layout.checkpoint("gold_daily_transaction_kpis")
+    consumed = spark.read.parquet(os.path.join(state, "files"))
+    silver = pipe._read_silver("transactions")
+    new = [p for p in silver.inputFiles() if p not in {r.path for r in consumed.collect()}]
+    spark.createDataFrame([(p,) for p in new], "path string").write.parquet(
+        os.path.join(state, "pending"))
+    bad = gold.daily_kpis(silver.filter("transaction_date = date'2024-01-06'")) \
+        .withColumn("total_transactions", F.lit(999).cast("bigint"))
+    (bad.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("transaction_date").parquet(kpi))
+    pipe.run_gold()
+    full = gold.daily_kpis(silver, with_timestamp=False)
+    got = spark.read.parquet(kpi).drop("_processed_at").select(*full.columns)
+    assert got.exceptAll(full).count() == 0 and full.exceptAll(got).count() == 0

@@ -30,9 +30,6 @@ SESSION_DEFAULTS = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # Commit only the changes of each micro-batch instead of state snapshots.
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
-    # Lineage cuts (checkpoint()) of incremental refreshes are removed once
-    # unreferenced, so a long-running pipeline does not accumulate them.
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

@@ -52,6 +52,45 @@ def reader_options(spec: SourceSpec) -> dict:
     return opts
 
 
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def read_small_text(spark: SparkSession, path: str) -> str | None:
+    """A small control file (schema, pointer) read on the driver; None if absent."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        reader = spark.sparkContext._jvm.java.io.BufferedReader(
+            spark.sparkContext._jvm.java.io.InputStreamReader(stream, "UTF-8"))
+        lines = []
+        line = reader.readLine()
+        while line is not None:
+            lines.append(line)
+            line = reader.readLine()
+        return "\n".join(lines)
+    finally:
+        stream.close()
+
+
+def write_small_text(spark: SparkSession, path: str, text: str) -> None:
+    """Replace a small control file: write a sibling, then rename over it."""
+    fs, p = _fs(spark, path)
+    tmp = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path + ".tmp")
+    out = fs.create(tmp, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    if fs.exists(p):
+        fs.delete(p, False)
+    fs.rename(tmp, p)
+
+
 def _not_found(exc: Exception) -> bool:
     msg = str(exc)
     return "PATH_NOT_FOUND" in msg or "UNABLE_TO_INFER_SCHEMA" in msg
@@ -79,13 +118,8 @@ def _seen_files_root(spec: SourceSpec) -> str:
 
 
 def _seen_generation(spark: SparkSession, spec: SourceSpec) -> int:
-    try:
-        rows = spark.read.text(os.path.join(spec.schema_location, "files_generation")).collect()
-    except Exception as exc:
-        if _not_found(exc):
-            return 0
-        raise
-    return int(rows[0].value) if rows else 0
+    text = read_small_text(spark, os.path.join(spec.schema_location, "files_generation"))
+    return int(text.strip()) if text else 0
 
 
 def _seen_files_path(spec: SourceSpec, generation: int) -> str:
@@ -113,8 +147,8 @@ def record_seen_files(spark: SparkSession, spec: SourceSpec, paths: list[str]) -
     if len(seen.inputFiles()) > SEEN_COMPACT_AFTER:
         seen.repartition(max(1, len(seen.inputFiles()) // SEEN_COMPACT_AFTER), "path") \
             .write.mode("overwrite").parquet(_seen_files_path(spec, gen + 1))
-        spark.createDataFrame([(str(gen + 1),)], "value string").coalesce(1) \
-            .write.mode("overwrite").text(os.path.join(spec.schema_location, "files_generation"))
+        write_small_text(spark, os.path.join(spec.schema_location, "files_generation"),
+                         str(gen + 1))
 
 
 def unseen_files(spark: SparkSession, spec: SourceSpec) -> DataFrame | None:
@@ -197,25 +231,17 @@ def merge_schemas(persisted: T.StructType | None, inferred: T.StructType | None)
 
 
 def _schema_path(location: str) -> str:
-    return os.path.join(location, "schema")
+    return os.path.join(location, "schema.json")
 
 
 def load_schema(spark: SparkSession, location: str) -> T.StructType | None:
-    try:
-        rows = spark.read.text(_schema_path(location)).collect()  # one small JSON document
-    except Exception as exc:
-        if _not_found(exc):
-            return None
-        raise
-    if not rows:
-        return None
-    return T.StructType.fromJson(json.loads("".join(r.value for r in rows)))
+    text = read_small_text(spark, _schema_path(location))
+    return T.StructType.fromJson(json.loads(text)) if text else None
 
 
 def save_schema(spark: SparkSession, location: str, schema: T.StructType) -> None:
-    """Persist through Spark's file layer so any shared file system works."""
-    spark.createDataFrame([(schema.json(),)], "value string").coalesce(1) \
-        .write.mode("overwrite").text(_schema_path(location))
+    """Persist through Hadoop's file system API, so any shared file system works."""
+    write_small_text(spark, _schema_path(location), schema.json())
 
 
 def evolve_schema(spark: SparkSession, spec: SourceSpec, sampling_ratio: float = 1.0

@@ -97,3 +97,26 @@ def test_first_failure_and_all_true_model(spark, rows):
         expected = next((f"r_{n}" for n, f in zip(names, flags) if f is True), None)
         assert r.reason == expected
         assert r.ok == all(f is True for f in flags)
+
+
+tx_row = st.tuples(
+    st.sampled_from([dt.date(2024, 1, 1), dt.date(2024, 1, 2)]),
+    st.sampled_from(["MCH-00001", "MCH-00002"]),
+    st.sampled_from(["web", "app", None]),
+    st.sampled_from(["PEN", None]),
+    st.sampled_from(["pago", "reversa", "retiro", None]),
+    st.sampled_from(["aprobado", "rechazado"]),
+    st.integers(min_value=1, max_value=400000).map(lambda q: q / 4.0))
+
+
+@SETTINGS
+@given(st.lists(tx_row, min_size=1, max_size=40), st.lists(tx_row, min_size=1, max_size=40))
+def test_merge_kpis_equals_full_recompute(spark, first, second):
+    from stratum.plans import gold
+    cols = ("transaction_date date, merchant_id string, channel string, currency string, "
+            "transaction_type string, status string, amount double")
+    a, b = spark.createDataFrame(first, cols), spark.createDataFrame(second, cols)
+    merged = gold.merge_kpis(gold.daily_kpis(a), gold.daily_kpis(b), with_timestamp=False)
+    full = gold.daily_kpis(a.unionByName(b), with_timestamp=False)
+    assert merged.columns == full.columns
+    assert merged.exceptAll(full).count() == 0 and full.exceptAll(merged).count() == 0

@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm import mixing, secrets, urls, warc
+from stratum.llm import jaccard_join, mixing, secrets, substring_dedup, topk, urls, warc
 from stratum.llm.common import read_table, scratch_uri
 
 URL_RULES = (urls.Rule("net/", "block"), urls.Rule("example.net/en/", "allow"),
              urls.Rule("example.com/de/", "block"), urls.Rule("org/fr/", "allow"))
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.substring_dedup(read_table(spark, sf_dir, "documents"), window=35)
+
+
 def op2_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     planned = mixing.plan_mix(read_table(spark, sf_dir, "documents"))
     return planned.select(
@@ -34,6 +38,14 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         secrets.joined_spans(F.concat(base, F.col("_markov"))).alias("spans"))
 
 
+def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(read_table(spark, sf_dir, "embeddings"), k=10, every=100)
+
+
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_join(read_table(spark, sf_dir, "documents"))
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_uri(spark, "warc")
     warc.write_warc(read_table(spark, sf_dir, "pages"), root)
@@ -42,8 +54,11 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op2_mix": op2_mix,
     "op5_url_filter": op5_url_filter,
     "op6_secret_scan": op6_secret_scan,
+    "op7_topk": op7_topk,
+    "op8_jaccard_join": op8_jaccard_join,
     "op10_warc": op10_warc,
 }

@@ -5,7 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm import jaccard_join, mixing, secrets, substring_dedup, topk, urls, warc
+from stratum.llm import (
+    decontaminate,
+    jaccard_join,
+    mixing,
+    secrets,
+    substring_dedup,
+    topk,
+    toxicity,
+    urls,
+    warc,
+)
 from stratum.llm.common import read_table, scratch_uri
 
 URL_RULES = (urls.Rule("net/", "block"), urls.Rule("example.net/en/", "allow"),
@@ -23,6 +33,12 @@ def op2_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("_target").alias("target"), (F.col("_size") * F.col("_copies")).alias("taken"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(read_table(spark, sf_dir, "documents"),
+                                    read_table(spark, sf_dir, "labels")).select(
+        "doc_id", "held_out", "score", "predicted", "evidence_ids")
+
+
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.filter_urls(read_table(spark, sf_dir, "pages"), URL_RULES).select(
         "page_id", "host", "path", "rule", "verdict")
@@ -46,6 +62,12 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_join(read_table(spark, sf_dir, "documents"))
 
 
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(read_table(spark, sf_dir, "documents"),
+                                    read_table(spark, sf_dir, "benchmark")).select(
+        "doc_id", "item_id", "word_start", "hamming", "similarity")
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_uri(spark, "warc")
     warc.write_warc(read_table(spark, sf_dir, "pages"), root)
@@ -56,9 +78,11 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_mix": op2_mix,
+    "op3_toxicity": op3_toxicity,
     "op5_url_filter": op5_url_filter,
     "op6_secret_scan": op6_secret_scan,
     "op7_topk": op7_topk,
     "op8_jaccard_join": op8_jaccard_join,
+    "op9_decontaminate": op9_decontaminate,
     "op10_warc": op10_warc,
 }

@@ -20,6 +20,9 @@ BYTE_VALUE = _rng.randint(1, 1 << 62, 256).astype(U) * U(2) + U(1)
 BASE, INVERSE = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
 BLANK = np.zeros(256, bool)
 BLANK[[0x20, 9, 10, 11, 12, 13]] = True
+# Letters, digits and all bytes of longer code points make words; the rest separates.
+PUNCT = np.ones(256, bool)
+PUNCT[48:58] = PUNCT[65:91] = PUNCT[97:123] = PUNCT[128:] = False
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
@@ -122,24 +125,34 @@ class Words:
     ends: np.ndarray     # byte after it
     hashes: np.ndarray   # 64-bit, by content
     first: np.ndarray    # first word of every text, and the end
+    total: np.ndarray    # running polynomial over the bytes
 
     def text_of(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
 
+    def prefixes(self, length: int) -> np.ndarray:
+        """Hashes of every word's first ``length`` bytes, apart from those of words."""
+        ends = np.minimum(self.starts + length, self.ends)
+        h = (self.total[ends] - self.total[self.starts]) * powers(
+            INVERSE, len(self.total))[self.starts]
+        return mix(h + U(1 << 40) + U(length))
+
     def fits(self, n_windows: int, length: int) -> np.ndarray:
         """Whether window i (of ``length`` words) ends inside its text."""
         ends = np.repeat(self.first[1:], np.diff(self.first))[:n_windows]
         return np.arange(n_windows) + length <= ends
 
 
-def words_of(data: np.ndarray, offs: np.ndarray, lower: bool = False) -> Words:
+def words_of(data: np.ndarray, offs: np.ndarray, lower: bool = False,
+             blank: np.ndarray = BLANK) -> Words:
     """The blank-separated words of each text."""
     buf = LOWER[data] if lower else data
     n = len(buf)
     if n == 0:
         z = np.empty(0, np.int64)
-        return Words(z, z, np.empty(0, U), np.zeros(len(offs), np.int64))
-    solid = ~BLANK[buf]
+        return Words(z, z, np.empty(0, U), np.zeros(len(offs), np.int64),
+                     np.zeros(1, U))
+    solid = ~blank[buf]
     edge = np.zeros(n + 1, bool)
     edge[offs] = True
     before = np.empty(n, bool)
@@ -157,4 +170,4 @@ def words_of(data: np.ndarray, offs: np.ndarray, lower: bool = False) -> Words:
     np.cumsum(BYTE_VALUE[buf] * powers(BASE, n), out=total[1:])
     h = (total[ends] - total[starts]) * powers(INVERSE, n)[starts]
     h = mix(h + (ends - starts).astype(U))
-    return Words(starts, ends, h, np.searchsorted(starts, offs))
+    return Words(starts, ends, h, np.searchsorted(starts, offs), total)

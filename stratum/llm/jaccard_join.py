@@ -363,3 +363,25 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return o.join(c, F.expr("o._id = c.node"), "left").select(
         F.col("o._id").alias(id_col), F.col("o._n").alias("n_shingles"),
         F.coalesce("c.label", "o._id").alias("component_id"))
+
+
+def keep_one_per_group(docs: DataFrame, id_col: str = "doc_id",
+                       text_col: str = "text") -> DataFrame:
+    """One row per component (that with the smallest id), all columns as they were.
+
+    Rows without an id are kept; of rows that share the id the one with the smallest
+    text hash stays.
+    """
+    ident, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
+    groups = jaccard_join(docs.select(ident.alias("_i"), text.alias("_t")), "_i", "_t")
+    gone = groups.where("_i <> component_id").select(F.col("_i").alias("_gone")).distinct()
+    repeats = docs.groupBy(ident.alias("_i")).agg(F.count(F.lit(1)).alias("_k")).where(
+        "_k > 1 AND _i IS NOT NULL")
+    left = docs.join(gone, ident.cast("long") == F.col("_gone"), "left_anti")
+    if repeats.isEmpty():
+        return left
+    many = left.join(repeats.select("_i"), ident == F.col("_i"), "left_semi")
+    once = left.join(repeats.select("_i"), ident == F.col("_i"), "left_anti")
+    row = Window.partitionBy(id_col).orderBy(F.xxhash64(text))
+    many = many.withColumn("_row", F.row_number().over(row)).where("_row = 1").drop("_row")
+    return once.unionByName(many)

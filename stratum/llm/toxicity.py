@@ -293,3 +293,20 @@ def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
         F.col("_id").alias(id_col), F.coalesce(held, F.lit(False)).alias("held_out"), "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence_ids",
         "evidence_cosines")
+
+
+def keep_clean(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+               label_col: str = "toxic", max_train: int = 8000, terms: int = 2000, k: int = 15,
+               seed: int = 5, reject_from: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` that score below ``reject_from``, all columns as they were."""
+    model = fit(training_rows(docs, labels, id_col, text_col, label_col, max_train, seed),
+                terms, k)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        m = shared.value
+        for b in batches:
+            yield b.filter(pa.array([m.score(*p)[0] < reject_from
+                                     for p in term_counts(b, text_col)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -11,6 +11,7 @@ from stratum.llm import (
     mixing,
     secrets,
     substring_dedup,
+    suffix_dedup,
     topk,
     toxicity,
     urls,
@@ -39,6 +40,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "held_out", "score", "predicted", "evidence_ids")
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.suffix_dedup(read_table(spark, sf_dir, "documents"), window=400)
+
+
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.filter_urls(read_table(spark, sf_dir, "pages"), URL_RULES).select(
         "page_id", "host", "path", "rule", "verdict")
@@ -79,6 +84,7 @@ QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_mix": op2_mix,
     "op3_toxicity": op3_toxicity,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_url_filter": op5_url_filter,
     "op6_secret_scan": op6_secret_scan,
     "op7_topk": op7_topk,

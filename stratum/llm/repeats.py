@@ -65,12 +65,21 @@ def emit(ids: pa.Array, tks: pa.Array, key: np.ndarray, key2: np.ndarray, row: n
     return pa.RecordBatch.from_arrays(cols, ["_key", "_key2", "_kind", "_id", "_tk", "_at", "_n"])
 
 
-def repeated(rows: DataFrame) -> DataFrame:
-    """``_id``, ``_tk``, ``_found``: per holder the (at, n) of its repeated keys."""
+def repeated_rows(rows: DataFrame) -> DataFrame:
+    """``_id``, ``_tk``, ``_at``, ``_n``: what holders of repeated keys report."""
     weight = F.expr(f"CASE _kind WHEN {SINGLE} THEN 1 WHEN {WITNESS} THEN 2 ELSE 0 END")
     seen = rows.withColumn("_seen", F.sum(weight).over(Window.partitionBy("_key", "_key2")))
-    return (seen.where(f"_kind = {KNOWN} OR (_kind = {SINGLE} AND _seen > 1)")
-            .groupBy("_id", "_tk").agg(F.collect_list(F.struct("_at", "_n")).alias("_found")))
+    return seen.where(f"_kind = {KNOWN} OR (_kind = {SINGLE} AND _seen > 1)").select(
+        "_id", "_tk", "_at", "_n")
+
+
+def per_holder(rows: DataFrame) -> DataFrame:
+    """``_id``, ``_tk``, ``_found``: the (at, n) of each holder."""
+    return rows.groupBy("_id", "_tk").agg(F.collect_list(F.struct("_at", "_n")).alias("_found"))
+
+
+def repeated(rows: DataFrame) -> DataFrame:
+    return per_holder(repeated_rows(rows))
 
 
 def marks(found: pa.ListArray, i: int, n: int, width: int) -> np.ndarray:

@@ -71,29 +71,11 @@ def _windows(data, offs, window, length, allowed):
         other = textwin.window_hash(textwin.mix(w.hashes + textwin.U(0x5851F42D4C957F2D)), window)
         key2 = (other[at] >> textwin.U(32)).astype(np.uint32).view(np.int32)
         return key, key2, text[at], at - w.first[text[at]]
-    # The anchor's own place: equal anchors of one text at one place are one.
     h = textwin.window_hash(w.hashes, length)
-    low = textwin.sliding_min(h, window - length + 1)[at]
-    place = _leftmost(h, low, at, window - length + 1)
-    _, keep = np.unique(place, return_index=True)
-    return (low[keep], np.zeros(len(keep), np.int32), text[at][keep],
-            low[keep].view(np.int64))
-
-
-def _leftmost(h, low, at, width):
-    """Place of the first item equal to the window's minimum, for every window."""
-    if not len(at):
-        return at
-    # Places where an item equals some window's minimum, then search from the start.
-    spots = np.flatnonzero(np.isin(h, low))
-    nxt = np.searchsorted(spots, at)
-    place = spots[nxt]
-    wrong = h[place] != low
-    while wrong.any():
-        nxt[wrong] += 1
-        place = spots[nxt]
-        wrong = h[place] != low
-    return place
+    width = window - length + 1
+    place = textwin.anchors(h, textwin.sliding_min(h, width), ok, width)
+    return (h[place], np.zeros(len(place), np.int32), w.text_of()[place],
+            h[place].view(np.int64))
 
 
 def _level_rows(table: DataFrame, window: int, length: int, below: int | None) -> DataFrame:

@@ -87,6 +87,37 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return cur
 
 
+def anchors(h: np.ndarray, low: np.ndarray, ok: np.ndarray, width: int) -> np.ndarray:
+    """Places of ``h`` that are the minimum of some window i with ``ok[i]``.
+
+    ``low``: the minima of all ``width`` neighbours.  No window over a place has a
+    minimum above its value, so the place is one exactly if the largest equals it.
+    """
+    if not len(low):
+        return np.empty(0, np.int64)
+    edge = np.zeros(width - 1, U)
+    held = np.where(ok, low, U(0))
+    most = ~sliding_min(~np.concatenate([edge, held, edge]), width)
+    return np.flatnonzero((most == h) & (most > 0))
+
+
+def byte_hash(total: np.ndarray, length: int) -> np.ndarray:
+    """Hashes of all ``length``-byte strings, from the running polynomial."""
+    n = len(total) - length
+    if n <= 0:
+        return np.empty(0, U)
+    return mix((total[length:] - total[:-length]) * powers(INVERSE, n) + U(length))
+
+
+def running(data: np.ndarray, salt: int = 0) -> np.ndarray:
+    """Running polynomial over bytes (``salt``: another independent one)."""
+    value = BYTE_VALUE if not salt else mix(BYTE_VALUE + U(salt)) | U(1)
+    total = np.empty(len(data) + 1, U)
+    total[0] = 0
+    np.cumsum(value[data] * powers(BASE, len(data)), out=total[1:])
+    return total
+
+
 def buffers(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, int64 offsets) of a string or binary column; null counts as empty."""
     if isinstance(col, pa.ChunkedArray):

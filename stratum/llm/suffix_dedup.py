@@ -1,13 +1,14 @@
 """Suffix-array dedup on bytes: remove what a 400-byte string elsewhere repeats.
 
-*Candidates.* A ``window``-byte string is represented by its anchor, the 32 bytes in it
+*Candidates.* A ``window``-byte string is represented by its anchor, the 128 bytes in it
 with the smallest hash.  Equal strings have equal anchors at equal places, so strings
 whose anchor hash occurs at one place only cannot repeat; nothing is lost, and one row
-per 185 bytes tells.  Only documents that hold a repeated anchor go on.
+per 137 bytes tells.  Only documents that hold a repeated anchor go on.
 
 *Shards.* Each run of candidate strings with one anchor is a piece of text (the run's
 strings, whole), dealt by the anchor's hash: equal strings meet in one shard.  Pieces
-equal within an Arrow batch are settled there and sent once.
+equal within an Arrow batch are settled there and sent once, and those equal within a
+shard are settled before its suffix arrays.
 
 *Suffix arrays.* A task takes the pieces of its anchors, about ``SHARD`` bytes at a
 time, and builds their suffix array by induced sorting (``sais``): suffixes are
@@ -42,7 +43,7 @@ from pyspark.sql import functions as F
 from stratum.llm import repeats, sais, textwin
 from stratum.llm.common import keyed, same_row, written
 
-GRAM = 32
+GRAM = 128
 SHARD = 1 << 20        # bytes of pieces per suffix array
 HOT = 512              # pieces of one anchor that are still one shard's
 BROADCAST_ROWS = 1 << 17
@@ -81,7 +82,8 @@ def _anchor_rows(rows: DataFrame, window: int, gram: int) -> DataFrame:
     return rows.mapInArrow(emit, repeats.rows_schema(id_type))
 
 
-PIECE = "_v long, _id {0}, _tk long, _kind byte, _at int, _n int, _piece binary"
+PIECE = ("_v long, _id {0}, _tk long, _kind byte, _at int, _n int, _twice boolean, "
+         "_piece binary")
 
 
 def _pieces(table: DataFrame, window: int, gram: int) -> DataFrame:
@@ -92,9 +94,9 @@ def _pieces(table: DataFrame, window: int, gram: int) -> DataFrame:
         for b in batches:
             ids, tks, found = b.column("_id"), b.column("_tk"), b.column("_found")
             data, offs = textwin.buffers(b.column("_text"))
-            v, row, at, n, piece = [], [], [], [], []
+            v, row, at, n, twice, piece = [], [], [], [], [], []
             for i, j, part, po in textwin.chunks(data, offs):
-                _, low, ok = _chunk_minima(part, po, window, gram)
+                h, low, ok = _chunk_minima(part, po, window, gram)
                 for k in range(i, j):
                     a, e = po[k - i], max(po[k - i], po[k - i + 1] - window + 1)
                     if e <= a:
@@ -107,8 +109,11 @@ def _pieces(table: DataFrame, window: int, gram: int) -> DataFrame:
                     first, last = np.append(0, cut), np.append(cut, len(mine))
                     good = np.isin(mine[first], own)
                     raw = part[a:po[k - i + 1]].tobytes()
-                    for s, t, x in zip(first[good], last[good], mine[first[good]].view(np.int64)):
-                        v.append(x), row.append(k), at.append(s), n.append(t - s)
+                    for s, t, x in zip(first[good], last[good], mine[first[good]]):
+                        v.append(x.view(np.int64)), row.append(k), at.append(s), n.append(t - s)
+                        # Whether the anchor stands in the piece twice (it may repeat itself).
+                        twice.append(np.count_nonzero(
+                            h[a + s:a + t + window - gram] == x) > 1)
                         piece.append(raw[s:t + window - 1])
             seen: dict[bytes, int] = {}
             mark = [hashlib.blake2b(p, digest_size=16).digest() for p in piece]
@@ -129,9 +134,10 @@ def _pieces(table: DataFrame, window: int, gram: int) -> DataFrame:
                  pa.array(np.concatenate([kind, np.full(w, repeats.WITNESS, np.int8)])),
                  pa.array(np.array(at + [at[i] for i in witness], np.int32)),
                  pa.array(np.array(n + [n[i] for i in witness], np.int32)),
+                 pa.array(twice + [twice[i] for i in witness], pa.bool_()),
                  pa.array([p if k == repeats.SINGLE else None for p, k in zip(piece, kind)]
                           + [piece[i] for i in witness], pa.binary())],
-                ["_v", "_id", "_tk", "_kind", "_at", "_n", "_piece"])
+                ["_v", "_id", "_tk", "_kind", "_at", "_n", "_twice", "_piece"])
 
     return table.mapInArrow(emit, PIECE.format(id_type))
 
@@ -170,39 +176,62 @@ FOUND = "_id {0}, _tk long, _at long, _n int"
 def _by_suffix_arrays(cold: DataFrame, window: int) -> DataFrame:
     id_type = cold.schema["_id"].dataType.simpleString()
 
-    def judge(held: list[tuple], types) -> pa.RecordBatch:
-        ids, tks, at, n = [], [], [], []
-        for (_, i, tk, start, _), starts in zip(
-                held, repeated_starts([x[4] for x in held], window)):
-            if tk is None:
-                continue
-            for a, k in zip(*_runs(starts)):
-                ids.append(i), tks.append(tk), at.append(start + int(a)), n.append(int(k))
+    def found(rows: list[tuple], types) -> pa.RecordBatch:
+        ids, tks, at, n = zip(*rows) if rows else ((), (), (), ())
         return pa.RecordBatch.from_arrays(
             [pa.array(ids, types), pa.array(tks, pa.int64()), pa.array(at, pa.int64()),
              pa.array(n, pa.int32())], ["_id", "_tk", "_at", "_n"])
 
+    def judge(held: list[tuple], out: list[tuple]) -> None:
+        for (i, tk, start, _, _), starts in zip(held, repeated_starts([x[4] for x in held],
+                                                                      window)):
+            if tk is not None:
+                out.extend((i, tk, start + int(a), int(k)) for a, k in zip(*_runs(starts)))
+
+    def settle(group: list[tuple], held: list[tuple], out: list[tuple]) -> None:
+        """One anchor's pieces: equal ones repeat whole; distinct ones go to the array."""
+        by: dict[bytes, list[tuple]] = {}
+        for x in group:
+            by.setdefault(x[4], []).append(x)
+        alone = len(by) == 1
+        for piece, own in by.items():
+            i, tk, start, twice, _ = own[0]
+            if len(own) > 1 or tk is None:     # a witness stands for two
+                out.extend((x[0], x[1], x[2], len(piece) - window + 1)
+                           for x in own if x[1] is not None)
+                tk = None
+            if not alone or (twice and tk is not None):
+                held.append((i, tk, start, twice, piece))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size, types, group = [], 0, None, 0
+        held, group, out, last, types, seen = [], [], [], None, None, 0
         for b in batches:
             types = b.column("_id").type
-            for x in zip(*[b.column(c).to_pylist() for c in ("_v", "_id", "_tk", "_at",
-                                                              "_piece")]):
-                if held and x[0] != held[-1][0]:
-                    if group == 1 and held[-1][2] is None:   # a witness that met nobody
-                        size -= len(held.pop()[4])
-                    group = 0
-                    if size >= SHARD:
-                        yield judge(held, types)
-                        held, size = [], 0
-                held.append(x)
-                size += len(x[4])
-                group += 1
+            for v, *x in zip(*[b.column(c).to_pylist() for c in (
+                    "_v", "_id", "_tk", "_at", "_twice", "_piece")]):
+                if group and v != last:
+                    have = len(held)
+                    settle(group, held, out)
+                    group = []
+                    seen += sum(len(y[4]) for y in held[have:])
+                    if seen >= SHARD:
+                        judge(held, out)
+                        held, seen = [], 0
+                    if len(out) > 10_000:
+                        yield found(out, types)
+                        out = []
+                group.append(tuple(x))
+                last = v
+        if group:
+            settle(group, held, out)
         if held:
-            yield judge(held, types)
+            judge(held, out)
+        if out:
+            yield found(out, types)
 
     dealt = cold.repartition("_v").sortWithinPartitions("_v")
-    return dealt.select("_v", "_id", "_tk", "_at", "_piece").mapInArrow(run, FOUND.format(id_type))
+    return dealt.select("_v", "_id", "_tk", "_at", "_twice", "_piece").mapInArrow(
+        run, FOUND.format(id_type))
 
 
 def _by_hash(hot: DataFrame, window: int) -> DataFrame:

@@ -39,6 +39,7 @@ MIN_ASSIGN, MIN_ACCESS, MIN_HEX = 6, 20, 24
 
 TOKEN = r"[A-Za-z0-9+/_=-]{20,}"
 SYMBOLS = 96  # printable ASCII; anything else is symbol 0
+SMOOTH, BACK_OFF = 0.5, 50.0
 SPAN = "array<struct<start:int,kind:int,stop:int>>"
 
 
@@ -114,23 +115,28 @@ def train(rows: DataFrame, max_train: int, seed: int) -> list[float] | None:
         F.transform(F.concat("_access", "_hex"), lambda s: F.substring(
             F.col("_text"), s["start"] + 1, s["stop"] - s["start"])))).alias("_s"))
     plain = part.select(F.lit(0).alias("_class"), F.explode(
-        F.regexp_extract_all("_text", F.lit(r"(?<![A-Za-z0-9+/_=-])[A-Za-z]{4,}"
+        F.regexp_extract_all("_text", F.lit(r"(?<![A-Za-z0-9+/_=-])[A-Za-z][A-Za-z0-9_]{3,18}"
                                             r"(?![A-Za-z0-9+/_=-])"), F.lit(0))).alias("_s"))
     counts = [[0] * (SYMBOLS * SYMBOLS) for _ in range(2)]
     for r in _bigrams(secret.unionByName(plain)).collect():  # at most 2 x 96 x 96 rows
         counts[r["_class"]][r["_a"] * SYMBOLS + r["_b"]] = r["count"]
     if not sum(counts[1]) or not sum(counts[0]):
         return None
-    table = [0.0] * (SYMBOLS * SYMBOLS)
+    chance = [_transitions(c) for c in counts]
+    return [math.log(p1) - math.log(p0) for p0, p1 in zip(*chance)]
+
+
+def _transitions(counts: list[int]) -> list[float]:
+    """P(next | symbol), backed off to how common ``next`` is in the class."""
+    total = sum(counts)
+    alone = [(sum(counts[b::SYMBOLS]) + SMOOTH) / (total + SMOOTH * SYMBOLS)
+             for b in range(SYMBOLS)]
+    out = []
     for a in range(SYMBOLS):
-        row = slice(a * SYMBOLS, (a + 1) * SYMBOLS)
-        t1, t0 = sum(counts[1][row]), sum(counts[0][row])
-        for b in range(SYMBOLS):
-            i = a * SYMBOLS + b
-            # Add-half smoothing; the classes share the alphabet.
-            table[i] = (math.log((counts[1][i] + 0.5) / (t1 + 0.5 * SYMBOLS))
-                        - math.log((counts[0][i] + 0.5) / (t0 + 0.5 * SYMBOLS)))
-    return table
+        row = counts[a * SYMBOLS:(a + 1) * SYMBOLS]
+        n = sum(row) + BACK_OFF
+        out += [(c + BACK_OFF * p) / n for c, p in zip(row, alone)]
+    return out
 
 
 def llr_per_char(token: Column, table: list[float]) -> Column:
@@ -143,7 +149,7 @@ def llr_per_char(token: Column, table: list[float]) -> Column:
 
 
 def scan(docs: DataFrame, text_col: str = "text", max_train: int = 4000,
-         threshold: float = 1.0, seed: int = 11) -> DataFrame:
+         threshold: float = 0.5, seed: int = 11) -> DataFrame:
     """``docs`` plus ``_assign``, ``_access``, ``_hex``, ``_markov`` span arrays."""
     rows = docs.withColumn("_text", F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))
     table = train(rows.select("_text"), max_train, seed)

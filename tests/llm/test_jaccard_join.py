@@ -57,9 +57,9 @@ def short_sets(seed, n):
             for i in range(n)]
 
 
-@pytest.mark.parametrize("per_doc", [jj.PAIRS_PER_DOC, 0])
-def test_against_brute_force(spark, monkeypatch, per_doc):
-    monkeypatch.setattr(jj, "PAIRS_PER_DOC", per_doc)   # 0: star rounds as long as they last
+@pytest.mark.parametrize("rounds", [jj.MAX_ROUNDS, 1])
+def test_against_brute_force(spark, monkeypatch, rounds):
+    monkeypatch.setattr(jj, "MAX_ROUNDS", rounds)   # 1: most pairs are left to the end
     rows = corpus(1, 80) + near_copies(2, 80) + near_copies(3, 60, 30, 3)[1:] + short_sets(4, 120)
     rows = list({i: (i, t) for i, t in rows}.values())
     got = jj.jaccard_join(frame(spark, rows)).collect()
@@ -81,3 +81,24 @@ def test_subset_sizes_cover_every_linked_pair():
             c = jj.least_overlap(n, m)
             if c <= n:      # such a pair can link
                 assert c in jj.subset_sizes(n) and c in jj.subset_sizes(m)
+
+
+def test_single_items_are_counted_over_packs_and_buckets(spark, monkeypatch):
+    monkeypatch.setattr(jj, "BUCKET_ITEMS", 50)
+    rows = [(i, t or "") for i, t in corpus(7, 60)]
+    df = spark.createDataFrame(rows, "_id long, _text string").repartition(4)
+    sets = {i: {x for x in shingles(t)} for i, t in rows}
+    seen = {}
+    for i, s in sets.items():
+        for x in s:
+            seen.setdefault(x, set()).add(i)
+    want = {}
+    digests = {r["_id"]: r["_d1"] for r in jj.set_digests(df).collect()}
+    for i, s in sets.items():
+        n = sum(len(seen[x]) == 1 for x in s)
+        if n:
+            want[digests[i]] = n
+    got = {r["_d1"]: r["_single"] for r in jj.single_items(df, sum(map(len, sets.values()))).collect()}
+    # Cut hashes may collide, so a few single items may count as shared, none the other way.
+    assert set(got) <= set(want) and all(got[d] <= want[d] for d in got)
+    assert sum(got.values()) >= 0.9 * sum(want.values())

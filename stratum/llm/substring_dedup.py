@@ -3,7 +3,7 @@
 Every word covered by a window of ``window`` words that also starts anywhere else is
 removed.  A window can only repeat where its parts repeat, so the levels are lengths
 that double up to the window: 9, 18, 35 for a window of 35.  Windows repeated at one
-level alone go to the next, and the levels stop when no candidate is left.
+level alone go to the next; with no candidate left, a level has nothing to do.
 
 What a level shuffles: below the last, each window is represented by its *anchor*,
 the part of the level's length with the smallest hash.  Equal windows have equal
@@ -12,8 +12,8 @@ cannot repeat: the filter loses nothing, and it needs about one row per 13 words
 the first level.  The last level compares the windows themselves, by 96-bit hashes
 of what little is left.
 
-Texts move three times at most: once whole, to meet the anchors of level 1, then only
-the documents that still hold candidates.  Each level is a written table in the
+Texts move twice: once whole, to meet the anchors of level 1, then only the documents
+that still hold candidates.  The levels but the last two are written tables in the
 shared folder, so a lost executor costs one level.  Keys settled within a batch do
 not travel (``repeats``): a passage shared by a third of all documents reaches a task
 once per batch.  Memory per task: one Arrow batch, and one text.
@@ -111,18 +111,20 @@ def substring_dedup(docs: DataFrame, window: int = 35, id_col: str = "doc_id",
     rows = keyed(docs, id_col, text_col)
     lengths = levels(window)
     table, below = rows, None
-    for length in lengths[:-1]:
+    for k, length in enumerate(lengths[:-1]):
         found = repeats.repeated(_level_rows(table, window, length, below))
-        t = table.select("_id", "_tk", "_text").alias("t")
-        table = written(
-            t.join(found.alias("f"), same_row("t", "f")).select("t.*", "f._found"),
-            f"substring-level-{length}")
+        t = base = table.select("_id", "_tk", "_text")
+        table = t.alias("t").join(found.alias("f"), same_row("t", "f")).select("t.*", "f._found")
         below = length
-        if table.isEmpty():
-            break
+        # The last of several levels stays in the final plan, where its shuffle of the
+        # candidates' texts serves the removal as well.
+        if k == 0 or k < len(lengths) - 2:
+            table = written(table, f"substring-level-{length}")
+            base = table.select("_id", "_tk", "_text")
+    if len(lengths) == 1:
+        base = rows
     found = repeats.repeated(_level_rows(table, window, window, below))
-    c = table.select("_id", "_tk", "_text").alias("c")
-    hit = c.join(found.alias("f"), same_row("c", "f")).select("c.*", "f._found")
+    hit = base.alias("c").join(found.alias("f"), same_row("c", "f")).select("c.*", "f._found")
     id_type = rows.schema["_id"].dataType.simpleString()
     out = f"_id {id_type}, _tk long, n_words long, n_removed long, kept_sha256 string, kept_text string"
 

@@ -29,7 +29,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratum.llm.common import lower_ascii
+from stratum.llm.common import lower_ascii, written
 
 FEATURES = ["length", "host_length", "path_length", "depth", "host_depth", "digit_ratio",
             "entropy", "n_params", "n_hyphens", "has_fragment", "is_https", "suffix_length",
@@ -120,6 +120,8 @@ def fit(features: DataFrame, max_train: int, trees: int, depth: int, seed: int):
     train = labelled.where(draw < int(share * (1 << 20)))
     train = VectorAssembler(inputCols=FEATURES, outputCol="_x").transform(
         train.withColumn("_y", (F.col("_verdict") == "block").cast("double"))).select("_x", "_y")
+    # Bounded by max_train, so a few partitions do; training runs many short jobs.
+    train = written(train, "url-train").coalesce(4)
     if train.select("_y").distinct().count() < 2:
         return max(counts, key=lambda k: (counts[k], k))
     return GBTClassifier(featuresCol="_x", labelCol="_y", predictionCol="_p",

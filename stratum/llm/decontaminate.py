@@ -53,37 +53,28 @@ def grams(words: str, size: int) -> Column:
         f"i -> xxhash64({', '.join(f'{words}[i + {k}]' for k in range(size))})) END")
 
 
-def simhash(words: str) -> Column:
-    """64-bit SimHash of a bag of words: each bit by majority over the words' hashes.
+def fingerprinted(df: DataFrame, words: str) -> DataFrame:
+    """``df`` plus ``_fp``: the 64-bit SimHash of a bag of words, each bit by majority over
+    the words' hashes.
 
-    Sixteen running sums hold four 16-bit counters each, so a window is walked
-    sixteen times, not sixty-four.
+    An aggregate over the exploded words: sixteen running sums hold four 16-bit counters
+    each (windows have fewer than 65,536 words).
     """
     mask = sum(1 << (LANE * j) for j in range(BITS // LANE))
-    hashes = F.transform(F.col(words), lambda w: F.xxhash64(w))
-
-    def lane_sum(k: int) -> Column:
-        return F.aggregate(hashes, F.lit(0).cast("long"), lambda acc, h: acc + (
-            F.shiftrightunsigned(h, k).bitwiseAND(F.lit(mask))))
-
-    return F.array(*[lane_sum(k) for k in range(LANE)])
-
-
-def simhash_bits(sums: str, n: str) -> Column:
+    h = F.xxhash64("_word")
+    sums = [F.sum(F.shiftrightunsigned(h, k).bitwiseAND(F.lit(mask))).alias(f"_s{k}")
+            for k in range(LANE)]
+    counted = df.select("*", F.explode(words).alias("_word")).groupBy(*df.columns).agg(
+        *sums, F.count(F.lit(1)).alias("_words"))
     out = F.lit(0).cast("long")
     for k in range(LANE):
         for j in range(BITS // LANE):
-            count = F.shiftrightunsigned(F.col(sums)[k], LANE * j).bitwiseAND(F.lit(0xFFFF))
+            count = F.shiftrightunsigned(F.col(f"_s{k}"), LANE * j).bitwiseAND(F.lit(0xFFFF))
             bit = 1 << (LANE * j + k)
             bit = bit - (1 << 64) if bit >= 1 << 63 else bit
-            out = out.bitwiseOR(F.when(count * 2 > F.col(n), F.lit(bit).cast("long"))
+            out = out.bitwiseOR(F.when(count * 2 > F.col("_words"), F.lit(bit).cast("long"))
                                 .otherwise(F.lit(0).cast("long")))
-    return out
-
-
-def fingerprinted(df: DataFrame, words: str, n: str) -> DataFrame:
-    return df.withColumn("_sums", simhash(words)).withColumn(
-        "_fp", simhash_bits("_sums", n)).drop("_sums")
+    return counted.select(*df.columns, out.alias("_fp"))
 
 
 def blocks(radius: int) -> list[tuple[int, int]]:
@@ -97,12 +88,15 @@ def block_value(fp: Column, off: int, width: int) -> Column:
     return F.shiftrightunsigned(fp, off).bitwiseAND(F.lit((1 << width) - 1))
 
 
-def similarity(a: str, b: str) -> Column:
-    """Weighted Jaccard of two gram arrays (weights: occurrences)."""
-    n = lambda arr: f"size(filter({arr}, y -> y = x))"
-    part = lambda pick: F.expr(
-        f"aggregate(array_union({a}, {b}), 0, (s, x) -> s + {pick}({n(a)}, {n(b)}))")
-    return part("least") / part("greatest")
+def with_similarity(pairs: DataFrame, a: str, b: str, keys: list[str]) -> DataFrame:
+    """``keys`` and ``similarity``: the weighted Jaccard of two gram arrays per pair."""
+    one, none = F.lit(1), F.lit(0)
+    grams_ = pairs.select(*keys, F.explode(a).alias("_x"), one.alias("_a"), none.alias("_b")
+                          ).unionByName(pairs.select(*keys, F.explode(b).alias("_x"),
+                                                     none.alias("_a"), one.alias("_b")))
+    per = grams_.groupBy(*keys, "_x").agg(F.sum("_a").alias("_a"), F.sum("_b").alias("_b"))
+    return per.groupBy(*keys).agg((F.sum(F.least("_a", "_b")) / F.sum(F.greatest("_a", "_b")))
+                                  .alias("similarity"))
 
 
 def _small(df: DataFrame) -> DataFrame:
@@ -118,8 +112,8 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
     it = items.select(F.col(f"`{item_id_col}`").alias("_item"),
                       F.filter(words_of(F.col(f"`{item_text_col}`")),
                                lambda x: x != "").alias("_iw"))
-    it = fingerprinted(it.withColumn("_n", F.size("_iw")).where("_n > 0"), "_iw", "_n")
-    it = it.withColumn("_g", F.least("_n", F.lit(NGRAM)))
+    it = fingerprinted(it.withColumn("_n", F.size("_iw")).where("_n > 0"), "_iw")
+    it = it.withColumns({"_g": F.least("_n", F.lit(NGRAM)), "_ik": F.xxhash64("_iw")})
     it = it.withColumn("_ig", reduce(
         lambda acc, s: F.when(F.col("_g") == s, grams("_iw", s)).otherwise(acc),
         range(1, NGRAM + 1), F.lit(None).cast("array<bigint>")))
@@ -149,8 +143,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
             [], f"{id_col} {docs.schema[id_col].dataType.simpleString()}, _tk long, "
                 f"{item_id_col} {items.schema[item_id_col].dataType.simpleString()}, "
                 "word_start int, hamming int, similarity double")
-    windows = windows.withColumn("_m", F.size("_win"))
-    windows = written(fingerprinted(windows, "_win", "_m"), "windows")
+    windows = written(fingerprinted(windows, "_win"), "windows")
 
     cut = blocks(radius)
 
@@ -159,19 +152,20 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
             F.struct(F.lit(k).alias("b"), block_value(F.col("_fp"), o, w).alias("v"))
             for k, (o, w) in enumerate(cut)])).alias("_x")).select("*", "_x.b", "_x.v").drop("_x")
 
-    q, r = index(windows).alias("q"), _small(index(it.select("_item", "_n", "_fp", "_ig"))).alias("r")
+    q, r = index(windows).alias("q"), _small(index(it.select("_item", "_ik", "_n", "_fp", "_ig"))).alias("r")
     pairs = q.join(r, F.expr("q._n = r._n AND q.b = r.b AND q.v = r.v"))
     diff = F.col("q._fp").bitwiseXOR(F.col("r._fp"))
     # A pair that agrees on several blocks is taken at the first of them.
     first = F.coalesce(*[F.when(block_value(diff, o, w) == 0, F.lit(k))
                          for k, (o, w) in enumerate(cut)])
-    pairs = pairs.where((F.bit_count(diff) <= radius) & (first == F.col("q.b"))).select(
-        "q._id", "q._tk", "q._start", "q._win", "q._g", "r._item", "r._ig",
-        F.bit_count(diff).alias("hamming"))
-    own = reduce(lambda acc, s: F.when(F.col("_g") == s, grams("_win", s)).otherwise(acc),
+    own = reduce(lambda acc, s: F.when(F.col("q._g") == s, grams("q._win", s)).otherwise(acc),
                  sizes, F.lit(None).cast("array<bigint>"))
-    pairs = pairs.withColumn("_wg", own).where("_wg IS NOT NULL").withColumn(
-        "similarity", similarity("_wg", "_ig")).where(F.col("similarity") >= least)
+    pairs = pairs.where((F.bit_count(diff) <= radius) & (first == F.col("q.b"))).select(
+        "q._id", "q._tk", "q._start", "r._item", "r._ik", F.bit_count(diff).alias("hamming"),
+        own.alias("_wg"), "r._ig").where("_wg IS NOT NULL")
+    pairs = with_similarity(written(pairs, "pairs"), "_wg", "_ig",
+                            ["_id", "_tk", "_start", "_item", "_ik", "hamming"]).where(
+        F.col("similarity") >= least)
     best = pairs.groupBy("_id", "_tk", "_item").agg(F.max(F.struct(
         "similarity", (-F.col("_start")).alias("s"), "hamming")).alias("_b"))
     return best.select(F.col("_id").alias(id_col), "_tk", F.col("_item").alias(item_id_col),

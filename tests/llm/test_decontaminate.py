@@ -91,7 +91,7 @@ def test_blocks_guarantee_every_fingerprint_within_the_radius():
 def test_simhash_equals_python(spark):
     from pyspark.sql import functions as F
     df = spark.createDataFrame([(["a", "b", "c", "a"],), (["x"],), (["q"] * 300,)], "w array<string>")
-    df = dec.fingerprinted(df.withColumn("n", F.size("w")), "w", "n").withColumn(
+    df = dec.fingerprinted(df, "w").withColumn(
         "h", F.transform("w", lambda x: F.xxhash64(x)))
     for r in df.collect():
         want = 0

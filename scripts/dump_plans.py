@@ -16,7 +16,7 @@ from stratum.sources import fixtures  # noqa: E402
 
 
 def formatted(df) -> str:
-    df.write.format("noop").mode("overwrite").save()  # final adaptive plan
+    """The plan as Spark would start it; adaptive execution may still change it."""
     return df._jdf.queryExecution().explainString(
         spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
 
@@ -42,8 +42,8 @@ if __name__ == "__main__":
         "silver: users flags": users.validated(rd(f"{root}/bronze_u"), keep=("_seq",)),
     }
     out = ["# Physical plans of the headline stages", "",
-           f"Generated by `scripts/dump_plans.py` on `{sf_dir}` (final adaptive plans, "
-           "inputs stored as Parquet as in the pipeline).", ""]
+           f"Generated by `scripts/dump_plans.py` on `{sf_dir}` (plans before "
+           "adaptive re-planning, inputs stored as Parquet as in the pipeline).", ""]
     for title, df in stages.items():
         out += [f"## {title}", "", "```", formatted(df).strip(), "```", ""]
     with open(os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))),

@@ -11,14 +11,16 @@ exchange instead of landing whole in a single sort task.
 Streaming (``dedup_stream``): ``dropDuplicates`` on the key; Spark keeps the
 set of seen keys in the state store across micro-batches and restarts, so a
 copy arriving in a later batch is dropped.  Which copy survives *within* one
-micro-batch is unspecified, as in the source pipeline.  With ``salt_buckets``
-the dedup runs in two levels so a hot key does not land whole in one state
-partition: level 1 drops duplicates of (key, hash(payload) mod S), spreading a
-hot key over S partitions; level 2 drops duplicates of the key and receives at
-most S rows per key over the whole stream.  The surviving row per key is a
-first-seen copy either way (a copy in a later batch always meets the level-2
-state), so results are unchanged.  The setting is part of the checkpointed
-plan: choose it before the first run.
+micro-batch is unspecified, as in the source pipeline.
+
+Well-formed keys take one shuffle and one state entry.  Only keys that may be hot,
+NULL or blank ones, are first thinned: level 1 drops duplicates of (key,
+hash(payload) mod S), which spreads such a key over S partitions, and level 2
+receives at most S rows per key over the whole stream.  Both levels see those rows
+only (the filters reach the file scan).  The surviving row per key is a first-seen
+copy either way, so results are unchanged.  S follows
+``spark.sql.shuffle.partitions``; like it, it is part of the checkpointed plan:
+choose it before the first run.
 """
 
 from __future__ import annotations
@@ -32,12 +34,14 @@ from pyspark.sql import functions as F
 def dedup_first(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     """One row per ``keys`` (NULL keys form one group): the row with min ``order``.
 
-    ``order`` must be non-null and unique within a key for a deterministic result.
+    ``order`` must be unique within a key for a deterministic result; rows without an
+    order come last, so a key whose copies all lack one still keeps a whole row.
     """
     keys = list(keys)
     payload = [c for c in df.columns if c not in keys]
+    rank = F.struct(F.col(order).isNull(), F.col(order))
     picked = df.groupBy(*keys).agg(
-        F.min_by(F.struct(*[F.col(c) for c in payload]), F.col(order)).alias("_first"))
+        F.min_by(F.struct(*[F.col(c) for c in payload]), rank).alias("_first"))
     return picked.select(*keys, *[F.col(f"_first.{c}").alias(c) for c in payload]).select(*df.columns)
 
 
@@ -45,18 +49,16 @@ def dedup_stream(df: DataFrame, keys: Sequence[str], salt_buckets: int | None =
                  exclude_from_salt: Sequence[str] = ("_ingestion_timestamp",)) -> DataFrame:
     """Streaming first-seen dedup with unbounded key state (no watermark)."""
     keys = list(keys)
-    if salt_buckets and salt_buckets > 1:
-        payload = [c for c in df.columns if c not in keys and c not in exclude_from_salt]
-        digest = F.xxhash64(*[F.col(c) for c in payload]) if payload else F.lit(0)
-        df = (df.withColumn("_dedup_salt", F.pmod(digest, F.lit(salt_buckets)))
-              .dropDuplicates(keys + ["_dedup_salt"]).drop("_dedup_salt"))
-    return df.dropDuplicates(keys)
-
-
-def dedup_stream_within_watermark(df: DataFrame, keys: Sequence[str], event_time: str,
-                                  delay: str) -> DataFrame:
-    """Opt-in bounded-state variant: keys are forgotten once the watermark passes.
-
-    Changes results for copies that arrive later than ``delay``; not the default.
-    """
-    return df.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
+    if not salt_buckets or salt_buckets <= 1:
+        return df.dropDuplicates(keys)
+    odd = F.lit(False)
+    for k in keys:
+        blank = F.col(k).isNull()
+        if dict(df.dtypes)[k] == "string":
+            blank = blank | (F.trim(F.col(k)) == "")
+        odd = odd | blank
+    payload = [c for c in df.columns if c not in keys and c not in exclude_from_salt]
+    digest = F.xxhash64(*[F.col(c) for c in payload]) if payload else F.lit(0)
+    thinned = (df.filter(odd).withColumn("_dedup_salt", F.pmod(digest, F.lit(salt_buckets)))
+               .dropDuplicates(keys + ["_dedup_salt"]).drop("_dedup_salt"))
+    return df.filter(~odd).dropDuplicates(keys).unionByName(thinned.dropDuplicates(keys))

@@ -11,15 +11,11 @@ from stratum.functions.rules import all_true, failed_names
 
 REASON = "rejection_reason"
 
-# Declared schema of the shared quarantine table.
+# Columns of the shared quarantine table.
 QUARANTINE_SCHEMA = ("source_name STRING, rejection_reason STRING, "
                      "original_record STRING, processed_at TIMESTAMP")
 
 
-def with_reason(df: DataFrame, reason: Column, name: str = REASON) -> DataFrame:
-    return df.withColumn(name, reason)
-
-
 def valid_rows(validated: DataFrame, reason: str = REASON) -> DataFrame:
     """Rows with no rejection reason, without the reason column."""
     return validated.filter(F.col(reason).isNull()).drop(reason)

@@ -306,4 +306,11 @@ ORACLE_SQL.update({
                                    f"FROM ({Q_TX}\nUNION ALL\n{Q_M})"),
     "stream_silver_end_to_end": ORACLE_SQL["gold_daily_kpis"],
     "stream_gold_incremental": ORACLE_SQL["gold_daily_kpis"],
+    "stream_gold_after_crash": ORACLE_SQL["gold_daily_kpis"],
+    "stream_after_full_refresh": ORACLE_SQL["gold_daily_kpis"],
+    "ingest_csv_two_date_formats": _q(M_CHAIN[:4], "SELECT * FROM m_valid"),
+    "ingest_rescued_nested": _q([RAW_TX], "SELECT _seq, transaction_id, "
+                                "CASE WHEN _seq < 1000000000 THEN _seq END AS detail_n, "
+                                "CASE WHEN _seq >= 1000000000 THEN '#' || CAST(_seq AS VARCHAR) "
+                                "END AS rescued_n FROM raw_tx"),
 })

@@ -70,19 +70,25 @@ ADDITIVE_KPIS = ("total_transactions", "total_payments", "total_reversals", "tot
                  "total_amount", "reversed_amount", "total_rejected_transactions")
 
 
-def merge_kpis(stored: DataFrame, delta: DataFrame, with_timestamp: bool = True) -> DataFrame:
-    """Exact incremental maintenance of the KPI table for appended transactions.
-
-    ``stored`` and ``delta`` are KPI tables (same keys); their additive measures
-    are summed per group (NULL keys group together, as in the full computation)
-    and the derived ones recomputed.  ``average_amount`` is total_amount /
-    total_transactions, equal to the mean because clean rows never have a NULL
-    amount.
+def kpi_partials(tx: DataFrame) -> DataFrame:
+    """The additive measures of some clean transactions, one row per group."""
+    return kpi_aggregates(tx.select("transaction_date", "merchant_id", "channel", "currency",
+                                    "transaction_type", "status", "amount")).select(
+        *KPI_KEYS, *ADDITIVE_KPIS)
+
+
+def combine_partials(partials: DataFrame) -> DataFrame:
+    """One row per group (NULL keys group together, as in the full computation)."""
+    return partials.groupBy(*KPI_KEYS).agg(*[F.sum(c).alias(c) for c in ADDITIVE_KPIS])
+
+
+def kpis_from_partials(partials: DataFrame, with_timestamp: bool = True) -> DataFrame:
+    """The KPI rows that the partials of all deliveries add up to.
+
+    ``average_amount`` is total_amount / total_transactions, equal to the mean
+    because clean rows never have a NULL amount.
     """
-    merged = (stored.select(*KPI_KEYS, *ADDITIVE_KPIS).unionByName(
-        delta.select(*KPI_KEYS, *ADDITIVE_KPIS))
-        .groupBy(*KPI_KEYS).agg(*[F.sum(c).alias(c) for c in ADDITIVE_KPIS]))
-    return _derive(merged.withColumn(
+    return _derive(combine_partials(partials).withColumn(
         "average_amount", F.col("total_amount") / F.col("total_transactions")),
         with_timestamp)
 

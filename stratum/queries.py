@@ -16,10 +16,9 @@ from stratum.functions.normalize import parse_amount, parse_date
 from stratum.plans import gold, merchants, transactions, users
 from stratum.session import ensure_checkpoint_dir
 from stratum.sources import fixtures
-from stratum.sources.tables import overwrite, read_partitioned, read_path
+from stratum.sources.tables import delete_path, overwrite, read_partitioned, read_path
 from stratum.streaming import flows, staging
-from stratum.streaming.flows import QUARANTINE
-from stratum.streaming.pipeline import KPI_TABLE, Pipeline
+from stratum.streaming.pipeline import KPI_TABLE, Pipeline, complete_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -301,6 +300,40 @@ def ingest_rescued_data(spark, sf_dir):
     return _bronze_rows(spark, layout, "transactions")
 
 
+def ingest_rescued_nested(spark, sf_dir):
+    """Second delivery writes a text inside a nested column: kept whole in the rescue."""
+    layout = staging.fresh_layout(spark, "ingest_rescued_nested")
+    raw = fixtures.raw_transactions(spark, sf_dir).select("_seq", "transaction_id")
+    first = staging.first_copies(raw).withColumn("detail", F.struct(F.col("_seq").alias("n")))
+    spec = staging.stage(spark, layout, "transactions", first, "json")
+    flows.ingest(spark, layout, spec)
+    late = staging.late_copies(raw).withColumn(
+        "detail", F.struct(F.concat(F.lit("#"), F.col("_seq")).alias("n")))
+    staging.stage(spark, layout, "transactions", late, "json")
+    flows.ingest(spark, layout, spec)
+    b = flows.bronze_table(spark, layout, "transactions")
+    return b.select("_seq", "transaction_id", F.col("detail.n").alias("detail_n"),
+                    F.get_json_object(F.get_json_object("_rescued_data", "$.detail"), "$.n")
+                    .alias("rescued_n"))
+
+
+def ingest_csv_two_date_formats(spark, sf_dir):
+    """ISO dates first, the others later, late copies last: the date column stays text,
+    and the streamed rules accept both forms as the batch does."""
+    layout = staging.fresh_layout(spark, "ingest_csv_two_date_formats")
+    raw = fixtures.raw_merchants(spark, sf_dir)
+    first = staging.first_copies(raw)
+    iso = F.coalesce(F.col("affiliation_date").rlike(r"^\d{4}-\d{2}-\d{2}$"), F.lit(False))
+    pipe = Pipeline(spark, layout, [staging.spec_for(layout, "merchants", "csv")],
+                    register_tables=False)
+    for part in (first.filter(iso), first.filter(~iso), staging.late_copies(raw)):
+        staging.stage(spark, layout, "merchants", part, "csv")
+        pipe.run_bronze()
+        pipe.run_silver()
+    v = read_path(spark, layout.table_path("silver.merchants_validated"))
+    return v.drop("_rescued_data", "_source_file")
+
+
 def _two_delivery_silver(spark, sf_dir, name, sources=("transactions", "merchants")):
     """Deliver first copies, run bronze+silver; deliver late copies, run again."""
     layout = staging.fresh_layout(spark, name)
@@ -324,7 +357,7 @@ def stream_dedup_across_batches(spark, sf_dir):
 
 def stream_quarantine_fan_in(spark, sf_dir):
     layout, _ = _two_delivery_silver(spark, sf_dir, "stream_quarantine")
-    q = read_path(spark, layout.table_path(QUARANTINE))
+    q = flows.quarantine_table(spark, layout)
     return _quarantine_fields(q).select("source_name", "rejection_reason", "record_key",
                                         "record_reason")
 
@@ -356,6 +389,39 @@ def stream_gold_incremental(spark, sf_dir):
     return read_path(spark, layout.table_path(KPI_TABLE)).drop("_processed_at")
 
 
+def stream_gold_after_crash(spark, sf_dir):
+    """A refresh that lost its last micro-batch's commit and its pointer (it stopped after
+    replacing the KPI dates), then a later delivery for the same dates: nothing counts
+    twice."""
+    layout = staging.fresh_layout(spark, "stream_gold_after_crash")
+    raw = fixtures.raw_transactions(spark, sf_dir)
+    pipe = Pipeline(spark, layout, [staging.spec_for(layout, "transactions", "json")],
+                    register_tables=False)
+    state = layout.checkpoint("gold_daily_transaction_kpis")
+    first = staging.first_copies(raw)
+    for part in (first.filter(F.col("_seq") % 3 < 2), first.filter(F.col("_seq") % 3 == 2),
+                 staging.late_copies(raw)):
+        staging.stage(spark, layout, "transactions", part, "json")
+        pipe.run_bronze()
+        pipe.run_silver()
+        pipe.run_gold()
+        last = complete_batches(spark, f"{state}/partials")[-1]
+        delete_path(spark, f"{state}/pointer")
+        delete_path(spark, f"{state}/stream/commits/{last}")
+    pipe.run_gold()
+    return read_path(spark, layout.table_path(KPI_TABLE)).drop("_processed_at")
+
+
+def stream_after_full_refresh(spark, sf_dir):
+    """Refreshing the validated table rebuilds all that is derived from it, once."""
+    layout, pipe = _two_delivery_silver(spark, sf_dir, "stream_refresh", ("transactions",))
+    pipe.run_gold()
+    pipe.full_refresh("silver.transactions_validated")
+    pipe.run_silver()
+    pipe.run_gold()
+    return read_path(spark, layout.table_path(KPI_TABLE)).drop("_processed_at")
+
+
 def kpis_partitioned_roundtrip(spark, sf_dir):
     """KPI table written partitioned by date and read back whole."""
     layout = staging.fresh_layout(spark, "kpis_partitioned")
@@ -407,8 +473,12 @@ QUERIES: dict[str, Query] = {
     "ingest_source_file_lineage": ingest_source_file_lineage,
     "ingest_schema_evolution": ingest_schema_evolution,
     "ingest_rescued_data": ingest_rescued_data,
+    "ingest_rescued_nested": ingest_rescued_nested,
+    "ingest_csv_two_date_formats": ingest_csv_two_date_formats,
     "stream_dedup_across_batches": stream_dedup_across_batches,
     "stream_quarantine_fan_in": stream_quarantine_fan_in,
     "stream_silver_end_to_end": stream_silver_end_to_end,
     "stream_gold_incremental": stream_gold_incremental,
+    "stream_gold_after_crash": stream_gold_after_crash,
+    "stream_after_full_refresh": stream_after_full_refresh,
 }

@@ -43,7 +43,7 @@ def main(argv: list[str] | None = None) -> int:
     spark.conf.set("spark.sql.ansi.enabled", "true")
     # (spark.cleaner.referenceTracking.cleanCheckpoints=true is recommended for
     # --continuous: it is a launch-time setting, pass it with --conf.)
-    ensure_checkpoint_dir(spark)
+    ensure_checkpoint_dir(spark, args.root)
     opts = FlowOptions(processing_time=args.continuous)
     pipe = Pipeline(spark, Layout(args.root), load_sources(spark, args.registry), opts=opts,
                     register_tables=not args.no_catalog)

@@ -5,7 +5,8 @@ local runs, tests and the benchmark.  Every path the library writes to for its
 own bookkeeping (stream checkpoints, landing folders of the fixture flows,
 lineage cuts) lives under ``spark.checkpoint.dir``, which on a cluster names a
 shared folder that survives executor loss.  We only set that setting ourselves
-when the session has none (tests, local runs).
+when the session has none: under the run's storage root, or (local sessions only)
+in a temporary folder.
 """
 
 from __future__ import annotations
@@ -48,19 +49,35 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a local one only if unset."""
+def ensure_checkpoint_dir(spark: SparkSession, root: str | None = None) -> str:
+    """Return the shared checkpoint folder.
+
+    The session's own setting wins; else a folder under ``root`` (a run's storage
+    root) is used.  Only a local session may fall back to a temporary folder: on a
+    cluster that would be one machine's disk, so it is refused.
+    """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="stratum-ckpt-")
+        if root:
+            configured = f"{root.rstrip('/')}/_checkpoints"
+        elif is_local(sc.master):
+            configured = tempfile.mkdtemp(prefix="stratum-ckpt-")
+        else:
+            raise ValueError("spark.checkpoint.dir is not set: name a folder that all "
+                             f"executors share (master {sc.master})")
         spark.conf.set("spark.checkpoint.dir", configured)
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(configured)
     return configured
 
 
+def is_local(master: str) -> bool:
+    """Driver and executors are one process (not ``local-cluster``)."""
+    return master == "local" or master.startswith("local[")
+
+
 def shared_path(spark: SparkSession, *parts: str, fresh: bool = False) -> str:
     """A path under the shared checkpoint folder; ``fresh`` adds a unique leaf."""
     base = ensure_checkpoint_dir(spark)

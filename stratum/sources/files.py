@@ -2,18 +2,20 @@
 additive schema evolution, rescued values and file lineage.
 
 How a run works (``bronze_stream``):
-  1. infer a typed schema from the landing files not seen by an earlier run
-     (listed with Spark's ``binaryFile`` source and anti-joined with the set
-     of merged files kept beside the schema; ``samplingRatio`` bounds it);
+  1. infer a typed schema from the landing files modified since the last run
+     (Spark's ``modifiedAfter`` prunes the listing; no list of paths is kept or
+     collected).  Dates and timestamps stay text, because one delivery's formats
+     say nothing about the next one's, and declared types win over inference;
   2. merge it into the schema persisted at ``schema_location``: known columns
      keep their first type, new columns are appended (add-new-columns
-     evolution); persist the result;
-  3. open the file *stream* with every column read as raw text (JSON numbers
-     and booleans as VARIANT, turned into text), then cast each to its
-     persisted type with ``try_cast``.  A value present in the file that
-     does not fit its type becomes NULL and is kept, as text, in
-     ``_rescued_data`` (a JSON object column -> raw value) instead of failing
-     the batch;
+     evolution).  Schemas are numbered files, the newest complete one counts, so
+     a crash leaves the old one or the new one;
+  3. open the file *stream* with every column read as raw text (JSON numbers,
+     booleans and nested values as VARIANT), then cast each to its persisted
+     type.  A value present in the file that does not fit its type becomes NULL
+     and is kept, as text, in ``_rescued_data`` (a JSON object column -> raw
+     value), as are surplus CSV values and the text of an unparseable JSON
+     document, instead of failing the batch or being lost;
   4. add ``_ingestion_timestamp`` and ``_source_file`` (``_metadata.file_name``).
 The stream checkpoint makes each file processed once; a restart with a wider
 schema resumes from the same checkpoint.
@@ -21,8 +23,10 @@ schema resumes from the same checkpoint.
 
 from __future__ import annotations
 
+import datetime
 import json
 import os
+import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +38,7 @@ RESCUED = "_rescued_data"
 INGESTED_AT = "_ingestion_timestamp"
 SOURCE_FILE = "_source_file"
 META_COLUMNS = (RESCUED, INGESTED_AT, SOURCE_FILE)
+CORRUPT = "_stratum_corrupt"  # raw text of a record that the reader could not take whole
 
 _ATOMIC = (T.StringType, T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType,
            T.FloatType, T.DoubleType, T.DecimalType, T.DateType, T.TimestampType,
@@ -78,7 +83,8 @@ def read_small_text(spark: SparkSession, path: str) -> str | None:
 
 
 def write_small_text(spark: SparkSession, path: str, text: str) -> None:
-    """Replace a small control file: write a sibling, then rename over it."""
+    """Write a small control file under a new name: a sibling first, then a rename,
+    so a reader sees the whole file or none."""
     fs, p = _fs(spark, path)
     tmp = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path + ".tmp")
     out = fs.create(tmp, True)
@@ -86,137 +92,160 @@ def write_small_text(spark: SparkSession, path: str, text: str) -> None:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
-    if fs.exists(p):
-        fs.delete(p, False)
-    fs.rename(tmp, p)
-
+    if not fs.rename(tmp, p):
+        raise OSError(f"cannot publish {path}")
 
-def _not_found(exc: Exception) -> bool:
-    msg = str(exc)
-    return "PATH_NOT_FOUND" in msg or "UNABLE_TO_INFER_SCHEMA" in msg
 
+VERSIONS_KEPT = 3
 
-def list_files(spark: SparkSession, path: str) -> DataFrame | None:
-    """Data files under ``path`` (hidden and marker files excluded), as a frame.
-
-    Spark's ``binaryFile`` source lists in a distributed way; only the path is
-    selected, so no file content is read.
-    """
-    try:
-        return spark.read.format("binaryFile").load(path).select("path")
-    except Exception as exc:
-        if _not_found(exc):
-            return None
-        raise
-
-
-SEEN_COMPACT_AFTER = 64  # append-files in the merged-file record before it is rewritten
 
+def _versions(spark: SparkSession, folder: str) -> list[int]:
+    fs, p = _fs(spark, folder)
+    if not fs.exists(p):
+        return []
+    names = [f.getPath().getName() for f in fs.listStatus(p)]
+    return sorted(int(m[1]) for n in names if (m := re.fullmatch(r"v(\d+)\.json", n)))
+
+
+def read_versioned(spark: SparkSession, folder: str) -> dict | None:
+    """The newest complete document of a folder of numbered versions."""
+    for n in reversed(_versions(spark, folder)):
+        text = read_small_text(spark, os.path.join(folder, f"v{n:09d}.json"))
+        try:
+            return json.loads(text or "")
+        except ValueError:  # not complete: an older one counts
+            continue
+    return None
 
-def _seen_files_root(spec: SourceSpec) -> str:
-    return os.path.join(spec.schema_location, "files")
 
+def write_versioned(spark: SparkSession, folder: str, doc: dict) -> None:
+    """Publish ``doc`` as the next version; the last few stay."""
+    have = _versions(spark, folder)
+    n = have[-1] + 1 if have else 1
+    write_small_text(spark, os.path.join(folder, f"v{n:09d}.json"), json.dumps(doc))
+    for old in have[:-(VERSIONS_KEPT - 1)]:
+        fs, p = _fs(spark, os.path.join(folder, f"v{old:09d}.json"))
+        fs.delete(p, False)
 
-def _seen_generation(spark: SparkSession, spec: SourceSpec) -> int:
-    text = read_small_text(spark, os.path.join(spec.schema_location, "files_generation"))
-    return int(text.strip()) if text else 0
 
+def _not_found(exc: Exception) -> bool:
+    msg = str(exc)
+    return "PATH_NOT_FOUND" in msg or "UNABLE_TO_INFER_SCHEMA" in msg
 
-def _seen_files_path(spec: SourceSpec, generation: int) -> str:
-    return os.path.join(_seen_files_root(spec), f"g={generation}")
 
+def newest_modification(spark: SparkSession, path: str) -> int | None:
+    """Latest modification time (ms) of the data files under ``path``, None without files.
 
-def read_seen_files(spark: SparkSession, spec: SourceSpec) -> DataFrame | None:
+    ``binaryFile`` lists them; only the time is selected, so no content is read.
+    """
     try:
-        return spark.read.parquet(_seen_files_path(spec, _seen_generation(spark, spec)))
+        files = spark.read.format("binaryFile").load(path)
+        return files.agg(F.max(F.unix_millis("modificationTime"))).first()[0]
     except Exception as exc:
         if _not_found(exc):
             return None
         raise
 
 
-def record_seen_files(spark: SparkSession, spec: SourceSpec, paths: list[str]) -> None:
-    """Append merged file names; rewrite the record compactly once it has many
-    small files (new generation directory first, then the pointer - a crash in
-    between leaves only an unused directory)."""
-    gen = _seen_generation(spark, spec)
-    current = _seen_files_path(spec, gen)
-    spark.createDataFrame([(p,) for p in paths], "path string").write.mode("append") \
-        .parquet(current)
-    seen = spark.read.parquet(current)
-    if len(seen.inputFiles()) > SEEN_COMPACT_AFTER:
-        seen.repartition(max(1, len(seen.inputFiles()) // SEEN_COMPACT_AFTER), "path") \
-            .write.mode("overwrite").parquet(_seen_files_path(spec, gen + 1))
-        write_small_text(spark, os.path.join(spec.schema_location, "files_generation"),
-                         str(gen + 1))
-
-
-def unseen_files(spark: SparkSession, spec: SourceSpec) -> DataFrame | None:
-    """Landing files whose schema has not been merged yet (exact, by path)."""
-    listing = list_files(spark, spec.source_path)
-    if listing is None:
-        return None
-    seen = read_seen_files(spark, spec)
-    return listing if seen is None else listing.join(seen, "path", "left_anti")
+def _since(seen_until: int | None) -> dict:
+    """Reader options for files modified since ``seen_until``; times have whole seconds
+    in this option, so the last second is read again (merging twice changes nothing)."""
+    if seen_until is None:
+        return {}
+    at = datetime.datetime.fromtimestamp(seen_until / 1000 - 1, datetime.timezone.utc)
+    return {"modifiedAfter": at.strftime("%Y-%m-%dT%H:%M:%S"), "timeZone": "UTC"}
 
 
-def csv_headers(spark: SparkSession, spec: SourceSpec, paths: list[str]) -> dict[str, list[str]]:
-    """First line of each CSV file, grouped: {header line: [paths]}.
+def csv_headers(spark: SparkSession, spec: SourceSpec, options: dict) -> list[tuple[str, str]]:
+    """Distinct header lines, each with a file that has it.
 
-    Read as text; a file's first line is the lowest-numbered row of the split
-    that starts at offset 0 (row ids increase in read order within a task).
-    One (path, header) row per new file comes back - the same metadata as the
-    new-file list itself; no group is gathered inside a task.
+    A file's first line is the lowest-numbered row of the split that starts at offset
+    0 (row ids increase in read order within a task).  One row per distinct header
+    comes back, not one per file.
     """
-    lines = spark.read.text(paths).select(
+    lines = spark.read.options(**options).text(spec.source_path).select(
         "value", F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("start"),
         F.monotonically_increasing_id().alias("i"))
     first = (lines.filter(F.col("start") == 0).groupBy("path")
              .agg(F.min_by("value", "i").alias("header")))
-    groups: dict[str, list[str]] = {}
-    for r in first.collect():
-        groups.setdefault(r.header, []).append(r.path)
-    return groups
+    per = first.groupBy("header").agg(F.min("path").alias("path")).orderBy("header")
+    return [(r.header, r.path) for r in per.collect()]
 
 
 def _header_names(header: str, sep: str) -> list[str]:
     return [h.strip().strip('"') for h in header.split(sep)]
 
 
-def _check_positional(schema: T.StructType, groups: dict[str, list[str]], sep: str) -> None:
+def _check_positional(schema: T.StructType, headers: list[tuple[str, str]], sep: str) -> None:
     """Positional CSV reading is exact only when each header is a prefix of the schema."""
     names = [f.name.lower() for f in schema.fields]
-    for header, files in groups.items():
+    for header, file in headers:
         cols = [c.lower() for c in _header_names(header, sep)]
         if cols != names[:len(cols)]:
             raise ValueError(
                 "CSV header does not match the column order of the table "
-                f"({', '.join(names)}): {header!r} in {len(files)} file(s), e.g. {files[0]}. "
+                f"({', '.join(names)}): {header!r}, e.g. in {file}. "
                 "Positional reading would misplace values; write such files with the "
                 "table's column order (new columns last) or ingest them as a separate source.")
 
 
-def infer_schema(spark: SparkSession, spec: SourceSpec, paths: list[str] | None = None,
-                 sampling_ratio: float = 1.0) -> T.StructType | None:
-    """Typed schema of ``paths`` (default: the whole landing folder); None if no files."""
+def _csv_schema(spark: SparkSession, spec: SourceSpec, options: dict,
+                headers: list[tuple[str, str]]) -> T.StructType:
+    """Columns in header order, typed by name over files with different headers."""
+    rows = (spark.read.options(**reader_options(spec)).options(**options)
+            .option("singleVariantColumn", "_row").format("csv").load(spec.source_path))
+    found = rows.agg(F.schema_of_variant_agg("_row")).first()[0] or ""
+    types = {}
+    for name, quoted, kind in re.findall(r"(?:([^<>,`: ]+)|`((?:[^`]|``)+)`): ([A-Z_]+)", found):
+        types[name or quoted.replace("``", "`")] = kind
+    simple = {"BIGINT": T.LongType(), "DECIMAL": T.DoubleType(), "DOUBLE": T.DoubleType(),
+              "FLOAT": T.DoubleType(), "BOOLEAN": T.BooleanType()}
+    sep = spec.options.get("delimiter", ",")
+    names = list(dict.fromkeys(n for h, _ in headers for n in _header_names(h, sep)))
+    kinds = {n: simple.get(types.get(n, ""), T.StringType()) for n in names}
+    whole = [n for n in names if isinstance(kinds[n], T.LongType)]
+    if whole:  # the narrowest whole type, as Spark's own inference has it
+        value = lambda n: F.abs(F.try_variant_get("_row", f"$['{n}']", "bigint"))
+        top = rows.agg(*[F.max(value(n)) for n in whole]).first()
+        kinds |= {n: T.IntegerType() for n, x in zip(whole, top) if x is not None and x < 1 << 31}
+    return T.StructType([T.StructField(n, kinds[n]) for n in names])
+
+
+def _declared(spec: SourceSpec, schema: T.StructType) -> T.StructType:
+    """Declared types win; inferred dates and timestamps stay text."""
+    by_name = {k.lower(): v for k, v in spec.types.items()}
+
+    def kind(f: T.StructField) -> T.DataType:
+        if f.name.lower() in by_name:
+            return T._parse_datatype_string(by_name[f.name.lower()])
+        if isinstance(f.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+            return T.StringType()
+        return f.dataType
+
+    return T.StructType([T.StructField(f.name, kind(f), True) for f in schema.fields])
+
+
+def infer_schema(spark: SparkSession, spec: SourceSpec, seen_until: int | None = None
+                 ) -> T.StructType | None:
+    """Typed schema of the files modified since ``seen_until``; None if there are none."""
     fmt = spec.file_format
     if fmt == "text":
         return T.StructType([T.StructField("value", T.StringType())])
-    if paths is not None and not paths:
-        return None
-    reader = spark.read.options(**reader_options(spec))
-    if fmt in ("json", "csv"):
-        reader = reader.option("samplingRatio", sampling_ratio)
-    if fmt == "csv":
-        reader = reader.option("inferSchema", "true")
+    options = _since(seen_until)
     try:
-        schema = reader.format(fmt).load(paths if paths is not None else spec.source_path).schema
+        if fmt == "csv":
+            headers = csv_headers(spark, spec, options)
+            return _declared(spec, _csv_schema(spark, spec, options, headers)) if headers else None
+        schema = (spark.read.options(**reader_options(spec)).options(**options)
+                  .format(fmt).load(spec.source_path).schema)
     except Exception as exc:  # empty or missing landing folder
         if _not_found(exc):
             return None
         raise
-    return T.StructType([f for f in schema.fields if f.name != "_corrupt_record"])
+    fields = T.StructType([f for f in schema.fields if f.name != "_corrupt_record"])
+    # Typed files (Parquet, ORC) say what they mean; text formats were guessed.
+    return _declared(spec, fields) if fmt == "json" else fields
 
 
 def merge_schemas(persisted: T.StructType | None, inferred: T.StructType | None) -> T.StructType:
@@ -230,95 +259,98 @@ def merge_schemas(persisted: T.StructType | None, inferred: T.StructType | None)
     return T.StructType(list(persisted.fields) + extra)
 
 
-def _schema_path(location: str) -> str:
-    return os.path.join(location, "schema.json")
-
-
 def load_schema(spark: SparkSession, location: str) -> T.StructType | None:
-    text = read_small_text(spark, _schema_path(location))
-    return T.StructType.fromJson(json.loads(text)) if text else None
+    doc = read_versioned(spark, location)
+    return T.StructType.fromJson(doc["schema"]) if doc else None
 
 
-def save_schema(spark: SparkSession, location: str, schema: T.StructType) -> None:
+def save_schema(spark: SparkSession, location: str, schema: T.StructType,
+                seen_until: int | None = None) -> None:
     """Persist through Hadoop's file system API, so any shared file system works."""
-    write_small_text(spark, _schema_path(location), schema.json())
+    write_versioned(spark, location, {"schema": json.loads(schema.json()),
+                                      "seen_until": seen_until})
 
 
-def evolve_schema(spark: SparkSession, spec: SourceSpec, sampling_ratio: float = 1.0
-                  ) -> T.StructType:
-    """Merge the schema of files not seen before into the persisted schema.
+def evolve_schema(spark: SparkSession, spec: SourceSpec) -> T.StructType:
+    """Merge the schema of files not merged before into the persisted schema.
 
-    Only new files are read for inference (the set of merged files is kept
-    next to the schema), so the cost of a run follows the new data, not the
-    history of the landing folder.  Text sources have a fixed schema.
+    Only files modified since the last run are read for inference, so the cost of a
+    run follows the new data, not the history of the landing folder.  The time is
+    taken before the files are read: one that lands meanwhile is read again next time.
     """
-    persisted = load_schema(spark, spec.schema_location)
-    fresh, paths = None, []
+    doc = read_versioned(spark, spec.schema_location) or {}
+    persisted = T.StructType.fromJson(doc["schema"]) if doc else None
+    seen_until = doc.get("seen_until")
     if spec.file_format == "text":
-        inferred = infer_schema(spark, spec)
+        newest = seen_until
     else:
-        fresh = unseen_files(spark, spec)
-        paths = [] if fresh is None else [r.path for r in fresh.collect()]  # new file names
-        groups = None
-        if spec.file_format == "csv" and paths:
-            # Files with different headers are inferred per header group (the
-            # CSV reader takes one header for all files it reads together).
-            groups = csv_headers(spark, spec, paths)
-            inferred = None
-            for _, group_paths in sorted(groups.items()):
-                inferred = merge_schemas(inferred, infer_schema(spark, spec, group_paths,
-                                                                sampling_ratio))
-        else:
-            inferred = infer_schema(spark, spec, paths, sampling_ratio)
+        newest = newest_modification(spark, spec.source_path)
+        if newest is None:
+            newest = seen_until
+    inferred = infer_schema(spark, spec, seen_until)
     merged = merge_schemas(persisted, inferred)
-    if spec.file_format == "csv" and groups:
-        _check_positional(merged, groups, spec.options.get("delimiter", ","))
-    if persisted is None or merged != persisted:
-        save_schema(spark, spec.schema_location, merged)
-    if spec.file_format != "text" and fresh is not None and paths:
-        record_seen_files(spark, spec, paths)
+    if spec.file_format == "csv" and inferred is not None:
+        _check_positional(merged, csv_headers(spark, spec, _since(seen_until)),
+                          spec.options.get("delimiter", ","))
+    if merged.fields and (persisted is None or merged != persisted or newest != seen_until):
+        save_schema(spark, spec.schema_location, merged, newest)
     return merged
 
 
 def text_schema(schema: T.StructType, file_format: str = "csv") -> T.StructType:
-    """The schema the files are *read* with: every atomic column as raw text.
+    """The schema the files are *read* with: every column as raw text or VARIANT.
 
-    JSON: non-string atomic columns are read as VARIANT, which keeps the raw
-    value cheaply (reading a JSON number into a string column re-serialises
-    every token through a new generator in the multi-line reader - ~15x
-    slower); it is turned into text right after.  CSV: plain strings.
-    Complex columns keep their type.
+    JSON: all but string columns are read as VARIANT, which keeps the raw value
+    cheaply (reading a JSON number into a string column re-serialises every token
+    through a new generator in the multi-line reader - ~15x slower); it is cast right
+    after.  CSV: plain strings.  A last column takes the text of records that the
+    reader could not take whole.
     """
     fields = []
     for f in schema.fields:
-        if isinstance(f.dataType, T.StringType) or not isinstance(f.dataType, _ATOMIC):
-            fields.append(T.StructField(f.name, f.dataType, True))
-        elif file_format == "json":
-            fields.append(T.StructField(f.name, T.VariantType(), True))
-        else:
-            fields.append(T.StructField(f.name, T.StringType(), True))
-    return T.StructType(fields)
+        variant = file_format == "json" and not isinstance(f.dataType, T.StringType)
+        fields.append(T.StructField(f.name, T.VariantType() if variant else T.StringType(), True))
+    return T.StructType([*fields, T.StructField(CORRUPT, T.StringType(), True)])
 
 
-def typed_with_rescue(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Cast text columns to ``schema``; misfits go to ``_rescued_data`` as JSON."""
+def _corrupt(schema: T.StructType, spec: SourceSpec) -> tuple[str, Column]:
+    """What an unparseable record leaves in the rescued map."""
+    raw = F.col(CORRUPT)
+    if spec.file_format == "json":
+        return "_corrupt_record", raw
+    # A CSV line with fewer values than columns is complete; one with more is not.
+    wide = ", ".join(f"c{i} string" for i in range(len(schema.fields) + 1))
+    options = {"sep": spec.options.get("delimiter", ",")}
+    surplus = F.from_csv(raw, wide, options)[f"c{len(schema.fields)}"]
+    return "_surplus_values", F.when(raw.isNotNull() & surplus.isNotNull(), raw)
+
+
+def typed_with_rescue(df: DataFrame, schema: T.StructType, spec: SourceSpec) -> DataFrame:
+    """Cast raw columns to ``schema``; misfits go to ``_rescued_data`` as JSON."""
     cols: list[Column] = []
-    misfits: list[tuple[str, Column]] = []
+    misfits: list[tuple[str, Column]] = [_corrupt(schema, spec)]
     for f in schema.fields:
-        raw = F.col(f.name)
-        if isinstance(f.dataType, T.StringType) or not isinstance(f.dataType, _ATOMIC):
+        raw = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, T.StringType):
             cols.append(raw.alias(f.name))
             continue
-        text = raw.cast("string")  # VARIANT or STRING -> the value's text
-        typed = text.try_cast(f.dataType)
+        if isinstance(f.dataType, _ATOMIC):
+            text = raw.cast("string")  # VARIANT or STRING -> the value's text
+            typed = text.try_cast(f.dataType)
+        else:  # nested: kept whole as VARIANT until it is cast
+            text = F.when(~F.is_variant_null(raw), F.to_json(raw))
+            typed = F.try_variant_get(raw, "$", f.dataType.simpleString())
         cols.append(typed.alias(f.name))
-        misfits.append((f.name, F.when(text.isNotNull() & typed.isNull(), text)))
-    if misfits:
-        m = F.map_filter(F.create_map(*[x for name, v in misfits for x in (F.lit(name), v)]),
-                         lambda k, v: v.isNotNull())
-        rescued = F.when(F.size(m) > 0, F.to_json(m))
-    else:
-        rescued = F.lit(None).cast("string")
+        lost = typed.isNull()
+        if not isinstance(f.dataType, _ATOMIC):
+            # A nested field that does not fit becomes NULL by itself, and an unknown one
+            # goes: both show in the text.  (So does an explicit null; keeping such a
+            # value twice loses nothing.)
+            lost = lost | (F.to_json(typed) != text)
+        misfits.append((f.name, F.when(text.isNotNull() & lost, text)))
+    m = F.map_filter(F.create_map(*[x for name, v in misfits for x in (F.lit(name), v)]),
+                     lambda k, v: v.isNotNull())
+    rescued = F.when(F.size(m) > 0, F.to_json(m))
     return df.select(*cols, rescued.alias(RESCUED), *[c for c in df.columns
                                                        if c.startswith("_meta_")])
 
@@ -329,7 +361,8 @@ def with_lineage(df: DataFrame) -> DataFrame:
 
 
 def read_files(spark: SparkSession, spec: SourceSpec, schema: T.StructType,
-               streaming: bool = True, max_files_per_trigger: int | None = None) -> DataFrame:
+               streaming: bool = True, max_files_per_trigger: int | None = None,
+               strict_header: bool = False) -> DataFrame:
     """Stream (or batch) the landing folder with bronze columns appended."""
     base = spark.readStream if streaming else spark.read
     reader = base.options(**reader_options(spec))
@@ -337,9 +370,14 @@ def read_files(spark: SparkSession, spec: SourceSpec, schema: T.StructType,
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     fmt = spec.file_format
     if fmt in ("json", "csv"):
+        reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
+        if fmt == "csv" and strict_header:
+            # A running stream cannot check headers first: one that differs stops it
+            # instead of being read by position.
+            reader = reader.option("enforceSchema", "false")
         raw = reader.schema(text_schema(schema, fmt)).format(fmt).load(spec.source_path)
         raw = raw.select("*", F.col("_metadata.file_name").alias("_meta_file_name"))
-        out = typed_with_rescue(raw, schema)
+        out = typed_with_rescue(raw, schema, spec)
     elif fmt == "text":
         raw = reader.format("text").load(spec.source_path)
         out = raw.select("value", F.lit(None).cast("string").alias(RESCUED),
@@ -368,10 +406,11 @@ def bronze_schema(spark: SparkSession, spec: SourceSpec) -> T.StructType | None:
     ])
 
 
-def bronze_stream(spark: SparkSession, spec: SourceSpec, sampling_ratio: float = 1.0,
-                  max_files_per_trigger: int | None = None) -> DataFrame:
-    schema = evolve_schema(spark, spec, sampling_ratio)
+def bronze_stream(spark: SparkSession, spec: SourceSpec,
+                  max_files_per_trigger: int | None = None,
+                  strict_header: bool = False) -> DataFrame:
+    schema = evolve_schema(spark, spec)
     if not schema.fields:
         raise ValueError(f"no files and no persisted schema for source {spec.source_name!r}")
     return read_files(spark, spec, schema, streaming=True,
-                      max_files_per_trigger=max_files_per_trigger)
+                      max_files_per_trigger=max_files_per_trigger, strict_header=strict_header)

@@ -25,6 +25,8 @@ class SourceSpec:
     # Optional knobs (the source pipeline names but does not use them).
     options: dict = field(default_factory=dict)
     partition_by: tuple[str, ...] = ()
+    # Declared column types (name -> type); they win over inference.
+    types: dict = field(default_factory=dict)
 
     def __post_init__(self):
         if self.file_format not in KNOWN_FORMATS:
@@ -49,7 +51,8 @@ def load_sources(spark: SparkSession, path: str) -> list[SourceSpec]:
             source_name=d["source_name"], source_path=d["source_path"],
             file_format=d["file_format"], schema_location=d["schema_location"],
             active=bool(d.get("active", True)), options=options,
-            partition_by=tuple(p.strip() for p in part.split(",")) if part else ()))
+            partition_by=tuple(p.strip() for p in part.split(",")) if part else (),
+            types=dict(t.split(":", 1) for t in (d.get("types") or "").split(",") if ":" in t)))
     return specs
 
 
@@ -63,5 +66,7 @@ def specs_to_json(specs: list[SourceSpec]) -> str:
         d.update(s.options)
         if s.partition_by:
             d["partition_by"] = ",".join(s.partition_by)
+        if s.types:
+            d["types"] = ",".join(f"{k}:{v}" for k, v in s.types.items())
         out.append(d)
     return json.dumps(out, indent=2)

@@ -11,6 +11,7 @@ overwritten as a whole.
 from __future__ import annotations
 
 import os
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -67,25 +68,53 @@ def declare_table(spark: SparkSession, layout: Layout, name: str, schema_ddl: st
     return path
 
 
-def register(spark: SparkSession, layout: Layout, name: str, comment: str | None = None,
-             properties: dict | None = None, partition_by: tuple[str, ...] = ()) -> None:
-    """(Re-)register the external table over its files, picking up a wider schema.
+def register(spark: SparkSession, layout: Layout, name: str, schema: T.StructType,
+             comment: str | None = None, properties: dict | None = None,
+             partition_by: tuple[str, ...] = ()) -> None:
+    """Register the external table once, with its known schema (no file is opened).
 
-    Schema and partition columns are discovered from the files (``mergeSchema``
-    unions evolved column sets); partitions are then synced into the catalog.
+    A later, wider schema adds its columns in place, so readers always find the
+    table; it is re-created only if it was registered over other files.
     """
     path = layout.table_path(name)
     ensure_namespaces(spark, [split_name(name)[0]])
-    spark.sql(f"DROP TABLE IF EXISTS {name}")  # metadata only: the table is external
-    spark.sql(f"CREATE TABLE {name} USING parquet OPTIONS ('mergeSchema' 'true') "
-              f"LOCATION '{path}'{_comment_sql(comment)}{_props_sql(properties)}")
+    if spark.catalog.tableExists(name) and _location(spark, name) != _plain(path):
+        spark.sql(f"DROP TABLE {name}")  # metadata only: the table is external
+    if not spark.catalog.tableExists(name):
+        ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        parts = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
+        spark.sql(f"CREATE TABLE {name} ({ddl}) USING parquet{parts} "
+                  f"LOCATION '{path}'{_comment_sql(comment)}{_props_sql(properties)}")
+    else:
+        have = {c.lower() for c in spark.table(name).columns}
+        new = [f for f in schema.fields if f.name.lower() not in have]
+        if new:
+            spark.sql(f"ALTER TABLE {name} ADD COLUMNS ("
+                      + ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new) + ")")
+        spark.catalog.refreshTable(name)
     if partition_by:
         spark.sql(f"MSCK REPAIR TABLE {name}")
 
 
-def set_properties(spark: SparkSession, name: str, properties: dict) -> None:
-    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ("
-              + ", ".join(f"'{k}' = '{v}'" for k, v in properties.items()) + ")")
+def _plain(path: str) -> str:
+    return re.sub(r"^file:/*", "/", path).replace("//", "/").rstrip("/")
+
+
+def _location(spark: SparkSession, name: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").collect()
+    return _plain(rows[0].data_type) if rows else ""
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(p):
+        fs.delete(p, True)
 
 
 def read_path(spark: SparkSession, path: str) -> DataFrame:

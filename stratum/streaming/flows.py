@@ -7,23 +7,27 @@ stage survives executor loss and restarts):
     landing/<source>  --ingest-->  bronze.<source>
     bronze.transactions --normalise+dedup+rules-->  silver.transactions_validated
     silver.transactions_validated --valid-->        silver.transactions
-    bronze.merchants   --normalise+dedup+rules-->   silver.merchants_validated
-    silver.merchants_validated --valid-->           silver.merchants
-    both *_validated  --rejects, union-->           silver.quarantine   (ONE query)
-
-The quarantine fan-in is a single query over the union of both reject streams:
-two file-sink queries writing one directory would silently lose the second
-query's rows.  The validated tables are persisted, so the stateful dedup runs
-once for both consumers.  Dedup state is unbounded (every key ever seen), as
-in the source pipeline; the session uses the RocksDB state store so it lives
-off-heap, and the number of state partitions is fixed by
-``spark.sql.shuffle.partitions`` at the first run - size it for the target
-volume before the first checkpoint is written.
+    silver.transactions_validated --rejects-->      silver.quarantine_transactions
+    silver.transactions --KPI partials-->           state of gold.daily_transaction_kpis
+    (the same for merchants, but for the KPIs)
+    bronze.users --split--> silver.users_validated, silver.users_structure_quarantine
+    silver.users_validated --flags--> silver.users, silver.users_quarantine
+
+The quarantine is one query and one directory per entity, so a source can be added
+or refreshed on its own (two file-sink queries on one directory would silently lose
+rows, and a union of them could not change its sources); ``quarantine_table`` and the
+catalog view ``silver.quarantine`` are their union.  The validated tables are
+persisted, so the stateful dedup runs once for both consumers.  Dedup state is
+unbounded (every key ever seen), as in the source pipeline; the session uses the
+RocksDB state store so it lives off-heap, and the number of state partitions is fixed
+by ``spark.sql.shuffle.partitions`` at the first run - size it for the target volume
+before the first checkpoint is written.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,17 +35,18 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from stratum.operators.quality import QUARANTINE_SCHEMA, REASON
-from stratum.plans import merchants, transactions
+from stratum.plans import gold, merchants, transactions, users
 from stratum.sources.files import bronze_stream
 from stratum.sources.registry import SourceSpec
-from stratum.sources.tables import (Layout, declare_table, ensure_namespaces, read_path, register,
-                                    stream_path)
+from stratum.sources.tables import (Layout, declare_table, ensure_namespaces, path_exists,
+                                    read_path, register, stream_path)
 
 QUARANTINE = "silver.quarantine"
 ENTITIES = {"transactions": transactions, "merchants": merchants}
-# Clean tables partitioned for their consumers: the gold KPIs are computed per
-# transaction date, so an incremental refresh prunes to the touched dates.
-CLEAN_PARTITIONS = {"transactions": ("transaction_date",), "merchants": ()}
+USERS_TABLE = "silver.users"
+USERS_VALIDATED = "silver.users_validated"
+USERS_STRUCT_Q = "silver.users_structure_quarantine"
+USERS_RULE_Q = "silver.users_quarantine"
 
 
 @dataclass
@@ -50,10 +55,9 @@ class FlowOptions:
     # continuously with this trigger interval, e.g. "1 minute".
     processing_time: str | None = None
     max_files_per_trigger: int | None = None
-    sampling_ratio: float = 1.0
-    # Two-level salted streaming dedup (hot keys spread over this many state
-    # partitions); None = single dropDuplicates.  Fixed once checkpointed.
-    dedup_salt_buckets: int | None = 16
+    # Partitions that NULL and blank dedup keys are spread over; None: as many as
+    # shuffle partitions, 0: no spreading.  Fixed once checkpointed.
+    dedup_salt_buckets: int | None = None
 
 
 def _start(df: DataFrame, path: str, checkpoint: str, name: str, opts: FlowOptions,
@@ -84,11 +88,20 @@ def _finish(spark: SparkSession, q: StreamingQuery, opts: FlowOptions) -> Stream
     return q
 
 
+def with_contract(spec: SourceSpec) -> SourceSpec:
+    """Columns that the silver rules parse themselves stay text, unless declared."""
+    plan = ENTITIES.get(spec.source_name)
+    if plan is None:
+        return spec
+    return replace(spec, types={c: "string" for c in plan.RAW_COLUMNS} | spec.types)
+
+
 def ingest(spark: SparkSession, layout: Layout, spec: SourceSpec,
            opts: FlowOptions | None = None) -> StreamingQuery:
     """Landing folder -> bronze.<source_name> (typed, rescued, with lineage)."""
     opts = opts or FlowOptions()
-    df = bronze_stream(spark, spec, opts.sampling_ratio, opts.max_files_per_trigger)
+    df = bronze_stream(spark, with_contract(spec), opts.max_files_per_trigger,
+                       strict_header=bool(opts.processing_time))
     name = f"bronze.{spec.source_name}"
     q = _start(df, layout.table_path(name), layout.checkpoint(f"bronze_{spec.source_name}"),
                f"bronze_{spec.source_name}", opts, spec.partition_by)
@@ -98,7 +111,10 @@ def ingest(spark: SparkSession, layout: Layout, spec: SourceSpec,
 def _validated_plan(spark: SparkSession, layout: Layout, entity: str, opts: FlowOptions,
                     bronze_schema: T.StructType | None = None) -> DataFrame:
     src = stream_path(spark, layout.table_path(f"bronze.{entity}"), bronze_schema)
-    return ENTITIES[entity].validate(src, batch_order=None, salt_buckets=opts.dedup_salt_buckets)
+    buckets = opts.dedup_salt_buckets
+    if buckets is None:
+        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return ENTITIES[entity].validate(src, batch_order=None, salt_buckets=buckets)
 
 
 def validated_plan(spark: SparkSession, layout: Layout, entity: str,
@@ -149,43 +165,109 @@ def clean(spark: SparkSession, layout: Layout, entity: str,
     plan = ENTITIES[entity]
     src = _validated_source(spark, layout, entity, opts, bronze_schema)
     q = _start(plan.clean(src), layout.table_path(f"silver.{entity}"),
-               layout.checkpoint(f"silver_{entity}"), f"silver_{entity}", opts,
-               CLEAN_PARTITIONS.get(entity, ()))
+               layout.checkpoint(f"silver_{entity}"), f"silver_{entity}", opts)
     return _finish(spark, q, opts)
 
 
-def quarantine(spark: SparkSession, layout: Layout, entities=("transactions", "merchants"),
+def quarantine_name(entity: str) -> str:
+    return f"{QUARANTINE}_{entity}"
+
+
+def quarantine(spark: SparkSession, layout: Layout, entity: str,
                opts: FlowOptions | None = None, declare: bool = True,
-               bronze_schemas: dict | None = None) -> StreamingQuery:
-    """Reject rows of every validated table, fanned into one quarantine table.
+               bronze_schema: T.StructType | None = None) -> StreamingQuery:
+    """Reject rows of one validated table into its part of the quarantine.
 
-    ``declare`` creates the catalog table with its declared schema first.
+    ``declare`` creates the catalog table with its declared schema first, and makes
+    ``silver.quarantine`` the union of the entities declared so far.
     """
     opts = opts or FlowOptions()
-    path = layout.table_path(QUARANTINE)
+    name = quarantine_name(entity)
     if declare:
         ensure_namespaces(spark, ["silver"])
-        declare_table(spark, layout, QUARANTINE, QUARANTINE_SCHEMA,
-                      comment="Rejected records of the silver rules",
+        declare_table(spark, layout, name, QUARANTINE_SCHEMA,
+                      comment=f"Rejected records of the {entity} rules",
                       properties={"quality": "silver"})
-    flows = []
-    for entity in entities:
-        src = _validated_source(spark, layout, entity, opts, (bronze_schemas or {}).get(entity))
-        flows.append(ENTITIES[entity].quarantine(src))
-    union = flows[0]
-    for f in flows[1:]:
-        union = union.unionByName(f)
-    q = _start(union, path, layout.checkpoint("silver_quarantine"), "silver_quarantine", opts)
+        parts = [quarantine_name(e) for e in ENTITIES
+                 if spark.catalog.tableExists(quarantine_name(e))]
+        spark.sql(f"CREATE OR REPLACE VIEW {QUARANTINE} AS "
+                  + " UNION ALL ".join(f"SELECT * FROM {p}" for p in parts))
+    src = _validated_source(spark, layout, entity, opts, bronze_schema)
+    q = _start(ENTITIES[entity].quarantine(src), layout.table_path(name),
+               layout.checkpoint(name.replace(".", "_")), name.replace(".", "_"), opts)
     return _finish(spark, q, opts)
 
 
+def quarantine_table(spark: SparkSession, layout: Layout) -> DataFrame:
+    """The reject rows of every entity, by the commit log of each part."""
+    parts = [spark.read.schema(QUARANTINE_SCHEMA).parquet(path) for e in ENTITIES
+             if path_exists(spark, path := layout.table_path(quarantine_name(e)))]
+    if not parts:
+        return spark.createDataFrame([], QUARANTINE_SCHEMA)
+    union = parts[0]
+    for p in parts[1:]:
+        union = union.unionByName(p)
+    return union
+
+
+def users_plans(spark: SparkSession, layout: Layout, bronze_schema: T.StructType | None,
+                source: str = "users") -> dict[str, Callable[[], DataFrame]]:
+    """The (streaming) plans of the users tables, in order; each is made when its turn
+    comes, since the last two read the first one's files."""
+    def split() -> tuple[DataFrame, DataFrame]:
+        raw = stream_path(spark, layout.table_path(f"bronze.{source}"), bronze_schema)
+        return users.split_lines(raw, keep=("_source_file",))
+
+    def flagged() -> DataFrame:
+        return users.flags(users.normalize(split()[0]))
+
+    def stored() -> DataFrame:
+        return stream_path(spark, layout.table_path(USERS_VALIDATED), flagged().schema)
+
+    return {USERS_VALIDATED: flagged, USERS_STRUCT_Q: lambda: split()[1],
+            USERS_TABLE: lambda: users.clean_and_quarantine(stored())[0],
+            USERS_RULE_Q: lambda: users.clean_and_quarantine(stored())[1]}
+
+
+def users_flow(spark: SparkSession, layout: Layout, table: str, plan: DataFrame,
+               opts: FlowOptions | None = None) -> StreamingQuery:
+    opts = opts or FlowOptions()
+    flow = table.replace(".", "_")
+    q = _start(plan, layout.table_path(table), layout.checkpoint(flow), flow, opts)
+    return _finish(spark, q, opts)
+
+
+def kpi_partials(spark: SparkSession, layout: Layout, clean_schema: T.StructType,
+                 folder: str, checkpoint: str) -> StreamingQuery:
+    """silver.transactions -> one folder of additive KPI partials per micro-batch.
+
+    A batch that is run again after a crash has the same rows (its offsets are
+    logged first) and replaces its own folder, so no delivery counts twice.  Always
+    available-now: each refresh takes what has arrived.
+    """
+    src = spark.readStream.schema(clean_schema).parquet(layout.table_path("silver.transactions"))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        (gold.kpi_partials(batch).hint("rebalance", "transaction_date")
+         .write.mode("overwrite").parquet(f"{folder}/batch-{batch_id:09d}"))
+
+    q = (src.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+    return q
+
+
 def bronze_table(spark: SparkSession, layout: Layout, source: str) -> DataFrame:
     return read_path(spark, layout.table_path(f"bronze.{source}"))
 
 
-def register_silver(spark: SparkSession, layout: Layout, entity: str) -> None:
-    register(spark, layout, f"silver.{entity}_validated",
+def register_silver(spark: SparkSession, layout: Layout, entity: str,
+                    validated: T.StructType) -> None:
+    register(spark, layout, f"silver.{entity}_validated", validated,
              comment=f"Validated {entity} (all deduplicated rows + rejection_reason)",
              properties={"pipelines.reset.allowed": "true"})
-    register(spark, layout, f"silver.{entity}", comment=f"Clean {entity}",
-             properties={"quality": "silver"}, partition_by=CLEAN_PARTITIONS.get(entity, ()))
+    register(spark, layout, f"silver.{entity}",
+             T.StructType([f for f in validated.fields if f.name != REASON]),
+             comment=f"Clean {entity}", properties={"quality": "silver"})

@@ -1,36 +1,58 @@
 """Run the whole medallion pipeline in dependency order.
 
-    bronze (streams)  ->  silver (streams)  ->  gold (batch materialised views)
-                                                users (batch)
+    bronze (streams)  ->  silver (streams)  ->  gold (KPIs incremental, views rebuilt)
 
-Each step is restartable: streams resume from their checkpoints, batch
-steps overwrite their outputs.  ``full_refresh`` drops a table's files and its
-stream checkpoint so the next run rebuilds it from its inputs.
+Each step is restartable: streams resume from their checkpoints, batch steps
+overwrite their outputs.  ``full_refresh`` drops a table and all that is derived from
+it, files and stream checkpoints alike; the next run rebuilds them.
 """
 
 from __future__ import annotations
 
-import os
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from stratum.plans import gold, merchants, transactions, users
-from stratum.sources.files import bronze_schema
+from stratum.operators.quality import REASON
+from stratum.plans import gold, users
+from stratum.sources.files import bronze_schema, read_versioned, write_versioned
 from stratum.sources.registry import SourceSpec
-from stratum.sources.tables import (Layout, ensure_namespaces, overwrite, read_partitioned,
-                                    read_path, register)
+from stratum.sources.tables import (Layout, delete_path, ensure_namespaces, overwrite,
+                                    path_exists, read_path, register)
 from stratum.streaming import flows
-from stratum.streaming.flows import FlowOptions
+from stratum.streaming.flows import (QUARANTINE, USERS_RULE_Q, USERS_STRUCT_Q, USERS_TABLE,
+                                     USERS_VALIDATED, FlowOptions)
 
 KPI_TABLE = "gold.daily_transaction_kpis"
 SUMMARY_TABLE = "gold.merchant_risk_summary"
 ALERTS_TABLE = "gold.fraud_detection_alerts"
-USERS_TABLE = "silver.users"
-USERS_VALIDATED = "silver.users_validated"
-USERS_STRUCT_Q = "silver.users_structure_quarantine"
-USERS_RULE_Q = "silver.users_quarantine"
-ENTITY_PLANS = {"transactions": transactions, "merchants": merchants}
+FOLD_AFTER = 32  # KPI partial folders before they are folded into one
+
+# What is derived from what; a refresh follows it.
+DEPENDENTS = {
+    **{f"bronze.{e}": [f"silver.{e}_validated"] for e in flows.ENTITIES},
+    **{f"silver.{e}_validated": [f"silver.{e}", flows.quarantine_name(e)]
+       for e in flows.ENTITIES},
+    "silver.transactions": [KPI_TABLE],
+    "silver.merchants": [SUMMARY_TABLE],
+    KPI_TABLE: [SUMMARY_TABLE, ALERTS_TABLE],
+    "bronze.users": [USERS_VALIDATED, USERS_STRUCT_Q],
+    USERS_VALIDATED: [USERS_TABLE, USERS_RULE_Q],
+    QUARANTINE: [flows.quarantine_name(e) for e in flows.ENTITIES],
+}
+
+
+def derived_from(table: str) -> list[str]:
+    """``table`` and everything derived from it, inputs first."""
+    out, todo = [], [table]
+    while todo:
+        t = todo.pop(0)
+        if t not in out:
+            out.append(t)
+            todo += DEPENDENTS.get(t, [])
+    return out
 
 
 class Pipeline:
@@ -51,6 +73,7 @@ class Pipeline:
             self.queries.append(flows.ingest(self.spark, self.layout, spec, self.opts))
             if self.register_tables:
                 register(self.spark, self.layout, f"bronze.{spec.source_name}",
+                         bronze_schema(self.spark, spec),
                          comment=f"Bronze table for {spec.source_name}")
 
     def _has_source(self, name: str) -> bool:
@@ -61,140 +84,128 @@ class Pipeline:
         spec = next((s for s in self.specs if s.source_name == name), None)
         return None if spec is None else bronze_schema(self.spark, spec)
 
+    def _validated_schema(self, entity: str) -> T.StructType:
+        return flows.validated_schema(self.spark, self.layout, entity, self.opts,
+                                      self._bronze_schema(entity))
+
+    def _silver_schema(self, entity: str) -> T.StructType:
+        """Schema of the clean table, from its plan (no footer scan)."""
+        return T.StructType([f for f in self._validated_schema(entity).fields
+                             if f.name != REASON])
+
     def _read_silver(self, entity: str) -> DataFrame:
-        """Clean silver table read with the schema of its plan (no footer scan)."""
-        schema = ENTITY_PLANS[entity].clean(flows.validated_plan(
-            self.spark, self.layout, entity, self.opts, self._bronze_schema(entity))).schema
-        return self.spark.read.schema(schema).parquet(
+        return self.spark.read.schema(self._silver_schema(entity)).parquet(
             self.layout.table_path(f"silver.{entity}"))
 
     # --- silver ------------------------------------------------------------------------
     def run_silver(self) -> None:
-        entities = [e for e in ("transactions", "merchants") if self._has_source(e)]
+        entities = [e for e in flows.ENTITIES if self._has_source(e)]
         schemas = {e: self._bronze_schema(e) for e in entities}
         for e in entities:
             self.queries.append(flows.validated(self.spark, self.layout, e, self.opts, schemas[e]))
         for e in entities:
             self.queries.append(flows.clean(self.spark, self.layout, e, self.opts, schemas[e]))
-        if entities:
-            self.queries.append(flows.quarantine(self.spark, self.layout, tuple(entities),
-                                                 self.opts, declare=self.register_tables,
-                                                 bronze_schemas=schemas))
+        for e in entities:
+            self.queries.append(flows.quarantine(self.spark, self.layout, e, self.opts,
+                                                 self.register_tables, schemas[e]))
         if self.register_tables:
             for e in entities:
-                flows.register_silver(self.spark, self.layout, e)
+                flows.register_silver(self.spark, self.layout, e, self._validated_schema(e))
 
     # --- gold --------------------------------------------------------------------------
     def run_gold(self, incremental: bool = True) -> None:
-        """Refresh the KPI table, then rebuild the summary and the alerts from it.
-
-        Incremental (default): silver is append-only, and every KPI measure is a
-        count or a sum, so only the silver files committed since the last
-        refresh are aggregated and merged into the stored KPI rows of the dates
-        they touch (``gold.merge_kpis``); those date partitions are replaced by
-        dynamic partition overwrite.  Cost follows the new data, not the size
-        of a (possibly hot) date.  The files being merged are recorded as
-        *pending* first; a refresh that stops midway is repaired on the next run
-        by recomputing the pending files' dates from silver (idempotent).
-        A full rebuild happens on the first run, with ``incremental=False``, or
-        when silver no longer holds every file aggregated before (refresh).
-        """
-        spark, layout = self.spark, self.layout
+        """Refresh the KPI table, then rebuild the summary and the alerts from it."""
         if not self._has_source("transactions"):
             return
-        silver_path = layout.table_path("silver.transactions")
-        tx = self._read_silver("transactions")
-        kpi_path = layout.table_path(KPI_TABLE)
-        cols = gold.daily_kpis(tx).columns
-        committed = spark.createDataFrame([(f,) for f in tx.inputFiles()], "path string")
-        state = layout.checkpoint("gold_daily_transaction_kpis")
-        consumed_path, pending_path = os.path.join(state, "files"), os.path.join(state, "pending")
-        consumed = _read_or_none(spark, consumed_path)
-        full = (not incremental or consumed is None or _read_or_none(spark, kpi_path) is None
-                or consumed.join(committed, "path", "left_anti").limit(1).count() > 0)
-
-        def new_rows(paths):
-            return spark.read.schema(tx.schema).option("basePath", silver_path).parquet(*paths)
-
-        def replace_dates(kpis):
-            (kpis.repartition("transaction_date").write.mode("overwrite")
-             .option("partitionOverwriteMode", "dynamic")
-             .partitionBy("transaction_date").parquet(kpi_path))
-
-        def record(paths):
-            spark.createDataFrame([(p,) for p in paths], "path string") \
-                .write.mode("append").parquet(consumed_path)
-            _delete(spark, pending_path)
-
-        # KPI rows are aggregates (per date at most merchants x channels x
-        # currencies), so clustering them by date before the partitioned write is
-        # cheap and gives about one file per date instead of one per task and date.
-        if full:
-            overwrite(gold.daily_kpis(tx).repartition("transaction_date"), kpi_path,
-                      partition_by=("transaction_date",))
-            committed.write.mode("overwrite").parquet(consumed_path)
-            _delete(spark, pending_path)
-        else:
-            pending = _read_or_none(spark, pending_path)
-            if pending is not None:  # an earlier refresh stopped midway: redo its dates
-                paths = [r.path for r in pending.collect()]
-                touched = _dates(new_rows(paths))
-                if touched:
-                    replace_dates(gold.daily_kpis(tx.filter(F.col("transaction_date")
-                                                            .isin(touched))))
-                record(paths)
-                consumed = _read_or_none(spark, consumed_path)
-            paths = [r.path for r in committed.join(consumed, "path", "left_anti").collect()]
-            if paths:  # committed file names, not rows
-                spark.createDataFrame([(p,) for p in paths], "path string") \
-                    .write.mode("overwrite").parquet(pending_path)
-                delta = gold.daily_kpis(new_rows(paths), with_timestamp=False).checkpoint()
-                touched = _dates(delta)
-                if touched:
-                    stored = spark.read.parquet(kpi_path).filter(
-                        F.col("transaction_date").isin(touched))
-                    # checkpoint(): the merged rows no longer read the partitions
-                    # they are about to replace.
-                    replace_dates(gold.merge_kpis(stored, delta).checkpoint())
-                record(paths)
-        # Materialised once, read by both consumers (small: one row per group).
-        kpis_t = read_partitioned(spark, kpi_path, cols)
-        overwrite(gold.fraud_alerts(kpis_t), layout.table_path(ALERTS_TABLE))
+        spark, layout = self.spark, self.layout
+        if not incremental:
+            self._drop(KPI_TABLE)
+        kpis = self.refresh_kpis()
+        overwrite(gold.fraud_alerts(kpis), layout.table_path(ALERTS_TABLE))
         if self._has_source("merchants"):
             m = self._read_silver("merchants")
-            overwrite(gold.merchant_risk_summary(kpis_t, m), layout.table_path(SUMMARY_TABLE))
+            overwrite(gold.merchant_risk_summary(kpis, m), layout.table_path(SUMMARY_TABLE))
         if self.register_tables:
-            register(spark, layout, KPI_TABLE, properties={"quality": "gold"},
+            register(spark, layout, KPI_TABLE, kpis.schema, properties={"quality": "gold"},
                      comment="Daily transaction KPIs per merchant, channel and currency",
                      partition_by=("transaction_date",))
-            register(spark, layout, ALERTS_TABLE, properties={"quality": "gold"},
+            register(spark, layout, ALERTS_TABLE, gold.fraud_alerts(kpis).schema,
+                     properties={"quality": "gold"},
                      comment="Possible-fraud alerts from risk indicators")
             if self._has_source("merchants"):
-                register(spark, layout, SUMMARY_TABLE, properties={"quality": "gold"},
+                register(spark, layout, SUMMARY_TABLE,
+                         gold.merchant_risk_summary(kpis, m).schema,
+                         properties={"quality": "gold"},
                          comment="Historical activity and risk per merchant")
 
+    def refresh_kpis(self) -> DataFrame:
+        """Bring the KPI table up to date with silver.transactions; returns it.
+
+        The clean table is consumed as a stream; each micro-batch leaves its additive
+        partials in a folder of its own (``flows.kpi_partials``).  The dates of the
+        folders that the pointer does not cover yet are recomputed from *all* partials
+        of those dates and replaced, then the pointer moves on.  Nothing is ever added
+        to a stored KPI row, so a refresh that stops anywhere is simply done again:
+        folders are rewritten with the same rows, dates are recomputed to the same
+        values.  Cost follows the dates that new data touches.  Partials are folded
+        into one folder from time to time, under the same pointer.
+        """
+        spark, state = self.spark, self.layout.checkpoint("gold_daily_transaction_kpis")
+        folder, pointer = f"{state}/partials", f"{state}/pointer"
+        flows.kpi_partials(spark, self.layout, self._silver_schema("transactions"), folder,
+                           f"{state}/stream")
+        at = read_versioned(spark, pointer) or {"base": -1, "upto": -1}
+        batches = [i for i in complete_batches(spark, folder) if i > at["base"]]
+        paths = ([f"{folder}/base-{at['base']:09d}"] if at["base"] >= 0 else []) + [
+            f"{folder}/batch-{i:09d}" for i in batches]      # at most about FOLD_AFTER
+        path = self.layout.table_path(KPI_TABLE)
+        schema = T.StructType(gold.daily_kpis(spark.createDataFrame(
+            [], self._silver_schema("transactions"))).schema.fields)
+        new = [f"{folder}/batch-{i:09d}" for i in batches if i > at["upto"]]
+        if new:
+            shape = T.StructType([f for f in schema.fields
+                                  if f.name in (*gold.KPI_KEYS, *gold.ADDITIVE_KPIS)])
+            shape = T.StructType([shape[c] for c in (*gold.KPI_KEYS, *gold.ADDITIVE_KPIS)])
+            every = spark.read.schema(shape).parquet(*paths)
+            touched = _dates(spark.read.schema(shape).parquet(*new))
+            if touched:
+                # A rebalance by date: about one file per date, split where one is large.
+                (gold.kpis_from_partials(every.filter(F.col("transaction_date").isin(touched)))
+                 .hint("rebalance", "transaction_date").write.mode("overwrite")
+                 .option("partitionOverwriteMode", "dynamic")
+                 .partitionBy("transaction_date").parquet(path))
+            at = {"base": at["base"], "upto": batches[-1]}
+            write_versioned(spark, pointer, at)
+            if len(batches) > FOLD_AFTER:
+                last = batches[-1]
+                (gold.combine_partials(every).hint("rebalance", "transaction_date")
+                 .write.mode("overwrite").parquet(f"{folder}/base-{last:09d}"))
+                write_versioned(spark, pointer, {"base": last, "upto": last})
+                for p in paths:
+                    delete_path(spark, p)
+        if not path_exists(spark, path):
+            return spark.createDataFrame([], schema)
+        return spark.read.schema(schema).parquet(path).select(*schema.names)
+
     # --- users -------------------------------------------------------------------------
     def run_users(self, source: str = "users") -> DataFrame:
         """bronze.users text -> validated -> users table + quarantines; returns the DQ summary.
 
-        The flags are computed once and persisted (``silver.users_validated``);
-        the clean table, the rule quarantine and the report all read that.
+        Four append flows, so a run costs what is new.  The flags are computed once and
+        persisted (``silver.users_validated``); the clean table, the rule quarantine and
+        the report all read that.
         """
         spark, layout = self.spark, self.layout
-        schema = self._bronze_schema(source)
-        path = layout.table_path(f"bronze.{source}")
-        raw = spark.read.schema(schema).parquet(path) if schema else read_path(spark, path)
-        fields, struct_bad = users.split_lines(raw, keep=("_source_file",))
-        overwrite(struct_bad, layout.table_path(USERS_STRUCT_Q))
-        overwrite(users.flags(users.normalize(fields)), layout.table_path(USERS_VALIDATED))
-        flagged = read_path(spark, layout.table_path(USERS_VALIDATED))
-        good, bad = users.clean_and_quarantine(flagged)
-        overwrite(good, layout.table_path(USERS_TABLE))
-        overwrite(bad, layout.table_path(USERS_RULE_Q))
-        if self.register_tables:
-            for t in (USERS_VALIDATED, USERS_TABLE, USERS_STRUCT_Q, USERS_RULE_Q):
-                register(spark, layout, t)
-        return users.summary(flagged)
+        plans = flows.users_plans(spark, layout, self._bronze_schema(source), source)
+        schemas = {}
+        for table, make in plans.items():
+            plan = make()
+            schemas[table] = plan.schema
+            self.queries.append(flows.users_flow(spark, layout, table, plan, self.opts))
+            if self.register_tables:
+                register(spark, layout, table, plan.schema)
+        return users.summary(spark.read.schema(schemas[USERS_VALIDATED]).parquet(
+            layout.table_path(USERS_VALIDATED)))
 
     def run(self) -> None:
         self.run_bronze()
@@ -219,32 +230,33 @@ class Pipeline:
 
     # --- maintenance -------------------------------------------------------------------
     def full_refresh(self, table: str) -> None:
-        """Drop a table's files and its stream checkpoint; the next run rebuilds it."""
-        layer, name = table.split(".", 1)
-        _delete(self.spark, self.layout.table_path(table))
-        _delete(self.spark, self.layout.checkpoint(f"{layer}_{name}"))
-        if self.register_tables:
+        """Drop a table and all tables derived from it, with their stream checkpoints;
+        the next run rebuilds them.  (Dropping one alone would make the flows that read
+        it append its rows again.)"""
+        if any(q.isActive for q in self.queries):
+            raise RuntimeError("stop() the running flows before a refresh")
+        for t in derived_from(table):
+            self._drop(t)
+
+    def _drop(self, table: str) -> None:
+        delete_path(self.spark, self.layout.table_path(table))
+        delete_path(self.spark, self.layout.checkpoint(table.replace(".", "_")))
+        if self.register_tables and table != QUARANTINE:
             self.spark.sql(f"DROP TABLE IF EXISTS {table}")
 
 
+def complete_batches(spark: SparkSession, folder: str) -> list[int]:
+    """Numbers of the partial folders whose write was committed."""
+    if not path_exists(spark, folder):
+        return []
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in fs.listStatus(p)]
+    found = [int(m[1]) for n in names if (m := re.fullmatch(r"batch-(\d+)", n))]
+    return sorted(i for i in found if path_exists(spark, f"{folder}/batch-{i:09d}/_SUCCESS"))
+
+
 def _dates(df: DataFrame) -> list:
     """Distinct transaction dates of a frame (one row per calendar date)."""
     return [r.transaction_date for r in df.select("transaction_date").distinct().collect()
             if r.transaction_date is not None]
-
-
-def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except Exception as exc:
-        if "PATH_NOT_FOUND" in str(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc):
-            return None
-        raise
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if fs.exists(p):
-        fs.delete(p, True)

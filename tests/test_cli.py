@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from stratum import run
 from stratum.sources.registry import specs_to_json
 from stratum.sources.tables import Layout, read_path
-from stratum.streaming import staging
+from stratum.streaming import flows, staging
 from stratum.streaming.pipeline import ALERTS_TABLE, KPI_TABLE, SUMMARY_TABLE, USERS_TABLE
 
 from conftest import SF_SMALL
@@ -32,6 +32,6 @@ def test_cli_runs_every_layer(spark, run_dir):
     assert read_path(spark, layout.table_path(SUMMARY_TABLE)).count() == \
         read_path(spark, layout.table_path("silver.merchants")).count()
     assert read_path(spark, layout.table_path(USERS_TABLE)).count() == 117
-    q = read_path(spark, layout.table_path("silver.quarantine"))
+    q = flows.quarantine_table(spark, layout)
     assert {r.source_name for r in q.select("source_name").distinct().collect()} == \
         {"transactions"}  # ten suppliers at sf0.001 break no merchant rule

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from stratum.functions.normalize import (fold, parse_amount, parse_date, parse_date_gated,
                                          phone_digits, prefix_lookup, recode)
+from stratum.plans import transactions, users
 
 
 def one_col(spark, values, expr, dtype="string"):
@@ -37,10 +38,10 @@ def test_fold_trims_spaces_only(spark):
 
 
 def test_recode_is_one_simultaneous_lookup(spark):
-    m = {"SOL": "PEN", "SOLES": "PEN", "US$": "USD"}
-    got = one_col(spark, ["SOL", "SOLES", "US$", "EUR", "PEN", None],
-                  lambda c: recode(c, m))
-    assert got == ["PEN", "PEN", "USD", "EUR", "PEN", None]
+    m = transactions.CURRENCY_ALIASES
+    aliases = sorted(m)
+    got = one_col(spark, [*aliases, "unlisted", None], lambda c: recode(c, m))
+    assert got == [*[m[a] for a in aliases], "unlisted", None]
 
 
 def test_parse_date_strict_formats(spark):
@@ -52,10 +53,8 @@ def test_parse_date_strict_formats(spark):
 
 
 def test_parse_date_gated_rejects_impossible_and_unshaped(spark):
-    shapes = ((r"^[0-9]{2}/[0-9]{2}/[0-9]{4}$", "dd/MM/yyyy"),
-              (r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$", "yyyy-MM-dd"))
     values = ["15/03/2024", "2024-03-15", "31/02/2024", "2024/01/01", "+12024-01-01", None]
-    got = one_col(spark, values, lambda c: parse_date_gated(c, shapes))
+    got = one_col(spark, values, lambda c: parse_date_gated(c, users.DATE_SHAPES))
     assert got == [dt.date(2024, 3, 15), dt.date(2024, 3, 15), None, None, None, None]
 
 
@@ -64,8 +63,7 @@ def test_phone_digits_and_country_prefix(spark):
                                 ("+1 (555) 000-11122",), ("5",)], "phone string")
     letters = F.col("phone").rlike("[A-Za-z]")
     clean = phone_digits("phone", letters)
-    prefixes = (("51", "PE"), ("56", "CL"), ("57", "CO"), ("54", "AR"), ("52", "MX"))
-    rows = df.select(clean.alias("d"), prefix_lookup(clean, prefixes, "UNKNOWN").alias("c")).collect()
+    rows = df.select(clean.alias("d"), prefix_lookup(clean, users.PHONE_PREFIXES, "UNKNOWN").alias("c")).collect()
     assert [(r.d, r.c) for r in rows] == [
         ("51999000123", "PE"), (None, "UNKNOWN"), ("520000000001", "MX"),
         ("1555000111 22".replace(" ", ""), "UNKNOWN"), ("5", "UNKNOWN")]

@@ -111,12 +111,13 @@ tx_row = st.tuples(
 
 @SETTINGS
 @given(st.lists(tx_row, min_size=1, max_size=40), st.lists(tx_row, min_size=1, max_size=40))
-def test_merge_kpis_equals_full_recompute(spark, first, second):
+def test_kpis_from_partials_equal_full_recompute(spark, first, second):
     from stratum.plans import gold
     cols = ("transaction_date date, merchant_id string, channel string, currency string, "
             "transaction_type string, status string, amount double")
     a, b = spark.createDataFrame(first, cols), spark.createDataFrame(second, cols)
-    merged = gold.merge_kpis(gold.daily_kpis(a), gold.daily_kpis(b), with_timestamp=False)
+    merged = gold.kpis_from_partials(gold.kpi_partials(a).unionByName(gold.kpi_partials(b)),
+                                     with_timestamp=False)
     full = gold.daily_kpis(a.unionByName(b), with_timestamp=False)
     assert merged.columns == full.columns
     assert merged.exceptAll(full).count() == 0 and full.exceptAll(merged).count() == 0

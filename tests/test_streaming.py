@@ -123,7 +123,7 @@ def test_stream_dedup_across_restarts_and_fan_in(spark, run_dir):
     assert v.count() == 4
     reasons = {r.transaction_id: r.rejection_reason for r in v.collect()}
     assert reasons["TXN-20240105-00001"] == "amount es nulo"   # first copy shadows later one
-    q = read_path(spark, layout.table_path("silver.quarantine"))
+    q = flows.quarantine_table(spark, layout)
     assert sorted((r.source_name, r.rejection_reason) for r in q.collect()) == [
         ("merchants", "formato merchant_id invalido"), ("transactions", "amount es nulo")]
     for r in q.collect():  # the normalised row, with lineage, without ingestion time
@@ -137,17 +137,107 @@ def test_stream_dedup_across_restarts_and_fan_in(spark, run_dir):
     assert k.agg(F.sum("total_transactions")).collect()[0][0] == 3
 
 
-def test_full_refresh_rebuilds(spark, run_dir):
+def kpi_equals_recompute(spark, layout, pipe):
+    from stratum.plans import gold
+    full = gold.daily_kpis(pipe._read_silver("transactions"), with_timestamp=False)
+    got = read_path(spark, layout.table_path(KPI_TABLE)).drop("_processed_at").select(*full.columns)
+    assert got.exceptAll(full).count() == 0 and full.exceptAll(got).count() == 0
+    return got.agg(F.sum("total_transactions")).first()[0]
+
+
+def test_full_refresh_reaches_all_that_is_derived(spark, run_dir):
+    layout = Layout(run_dir)
+    t, u = spec(layout, "transactions", "json"), spec(layout, "users", "text")
+    pipe = Pipeline(spark, layout, [t, u], register_tables=False)
+    bad = [r[:4] + ("abc",) + r[5:] for r in tx_rows(50, 2)]
+    write_json_arrays(spark.createDataFrame(tx_rows(1, 4) + bad, TX), t.source_path)
+    write_text(spark.createDataFrame([("a|b",), ("c",)], "value string"), u.source_path)
+    pipe.run()
+    for table in ("silver.transactions_validated", "bronze.transactions", "silver.quarantine",
+                  "silver.users_validated", "gold.daily_transaction_kpis"):
+        pipe.full_refresh(table)
+        pipe.run()
+        assert read_path(spark, layout.table_path("silver.transactions")).count() == 4
+        assert flows.quarantine_table(spark, layout).count() == 2
+        assert kpi_equals_recompute(spark, layout, pipe) == 4
+        assert read_path(spark, layout.table_path("silver.users_structure_quarantine")).count() == 2
+
+
+def test_kpi_refresh_stopped_before_the_pointer_moves(spark, run_dir, monkeypatch):
+    from stratum.streaming import pipeline as pl
     layout = Layout(run_dir)
     t = spec(layout, "transactions", "json")
     pipe = Pipeline(spark, layout, [t], register_tables=False)
-    write_json_arrays(spark.createDataFrame(tx_rows(1, 4), TX), t.source_path)
-    pipe.run_bronze()
-    pipe.run_silver()
-    pipe.full_refresh("silver.transactions_validated")
-    pipe.full_refresh("silver.transactions")
-    pipe.run_silver()
-    assert read_path(spark, layout.table_path("silver.transactions")).count() == 4
+
+    def deliver(start, n):
+        write_json_arrays(spark.createDataFrame(tx_rows(start, n), TX), t.source_path)
+        pipe.run_bronze(); pipe.run_silver()
+
+    def crash(*_):
+        raise RuntimeError("crash")
+
+    deliver(1, 3)
+    pipe.run_gold()
+    deliver(10, 2)
+    monkeypatch.setattr(pl, "write_versioned", crash)    # after the KPI overwrite
+    try:
+        pipe.run_gold()
+        raise AssertionError("no crash")
+    except RuntimeError:
+        pass
+    monkeypatch.undo()
+    deliver(20, 1)                                       # the same date, before the repair
+    pipe.run_gold()
+    assert kpi_equals_recompute(spark, layout, pipe) == 6
+    pipe.run_gold(incremental=False)
+    assert kpi_equals_recompute(spark, layout, pipe) == 6
+
+
+def test_kpi_refresh_stopped_inside_a_batch_and_folding(spark, run_dir, monkeypatch):
+    from stratum.plans import gold
+    from stratum.streaming import pipeline as pl
+    layout = Layout(run_dir)
+    t = spec(layout, "transactions", "json")
+    pipe = Pipeline(spark, layout, [t], register_tables=False)
+    monkeypatch.setattr(pl, "FOLD_AFTER", 1)
+    real = gold.kpi_partials
+
+    def written_then_crash(batch):
+        path = f"{layout.checkpoint('gold_daily_transaction_kpis')}/partials"
+        real(batch).write.mode("overwrite").parquet(f"{path}/batch-{len(seen):09d}")
+        raise RuntimeError("crash")
+
+    seen = []
+    for start in (1, 10, 20, 30):
+        write_json_arrays(spark.createDataFrame(tx_rows(start, 2), TX), t.source_path)
+        pipe.run_bronze(); pipe.run_silver()
+        monkeypatch.setattr(gold, "kpi_partials", written_then_crash)
+        try:
+            pipe.run_gold()
+            raise AssertionError("no crash")
+        except AssertionError:
+            raise
+        except Exception:
+            pass
+        monkeypatch.setattr(gold, "kpi_partials", real)
+        pipe.run_gold()
+        seen.append(start)
+        assert kpi_equals_recompute(spark, layout, pipe) == 2 * len(seen)
+
+
+def test_quarantine_accepts_a_source_added_later(spark, run_dir):
+    layout = Layout(run_dir)
+    t, m = spec(layout, "transactions", "json"), spec(layout, "merchants", "csv")
+    write_json_arrays(spark.createDataFrame(
+        [r[:4] + ("abc",) + r[5:] for r in tx_rows(1, 2)], TX), t.source_path)
+    first = Pipeline(spark, layout, [t], register_tables=False)
+    first.run_bronze(); first.run_silver()
+    write_csv(spark.createDataFrame([(1, "M-1", "x")], "_seq int, merchant_id string, "
+                                    "category string"), m.source_path)
+    both = Pipeline(spark, layout, [t, m], register_tables=False)
+    both.run_bronze(); both.run_silver()
+    assert sorted(r.source_name for r in flows.quarantine_table(spark, layout).collect()) == \
+        ["merchants", "transactions", "transactions"]
 
 
 def test_catalog_registration(spark, run_dir):
@@ -162,8 +252,27 @@ def test_catalog_registration(spark, run_dir):
              .collect()}
     assert props.get("quality") == "gold"
     assert spark.read.table("silver.quarantine").count() == 0
-    assert [r.partition for r in spark.sql("SHOW PARTITIONS silver.transactions").collect()] == \
-        ["transaction_date=2024-01-05"]
+    assert [r.partition for r in spark.sql("SHOW PARTITIONS gold.daily_transaction_kpis")
+            .collect()] == ["transaction_date=2024-01-05"]
+    # A wider delivery widens the registered tables in place.
+    late = spark.createDataFrame(tx_rows(10, 2), TX).withColumn("device", F.lit("ios"))
+    write_json_arrays(late, t.source_path)
+    pipe.run()
+    assert {r.device for r in spark.read.table("silver.transactions").collect()} == {None, "ios"}
+
+
+def test_clean_sink_files_follow_tasks_not_dates(spark, run_dir):
+    layout = Layout(run_dir)
+    t = spec(layout, "transactions", "json")
+    rows = [r[:1] + (f"TXN-202401{1 + i % 28:02d}-{i:05d}",) + r[2:9]
+            + (f"2024-01-{1 + i % 28:02d}",) + r[10:] for i, r in enumerate(tx_rows(0, 560))]
+    write_json_arrays(spark.createDataFrame(rows, TX), t.source_path)
+    pipe = Pipeline(spark, layout, [t], register_tables=False)
+    pipe.run_bronze(); pipe.run_silver(); pipe.run_gold()
+    clean = pipe._read_silver("transactions")
+    assert clean.count() == 560
+    assert len(clean.inputFiles()) <= 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert kpi_equals_recompute(spark, layout, pipe) == 560
 
 
 def test_csv_header_groups(spark, run_dir):
@@ -213,7 +322,7 @@ def test_salted_stream_dedup_hot_null_key(spark, run_dir):
     assert all(len(v) == 1 for v in by_key.values())
     assert by_key[None][0].v != "late" and by_key["a"][0].v != "late"
     plan = out._jdf.queryExecution().logical().toString()
-    assert plan.count("Deduplicate") == 2
+    assert plan.count("Deduplicate") == 3   # one for well-formed keys, two for the rest
 
 
 def test_incremental_kpi_refresh_equals_full_rebuild(spark, run_dir):
@@ -283,45 +392,125 @@ def test_schema_evolution_flows_through_silver(spark, run_dir):
     assert read_path(spark, layout.table_path(KPI_TABLE)).count() == 1
 
 
-def test_seen_files_record_compacts(spark, run_dir, monkeypatch):
+def test_schema_versions_survive_a_crash_between_write_and_rename(spark, run_dir):
     from stratum.sources import files
-    monkeypatch.setattr(files, "SEEN_COMPACT_AFTER", 3)
-    s = SourceSpec("t", os.path.join(run_dir, "landing"), "json", os.path.join(run_dir, "schema"))
-    for i in range(5):
-        files.record_seen_files(spark, s, [f"file:/x/{i}.json"])
-    assert files._seen_generation(spark, s) >= 1
-    seen = sorted(r.path for r in files.read_seen_files(spark, s).collect())
-    assert seen == [f"file:/x/{i}.json" for i in range(5)]
+    where = os.path.join(run_dir, "schema")
+    old = T.StructType([T.StructField("a", T.LongType())])
+    files.save_schema(spark, where, old, 5)
+    with open(os.path.join(where, "v000000002.json.tmp"), "w") as f:
+        f.write('{"schema": {"ty')                       # written, not renamed
+    assert files.load_schema(spark, where) == old
+    with open(os.path.join(where, "v000000002.json"), "w") as f:
+        f.write('{"schema": {"ty')                       # a file system without atomic rename
+    assert files.load_schema(spark, where) == old
+    wide = T.StructType([*old.fields, T.StructField("b", T.StringType())])
+    for _ in range(5):
+        files.save_schema(spark, where, wide, 6)
+    assert files.load_schema(spark, where) == wide
+    assert len(files._versions(spark, where)) <= files.VERSIONS_KEPT
+
+
+def test_rescue_keeps_nested_surplus_and_unparseable(spark, run_dir):
+    layout = Layout(run_dir)
+    s = spec(layout, "devices", "json")
+    os.makedirs(s.source_path)
 
+    def put(name, text, folder=None):
+        with open(os.path.join(folder or s.source_path, name), "w") as f:
+            f.write(text)
 
-def test_incremental_kpi_refresh_recovers_from_interrupted_run(spark, run_dir):
-    from stratum.plans import gold
+    put("a.json", '[{"k": 1, "s": {"x": 1}, "l": [1, 2]}, {"k": 2, "s": {"x": 2}, "l": []}]')
+    flows.ingest(spark, layout, s)
+    put("b.json", '[{"k": 3, "s": {"x": "bad"}}, {"k": 4, "s": "text"}, {"k": 5, "s": null}]')
+    put("c.json", '[{"k": 6, "s": {"x": 6}}, {"k": 7, "s"')
+    flows.ingest(spark, layout, s)
+    rows = flows.bronze_table(spark, layout, "devices").collect()
+    by = {r.k: r for r in rows if r.k is not None}
+    assert by[1].s.x == 1 and by[1].l == [1, 2] and by[1]._rescued_data is None
+    assert json.loads(by[3]._rescued_data) == {"s": '{"x":"bad"}'}
+    assert json.loads(by[4]._rescued_data) == {"s": '"text"'}
+    assert by[5]._rescued_data is None
+    broken = [r._rescued_data for r in rows if r._source_file == "c.json" and r._rescued_data]
+    assert broken and '"k": 7' in json.loads(broken[0])["_corrupt_record"]
+
+    c = spec(layout, "plain", "csv")
+    os.makedirs(c.source_path)
+    put("a b.csv", "k,v\n1,a\n2,b,EXTRA\n3\n", c.source_path)     # a blank in the name
+    flows.ingest(spark, layout, c)
+    got = {r.k: r for r in flows.bronze_table(spark, layout, "plain").collect()}
+    assert json.loads(got[2]._rescued_data) == {"_surplus_values": "2,b,EXTRA"}
+    assert got[1]._rescued_data is None and got[3]._rescued_data is None and got[3].v is None
+
+
+def test_contract_columns_stay_text(spark, run_dir):
     layout = Layout(run_dir)
-    t = spec(layout, "transactions", "json")
-    pipe = Pipeline(spark, layout, [t], register_tables=False)
+    m = spec(layout, "merchants", "csv")
+    cols = ("_seq int, merchant_id string, merchant_name string, category string, "
+            "country string, affiliation_date string, status string, risk_level string")
 
-    def rows(start, n, date):
-        return [(i, f"TXN-{date.replace('-', '')}-{i:05d}", "USR-000001", "MCH-00001", "10,50",
-                 "pago", "web", "aprobado", "PEN", date, None) for i in range(start, start + n)]
+    def deliver(i, date):
+        write_csv(spark.createDataFrame([(i, f"MCH-0000{i}", "n", "retail", "PE", date, "activo",
+                                          "bajo")], cols), m.source_path)
 
-    write_json_arrays(spark.createDataFrame(rows(1, 3, "2024-01-05"), TX), t.source_path)
-    pipe.run_bronze(); pipe.run_silver(); pipe.run_gold()
-    write_json_arrays(spark.createDataFrame(rows(10, 2, "2024-01-06"), TX), t.source_path)
+    pipe = Pipeline(spark, layout, [m], register_tables=False)
+    deliver(1, "2023-05-17")                 # ISO only at first
     pipe.run_bronze(); pipe.run_silver()
-    # Simulate a refresh that wrote wrong rows for the new date and stopped
-    # before recording its files: pending list present, KPI partition corrupt.
-    kpi = layout.table_path(KPI_TABLE)
-    state = layout.checkpoint("gold_daily_transaction_kpis")
-    consumed = spark.read.parquet(os.path.join(state, "files"))
-    silver = pipe._read_silver("transactions")
-    new = [p for p in silver.inputFiles() if p not in {r.path for r in consumed.collect()}]
-    spark.createDataFrame([(p,) for p in new], "path string").write.parquet(
-        os.path.join(state, "pending"))
-    bad = gold.daily_kpis(silver.filter("transaction_date = date'2024-01-06'")) \
-        .withColumn("total_transactions", F.lit(999).cast("bigint"))
-    (bad.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("transaction_date").parquet(kpi))
-    pipe.run_gold()
-    full = gold.daily_kpis(silver, with_timestamp=False)
-    got = spark.read.parquet(kpi).drop("_processed_at").select(*full.columns)
-    assert got.exceptAll(full).count() == 0 and full.exceptAll(got).count() == 0
+    deliver(2, "17/05/2023")
+    pipe.run_bronze(); pipe.run_silver()
+    v = read_path(spark, layout.table_path("silver.merchants_validated"))
+    assert {str(r.affiliation_date) for r in v.collect()} == {"2023-05-17"}
+    assert "affiliation_date invalida" not in {r.rejection_reason for r in v.collect()}
+    assert dict(flows.bronze_table(spark, layout, "merchants").dtypes)["affiliation_date"] == "string"
+    # Amounts as well: a number first, a comma later.
+    t = spec(layout, "transactions", "json")
+    os.makedirs(t.source_path)
+    for i, amount in ((1, "10.50"), (2, '"10,50"')):
+        with open(os.path.join(t.source_path, f"{i}.json"), "w") as f:
+            f.write('[{"_seq": %d, "amount": %s}]' % (i, amount))
+        flows.ingest(spark, layout, t)
+    got = {r._seq: r.amount for r in flows.bronze_table(spark, layout, "transactions").collect()}
+    assert got[2] == "10,50" and float(got[1]) == 10.5
+
+
+def test_continuous_csv_is_refused_not_misread(spark, run_dir):
+    import pytest
+    layout = Layout(run_dir)
+    m = spec(layout, "merchants", "csv")
+    write_csv(spark.createDataFrame([(1, "MCH-00001")], "_seq int, merchant_id string"),
+              m.source_path)
+    q = flows.ingest(spark, layout, m, flows.FlowOptions(processing_time="1 second"))
+    try:
+        write_csv(spark.createDataFrame([("MCH-00002", 2)], "merchant_id string, _seq int"),
+                  m.source_path)
+        with pytest.raises(Exception):                # the query stopped
+            for _ in range(20):
+                q.processAllAvailable()
+                import time
+                time.sleep(1)
+        assert "header" in str(q.exception()) or "READ_FILE" in str(q.exception())
+    finally:
+        q.stop()
+    assert {r.merchant_id for r in flows.bronze_table(spark, layout, "merchants").collect()} == \
+        {"MCH-00001"}
+
+
+def test_checkpoint_folder_is_shared_storage(spark):
+    import pytest
+    from stratum import session
+
+    class Conf(dict):
+        def set(self, k, v):
+            self[k] = v
+
+    class Fake:
+        class sparkContext:
+            master = "spark://host:7077"
+            getConf = staticmethod(lambda: {})
+            getCheckpointDir = staticmethod(lambda: None)
+            setCheckpointDir = staticmethod(lambda d: None)
+        conf = Conf()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(Fake)
+    assert session.ensure_checkpoint_dir(Fake, "s3a://lake/pay/") == "s3a://lake/pay/_checkpoints"
+    assert Fake.conf["spark.checkpoint.dir"] == "s3a://lake/pay/_checkpoints"

@@ -78,6 +78,7 @@ class BlockMaxIndex:
         # Examples with the same heaviest term stand together: blocks get tight bounds.
         lead = [int(t[np.argmax(v)]) if len(t) else -1 for t, v in vectors]
         self.order = np.argsort(lead, kind="stable")        # slot -> example
+        self.slot_of = np.argsort(self.order)               # example -> slot
         self.n = len(vectors)
         self.n_blocks = -(-self.n // BLOCK) if self.n else 0
         slot = np.concatenate([np.full(len(vectors[e][0]), s) for s, e in
@@ -111,19 +112,21 @@ class BlockMaxIndex:
         rank[visit] = np.arange(len(visit))
         place = rank[blocks]
         found_s, found_c, kth = np.empty(0, np.int64), np.empty(0), 0.0
-        at, step = 0, max(4, -(-2 * k // BLOCK))
+        at, step = 0, max(16, -(-2 * k // BLOCK))
         while at < len(visit) and (len(found_s) < k or bound[visit[at]] >= kth - 1e-12):
             mine = (place >= at) & (place < at + step)
             start, stop = self.cell_start[cells[mine]], self.cell_start[cells[mine] + 1]
             post = _ranges(start, stop)
             score = np.bincount(self.slot[post], np.repeat(w[mine], stop - start)
                                 * self.weight[post], self.n)
-            got = np.flatnonzero(score)
+            if skip >= 0:
+                score[self.slot_of[skip]] = 0.0
+            # Only what can stay among the best k (ties included) is ordered.
+            got = np.flatnonzero(score >= kth if len(found_s) == k else score)
+            if len(got) > 4 * k:
+                got = got[score[got] >= np.partition(score[got], len(got) - k)[len(got) - k]]
             found_s = np.concatenate([found_s, got])
             found_c = np.concatenate([found_c, score[got]])
-            if skip >= 0:
-                ok = self.order[found_s] != skip
-                found_s, found_c = found_s[ok], found_c[ok]
             best = np.lexsort((self.order[found_s], -found_c))[:k]
             found_s, found_c = found_s[best], found_c[best]
             kth = found_c[-1] if len(found_c) else 0.0

@@ -212,7 +212,7 @@ def fit(examples: DataFrame, terms: int, k: int) -> Model:
     z = F.abs(gap) / F.sqrt(share * (1 - share) * F.lit(1.0 / n1 + 1.0 / n0) + F.lit(1e-12))
     top = (examples.mapInArrow(count, "_h long, _n1 long, _n long").groupBy("_h")
            .agg(F.sum("_n1").alias("_n1"), F.sum("_n").alias("_n"))
-           .where((F.col("_n") >= (5 if n >= 2000 else 2)) & (z >= LEAST_Z))
+           .where((F.col("_n") >= (5 if n >= 2000 else 3)) & (z >= LEAST_Z))
            .orderBy(z.desc(), "_h").limit(terms).toArrow())          # at most ``terms`` rows
     h = top["_h"].to_numpy().view(textwin.U)
     order = np.argsort(h)

@@ -2,9 +2,10 @@
 
 A bounded sample of labelled rows (``max_train``, documented) gives the vocabulary,
 the inverse document frequencies and the examples.  Terms are words and their
-four-byte stems; those whose rates differ most between the two labels (by at least
-``LEAST_Z`` standard errors, ``terms`` of them at most) are the vocabulary.  Every text, whole, becomes a unit TF-IDF vector, and its ``k``
-nearest examples come from block-max inverted lists: per term and block of examples
+four-byte stems; those in at least ``LEAST_DOCS`` examples, whatever the size of the
+sample, whose rates differ most between the two labels (by at least ``LEAST_Z`` standard
+errors, ``terms`` of them at most) are the vocabulary.  Every text, whole, becomes a unit
+TF-IDF vector, and its ``k`` nearest examples come from block-max inverted lists: per term and block of examples
 the index holds the largest weight, so a block's best possible cosine is known before
 its lists are read, blocks are visited from the most promising, and the search stops
 when no unread block can reach the k-th best.  The result equals a full scan.
@@ -41,6 +42,7 @@ STEM = 4          # bytes of a word's stem
 MARGIN = 0.02     # keeps an equal example from outvoting all others
 BLOCK = 64        # examples per block
 LEAST_Z = 3.0     # difference of the two labels' rates, in standard errors
+LEAST_DOCS = 3    # examples with a term; below, the standard error says nothing
 EVIDENCE = 3
 
 
@@ -212,7 +214,7 @@ def fit(examples: DataFrame, terms: int, k: int) -> Model:
     z = F.abs(gap) / F.sqrt(share * (1 - share) * F.lit(1.0 / n1 + 1.0 / n0) + F.lit(1e-12))
     top = (examples.mapInArrow(count, "_h long, _n1 long, _n long").groupBy("_h")
            .agg(F.sum("_n1").alias("_n1"), F.sum("_n").alias("_n"))
-           .where((F.col("_n") >= (5 if n >= 2000 else 3)) & (z >= LEAST_Z))
+           .where((F.col("_n") >= LEAST_DOCS) & (z >= LEAST_Z))
            .orderBy(z.desc(), "_h").limit(terms).toArrow())          # at most ``terms`` rows
     h = top["_h"].to_numpy().view(textwin.U)
     order = np.argsort(h)

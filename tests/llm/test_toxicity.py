@@ -78,6 +78,18 @@ def test_filter_keeps_columns(spark):
     assert sum(1 - y for i, y in truth.items() if i not in ids) <= 0.03 * len(truth)
 
 
+@pytest.mark.parametrize("n", [600, 3000])
+def test_a_rare_toxic_term_counts_at_every_size(spark, n):
+    ids = [i for i in range(2 * n) if zlib.crc32(str(i).encode()) % 5][:n]
+    docs = [(i, "some words " + ("moron" if k % 5 == 0 else "fine")
+             + (" zyx" if k in (0, 5, 10) else "")) for k, i in enumerate(ids)]
+    labels = [(i, int(k % 5 == 0)) for k, i in enumerate(ids)]
+    df = spark.createDataFrame(docs + [(-1, "zyx")], "doc_id long, text string")
+    got = tox.score_documents(df, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    row = got.where("doc_id = -1").first()
+    assert set(row.evidence_ids) == {str(ids[k]) for k in (0, 5, 10)} and row.predicted == 1
+
+
 def test_no_labels_one_class_and_empty(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
     none = spark.createDataFrame([], "doc_id long, toxic int")

@@ -3,12 +3,12 @@
 A bounded sample of labelled rows (``max_train``, documented) gives the vocabulary,
 the inverse document frequencies and the examples.  Terms are words and their
 four-byte stems; those in at least ``LEAST_DOCS`` examples, whatever the size of the
-sample, whose rates differ most between the two labels (by at least ``LEAST_Z`` standard
-errors, ``terms`` of them at most) are the vocabulary.  Every text, whole, becomes a unit
-TF-IDF vector, and its ``k`` nearest examples come from block-max inverted lists: per term and block of examples
-the index holds the largest weight, so a block's best possible cosine is known before
-its lists are read, blocks are visited from the most promising, and the search stops
-when no unread block can reach the k-th best.  The result equals a full scan.
+sample, whose rates differ between the two labels by at least ``LEAST_Z`` standard errors
+are the vocabulary, all of them; other words weigh nothing.  Every text, whole, becomes a
+unit TF-IDF vector, and its ``k`` nearest examples come from block-max inverted lists:
+per term and block of examples the index holds the largest weight, so a block's best
+possible cosine is known before its lists are read, blocks are visited from the most
+promising, and the search stops when no unread block can reach the k-th best.  The result equals a full scan.
 
 Votes are weighted by closeness (1 / (margin + 1 - cosine)); an isotonic fit of the
 votes that the examples get from each other (each left out in turn) turns a vote into
@@ -186,7 +186,7 @@ class Model:
         return min(1.0, max(0.0, s)), self.ids[top], cos[:EVIDENCE]
 
 
-def fit(examples: DataFrame, terms: int, k: int) -> Model:
+def fit(examples: DataFrame, k: int) -> Model:
     """``examples`` (_id, _text, _y): the bounded training sample, a written table."""
     def count(batches):
         for b in batches:
@@ -215,7 +215,7 @@ def fit(examples: DataFrame, terms: int, k: int) -> Model:
     top = (examples.mapInArrow(count, "_h long, _n1 long, _n long").groupBy("_h")
            .agg(F.sum("_n1").alias("_n1"), F.sum("_n").alias("_n"))
            .where((F.col("_n") >= LEAST_DOCS) & (z >= LEAST_Z))
-           .orderBy(z.desc(), "_h").limit(terms).toArrow())          # at most ``terms`` rows
+           .toArrow())                          # bounded by the terms of the sample
     h = top["_h"].to_numpy().view(textwin.U)
     order = np.argsort(h)
     vocabulary = Vocabulary(h[order], np.log((1 + n) / (1 + top["_n"].to_numpy()[order])) + 1e-9)
@@ -273,10 +273,9 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str
 
 def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
                     text_col: str = "text", label_col: str = "toxic", max_train: int = 8000,
-                    terms: int = 2000, k: int = 15, seed: int = 5) -> DataFrame:
+                    k: int = 15, seed: int = 5) -> DataFrame:
     """id, held_out, score, predicted and evidence (ids and cosines) per row of ``docs``."""
-    model = fit(training_rows(docs, labels, id_col, text_col, label_col, max_train, seed),
-                terms, k)
+    model = fit(training_rows(docs, labels, id_col, text_col, label_col, max_train, seed), k)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.select(F.col(f"`{id_col}`").alias("_id"),
                        F.col(f"`{text_col}`").cast("string").alias("_text"))
@@ -302,11 +301,10 @@ def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-               label_col: str = "toxic", max_train: int = 8000, terms: int = 2000, k: int = 15,
-               seed: int = 5, reject_from: float = 0.5) -> DataFrame:
+               label_col: str = "toxic", max_train: int = 8000, k: int = 15, seed: int = 5,
+               reject_from: float = 0.5) -> DataFrame:
     """The rows of ``docs`` that score below ``reject_from``, all columns as they were."""
-    model = fit(training_rows(docs, labels, id_col, text_col, label_col, max_train, seed),
-                terms, k)
+    model = fit(training_rows(docs, labels, id_col, text_col, label_col, max_train, seed), k)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):

@@ -90,6 +90,18 @@ def test_a_rare_toxic_term_counts_at_every_size(spark, n):
     assert set(row.evidence_ids) == {str(ids[k]) for k in (0, 5, 10)} and row.predicted == 1
 
 
+def test_every_separating_term_counts(spark):
+    letters = "abcdefghijklmnop"
+    terms = [a + b + c for a in letters for b in letters for c in letters][:2500]
+    ids = [i for i in range(200) if zlib.crc32(str(i).encode()) % 5][:100]
+    docs = [(i, " ".join(terms) if k % 5 == 0 else "some fine words") for k, i in enumerate(ids)]
+    labels = [(i, int(k % 5 == 0)) for k, i in enumerate(ids)]
+    df = spark.createDataFrame(docs + [(1000 + k, t) for k, t in enumerate(terms)],
+                               "doc_id long, text string")
+    got = tox.score_documents(df, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert got.where("doc_id >= 1000 AND size(evidence_ids) > 0").count() == len(terms)
+
+
 def test_no_labels_one_class_and_empty(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
     none = spark.createDataFrame([], "doc_id long, toxic int")

@@ -12,9 +12,8 @@ after the pieces and matches before it.  Nothing is shuffled but the models' big
 counts (at most 96 x 96 rows).
 
 Training: the values of base spans are the random class, and plain words are the
-ordinary class; both from at most ``max_train`` documents in expectation (a
-hash-threshold sample, the documented bound).  The models are two tables of
-96 x 96 numbers and fold into one literal, whatever the corpus.
+ordinary class; the bigrams of both are counted over all documents.  The models are two
+tables of 96 x 96 numbers and fold into one literal, whatever the corpus.
 
 Defined results: null text = empty, no spans; repeated rows get equal results; a
 corpus without any base value trains no model and adds nothing; empty table, no
@@ -102,19 +101,15 @@ def _bigrams(strings: DataFrame) -> DataFrame:
                          _symbol(F.substring("_g", 2, 1)).alias("_b")).count()
 
 
-def train(rows: DataFrame, max_train: int, seed: int) -> list[float] | None:
+def train(rows: DataFrame) -> list[float] | None:
     """Log-likelihood ratio per bigram (row-major), or None without labelled strings."""
-    n = rows.count()
-    share = min(1.0, max_train / max(1, n))
-    draw = F.pmod(F.xxhash64(F.lit(seed), F.col("_text")), F.lit(1 << 20))
-    part = rows.where(draw < math.ceil(share * (1 << 20)))
-    found = with_base_spans(part).where("size(_assign) + size(_access) + size(_hex) > 0")
+    found = with_base_spans(rows).where("size(_assign) + size(_access) + size(_hex) > 0")
     secret = found.select(F.lit(1).alias("_class"), F.explode(F.concat(
         F.filter(F.regexp_extract_all("_text", F.lit(ASSIGN), F.lit(2)),
                  lambda v: F.length(v) >= MIN_ASSIGN),
         F.transform(F.concat("_access", "_hex"), lambda s: F.substring(
             F.col("_text"), s["start"] + 1, s["stop"] - s["start"])))).alias("_s"))
-    plain = part.select(F.lit(0).alias("_class"), F.explode(
+    plain = rows.select(F.lit(0).alias("_class"), F.explode(
         F.regexp_extract_all("_text", F.lit(r"(?<![A-Za-z0-9+/_=-])[A-Za-z][A-Za-z0-9_]{3,18}"
                                             r"(?![A-Za-z0-9+/_=-])"), F.lit(0))).alias("_s"))
     counts = [[0] * (SYMBOLS * SYMBOLS) for _ in range(2)]
@@ -148,11 +143,10 @@ def llr_per_char(token: Column, table: list[float]) -> Column:
     return total / (F.length(token) - 1)
 
 
-def scan(docs: DataFrame, text_col: str = "text", max_train: int = 4000,
-         threshold: float = 0.5, seed: int = 11) -> DataFrame:
+def scan(docs: DataFrame, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
     """``docs`` plus ``_assign``, ``_access``, ``_hex``, ``_markov`` span arrays."""
     rows = docs.withColumn("_text", F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))
-    table = train(rows.select("_text"), max_train, seed)
+    table = train(rows.select("_text"))
     rows = with_base_spans(rows)
     if table is None:
         return rows.withColumn("_markov", F.expr(f"cast(array() as {SPAN})")).drop("_text")

@@ -1,3 +1,4 @@
+import math
 import random
 import re
 import string
@@ -64,6 +65,36 @@ def test_redaction(spark):
     assert out == {1: "é [S] and [S] end", 2: None, 3: "clean"}
 
 
+def test_models_count_every_document(spark):
+    rng = random.Random(7)
+    tok = lambda n: "".join(rng.choice(string.ascii_letters + string.digits) for _ in range(n))
+    rare = [f"passwd={tok(60)} and more" for _ in range(3)]
+    texts = rare + [f"plain words number{i} thing" for i in range(40_000)] + [None, ""]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(4)
+    table = secrets.train(df.select(F.coalesce("text", F.lit("")).alias("_text")))
+    word = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z][A-Za-z0-9_]{3,18}(?![A-Za-z0-9+/_=-])")
+    chance = []
+    for strings in ([w for t in texts for w in word.findall(t or "")],
+                    [m[2] for t in texts for m in ASSIGN.finditer(t or "")]):
+        counts = [0] * (secrets.SYMBOLS ** 2)
+        for s in strings:
+            for a, b in zip(s, s[1:]):
+                counts[(ord(a) - 31) * secrets.SYMBOLS + ord(b) - 31] += 1
+        chance.append(secrets._transitions(counts))
+    want = [math.log(p1) - math.log(p0) for p0, p1 in zip(*chance)]
+    assert table is not None and max(abs(a - b) for a, b in zip(table, want)) < 1e-9
+
+
+def test_one_base_value_in_many_documents_adds_spans(spark):
+    rng = random.Random(8)
+    tok = lambda n: "".join(rng.choice(string.ascii_letters + string.digits) for _ in range(n))
+    texts = [f"passwd={tok(200)}", f"key {tok(32)} end", f"key {tok(40)} end"]
+    texts += [f"plain words number{i} thing" for i in range(40_000)]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(4)
+    found = secrets.scan(df).where("size(_markov) > 0").collect()
+    assert {r.text for r in found} == set(texts[1:3])
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert secrets.scan(df).count() == 0

@@ -42,8 +42,9 @@ SEPARATOR = r"[^\p{L}\p{N}]+"
 
 
 def words_of(text: Column) -> Column:
-    """Words; one empty word may stand first (a text that starts with a separator)."""
-    return F.split(F.lower(F.coalesce(text.cast("string"), F.lit(""))), SEPARATOR)
+    """Words, without the empty ones that ``split`` leaves at a separator first or last."""
+    return F.array_remove(
+        F.split(F.lower(F.coalesce(text.cast("string"), F.lit(""))), SEPARATOR), "")
 
 
 def grams(words: str, size: int) -> Column:
@@ -110,8 +111,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
                least: float = 0.8) -> DataFrame:
     """One row per leaking (document, item): word position, hamming, similarity, ``_tk``."""
     it = items.select(F.col(f"`{item_id_col}`").alias("_item"),
-                      F.filter(words_of(F.col(f"`{item_text_col}`")),
-                               lambda x: x != "").alias("_iw"))
+                      words_of(F.col(f"`{item_text_col}`")).alias("_iw"))
     it = fingerprinted(it.withColumn("_n", F.size("_iw")).where("_n > 0"), "_iw")
     it = it.withColumns({"_g": F.least("_n", F.lit(NGRAM)), "_ik": F.xxhash64("_iw")})
     it = it.withColumn("_ig", reduce(

@@ -78,6 +78,21 @@ def test_against_brute_force(spark):
         str(i) for i, _ in docs if i not in bad)
 
 
+def test_short_documents_with_punctuation_around(spark):
+    items = [(1, " ".join(f"a{i}" for i in range(15))), (2, " ".join(f"b{i}" for i in range(38)))]
+    a, b = items[0][1].split(), items[1][1].split()
+    docs = [(1, " ".join(a[:13]) + "."), (2, '"' + " ".join(b[:32]) + '."'),
+            (3, "- " + " ".join(a[2:])), (4, "... " + " ".join(a) + " !"),
+            (5, " ".join(a[:11]) + "."), (6, " ".join(b[:32]) + "."), (7, "..."), (8, None)]
+    got = dec.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"),
+                         spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == brute(docs, items) == {
+        (1, 1), (2, 2), (3, 1), (4, 1), (6, 2)}
+    by = {r.doc_id: r for r in got}
+    assert abs(by[1].similarity - 9 / 11) < 1e-12 and abs(by[2].similarity - 28 / 34) < 1e-12
+    assert by[4].similarity == 1.0 and by[4].word_start == 0
+
+
 def test_blocks_guarantee_every_fingerprint_within_the_radius():
     rng = random.Random(3)
     for radius in (0, 3, 20):

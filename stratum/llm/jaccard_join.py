@@ -480,21 +480,22 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def keep_one_per_group(docs: DataFrame, id_col: str = "doc_id",
                        text_col: str = "text") -> DataFrame:
-    """One row per component (that with the smallest id), all columns as they were.
+    """One row per component of rows, all columns as they were.
 
-    Rows without an id are kept; of rows that share the id the one with the smallest
-    text hash stays.
+    Rows link by their texts alone, so rows without an id take part and unlike texts that
+    share an id stay apart.  The row with the smallest id stays, null ids last, then that
+    with the smallest text hash.  Blank texts link to nothing: of those equal in id (null
+    included) and text one stays.
     """
-    ident, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
-    groups = jaccard_join(docs.select(ident.alias("_i"), text.alias("_t")), "_i", "_t")
-    gone = groups.where("_i <> component_id").select(F.col("_i").alias("_gone")).distinct()
-    repeats = docs.groupBy(ident.alias("_i")).agg(F.count(F.lit(1)).alias("_k")).where(
-        "_k > 1 AND _i IS NOT NULL")
-    left = docs.join(gone, ident.cast("long") == F.col("_gone"), "left_anti")
-    if repeats.isEmpty():
-        return left
-    many = left.join(repeats.select("_i"), ident == F.col("_i"), "left_semi")
-    once = left.join(repeats.select("_i"), ident == F.col("_i"), "left_anti")
-    row = Window.partitionBy(id_col).orderBy(F.xxhash64(text))
-    many = many.withColumn("_row", F.row_number().over(row)).where("_row = 1").drop("_row")
-    return once.unionByName(many)
+    # Every row gets a number of its own, fixed by writing it.
+    rows = written(docs.select(F.struct("*").alias("_row"),
+                               F.monotonically_increasing_id().alias("_at")), "rows")
+    ident, text = F.col("_row").getField(id_col), F.col("_row").getField(text_col)
+    groups = jaccard_join(rows.select("_at", text.alias("_t")), "_at", "_t")
+    named = rows.select("_at", ident.alias("_i"), F.xxhash64(text).alias("_h"))
+    blank = F.col("n_shingles") == 0
+    kept = groups.join(named, "_at").groupBy(
+        F.when(~blank, F.col("component_id")).alias("_c"), F.when(blank, F.col("_i")).alias("_b"),
+        F.when(blank, F.col("_h")).alias("_bh")).agg(
+        F.min(F.struct(F.col("_i").isNull().alias("n"), "_i", "_h", "_at")).alias("_m"))
+    return rows.join(kept.select(F.col("_m._at").alias("_at")), "_at", "left_semi").select("_row.*")

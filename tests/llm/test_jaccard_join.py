@@ -102,3 +102,21 @@ def test_single_items_are_counted_over_packs_and_buckets(spark, monkeypatch):
     # Cut hashes may collide, so a few single items may count as shared, none the other way.
     assert set(got) <= set(want) and all(got[d] <= want[d] for d in got)
     assert sum(got.values()) >= 0.9 * sum(want.values())
+
+
+def test_one_row_per_group_with_null_and_shared_ids(spark):
+    rng = random.Random(4)
+    a, b, c, d = (" ".join(f"{k}{rng.randrange(10**6)}" for _ in range(60)) for k in "abcd")
+    rows = [(None, a)] * 3 + [(None, a + " more"), (5, a), (None, b), (None, b), (None, b + " x"),
+                              (7, c), (7, d), (7, c), (8, c + " y"), (3, d + " z"),
+                              (None, None), (None, None), (9, ""), (10, ""), (9, "")]
+    df = with_clashes(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+    left = jj.keep_one_per_group(df)
+    assert left.columns == df.columns
+    got = [(r.doc_id, r.text) for r in left.collect()]
+    only_b = [t for i, t in got if i is None and t is not None]
+    assert len(only_b) == 1 and only_b[0] in (b, b + " x")
+    assert sorted(((i, t) for i, t in got if i is not None)) == sorted(
+        [(5, a), (7, c), (3, d + " z"), (9, ""), (10, "")])
+    assert got.count((None, None)) == 1 and len(got) == 7
+    assert jj.keep_one_per_group(df.limit(0)).count() == 0

@@ -6,10 +6,11 @@ statistics of its suffix (how common the last host label is, and how long).  A U
 that a rule fits takes the rule's verdict; the longest rule wins.
 
 Everything is DataFrame expressions and MLlib's JVM code: features, scoring and the
-rules run in one scan of the ``url`` column without a shuffle of the pages.
+rules run in one scan of the ``url`` column without a shuffle of the pages; the labelled URLs
+are shuffled once, pre-aggregated per task, to count their copies.
 
-Training reads at most ``max_train`` labelled rows in expectation (a hash-threshold
-sample, the documented bound); suffix counts cover all rows.  The suffix table is
+Training reads at most ``max_train`` labelled URLs in expectation (a hash-threshold
+sample, the documented bound), each once and weighted by its rows; suffix counts cover all rows.  The suffix table is
 joined by Spark's size-based choice, pre-aggregated per task, so a suffix with a
 third of all rows is one row per task.
 
@@ -21,7 +22,7 @@ empty table gives no rows; extra columns stay out of the result.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.classification import GBTClassifier
@@ -34,6 +35,7 @@ from stratum.llm.common import lower_ascii, written
 FEATURES = ["length", "host_length", "path_length", "depth", "host_depth", "digit_ratio",
             "entropy", "n_params", "n_hyphens", "has_fragment", "is_https", "suffix_length",
             "suffix_share", "path_digit_ratio", "query_length"]
+DRAW = 62  # bits of the hash that draws the training URLs
 ALPHABET = "abcdefghijklmnopqrstuvwxyz0123456789-./_?=&%:#"
 
 
@@ -109,22 +111,30 @@ def with_features(urls: DataFrame) -> DataFrame:
     return urls.withColumns({k: v.cast("double") for k, v in d.items()} | {"_suffix": suffix})
 
 
-def fit(features: DataFrame, max_train: int, trees: int, depth: int, seed: int):
-    """The trained model; or the verdict to give when there is nothing to learn."""
-    labelled = features.where("_verdict is not null")
-    counts = {r[0]: r[1] for r in labelled.groupBy("_verdict").count().collect()}
+def fit(labelled: DataFrame, complete: Callable[[DataFrame], DataFrame], max_train: int,
+        trees: int, depth: int, seed: int):
+    """The trained model; or the verdict to give when there is nothing to learn.
+
+    ``labelled``: a row per URL and verdict, ``_w`` the rows that have both; about
+    ``max_train`` of these are drawn, and weigh as much as the rows they stand for.
+    ``complete`` adds the features.
+    """
+    per = labelled.groupBy("_verdict").agg(F.sum("_w"), F.count(F.lit(1))).collect()
+    counts = {r[0]: r[1] for r in per}
     if len(counts) < 2:
         return next(iter(counts), "allow")
-    share = min(1.0, max_train / sum(counts.values()))
-    draw = F.pmod(F.xxhash64(F.lit(seed), F.coalesce("_url", F.lit(""))), F.lit(1 << 20))
-    train = labelled.where(draw < int(share * (1 << 20)))
+    limit = min(1 << DRAW, -(-(max_train << DRAW) // sum(r[2] for r in per)))
+    draw = F.xxhash64(F.lit(seed), F.coalesce("_url", F.lit(""))).bitwiseAND(
+        F.lit((1 << DRAW) - 1))
+    train = complete(labelled.where(draw < F.lit(limit)))
     train = VectorAssembler(inputCols=FEATURES, outputCol="_x").transform(
-        train.withColumn("_y", (F.col("_verdict") == "block").cast("double"))).select("_x", "_y")
+        train.withColumns({"_y": (F.col("_verdict") == "block").cast("double"),
+                           "_w": F.col("_w").cast("double")})).select("_x", "_y", "_w")
     # Bounded by max_train, so a few partitions do; training runs many short jobs.
     train = written(train, "url-train").coalesce(4)
     if train.select("_y").distinct().count() < 2:
         return max(counts, key=lambda k: (counts[k], k))
-    return GBTClassifier(featuresCol="_x", labelCol="_y", predictionCol="_p",
+    return GBTClassifier(featuresCol="_x", labelCol="_y", predictionCol="_p", weightCol="_w",
                          maxIter=trees, maxDepth=depth, seed=seed).fit(train)
 
 
@@ -148,9 +158,16 @@ def filter_urls(pages: DataFrame, rules: Sequence[Rule], id_col: str = "page_id"
     # Statistics over all rows; one row per suffix.
     per = feats.groupBy("_suffix").agg(F.count(F.lit(1)).alias("_n"))
     total = per.agg(F.sum("_n")).first()[0] or 1
-    feats = feats.join(per, "_suffix", "left").withColumn(
-        "suffix_share", F.coalesce(F.col("_n") / F.lit(float(total)), F.lit(0.0)))
-    model = fit(feats, max_train, trees, depth, seed)
+
+    def with_share(df: DataFrame) -> DataFrame:
+        return df.join(per, "_suffix", "left").withColumn(
+            "suffix_share", F.coalesce(F.col("_n") / F.lit(float(total)), F.lit(0.0)))
+
+    feats = with_share(feats)
+    # All copies of a URL are one row before anything is drawn.
+    labelled = written(rows.where("_verdict IS NOT NULL").groupBy(
+        "_url", "_host", "_path", "_verdict").agg(F.count(F.lit(1)).alias("_w")), "url-labels")
+    model = fit(labelled, lambda df: with_share(with_features(df)), max_train, trees, depth, seed)
     if isinstance(model, str):
         scored = feats.withColumn("_score", F.lit(1.0 if model == "block" else 0.0))
     else:

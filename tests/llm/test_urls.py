@@ -59,3 +59,14 @@ def test_nothing_to_learn_and_empty(spark):
                                 "page_id long, url string")
     assert {r.verdict for r in urls.filter_urls(one, RULES).collect()} == {"block"}
     assert urls.filter_urls(df.limit(0), RULES).count() == 0
+
+
+def test_a_hot_url_leaves_the_others_in_training(spark):
+    from pyspark.sql import functions as F
+    rows = [f"http://a{i}.com/" + ("p?x=1&y=2&z=3" if i % 2 else "p") for i in range(200)]
+    rows += ["http://hot.com/p"] * 5000
+    df = spark.createDataFrame(list(enumerate(rows)), "page_id long, url string")
+    label = F.when(F.col("url").contains("?"), "block").otherwise("allow")
+    got = urls.filter_urls(df, (), labels=label, max_train=60, trees=3).collect()
+    assert {r.page_id: r.verdict for r in got} == {
+        i: "block" if "?" in u else "allow" for i, u in enumerate(rows)}

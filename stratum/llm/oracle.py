@@ -65,4 +65,62 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM f
 """
 
-ORACLE_SQL = {"op2_mix": OP2, "op7_topk": OP7, "op10_warc": OP10}
+OP11 = r"""
+-- The byte table of CRC-32, by eight shifts of its polynomial.
+WITH RECURSIVE step(k, b, c) AS (
+  SELECT 0, b, b FROM range(256) r(b)
+  UNION ALL
+  SELECT k + 1, b, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END
+  FROM step WHERE k < 8),
+crc AS (SELECT list(c ORDER BY b) AS t FROM step WHERE k = 8),
+words AS (
+  SELECT false AS goal, doc_id AS id, row_number() OVER () AS rn,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+  UNION ALL
+  SELECT true, item_id, row_number() OVER (),
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')
+  FROM benchmark),
+features AS (
+  SELECT goal, rn, unnest(w) AS f FROM words
+  UNION ALL
+  SELECT goal, rn, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))
+  FROM words WHERE len(w) > 1),
+per AS (SELECT goal, rn, f, count(*)::BIGINT AS n FROM features GROUP BY ALL),
+hexed AS (SELECT f, hex(encode(f)) AS x FROM (SELECT DISTINCT f FROM per)),
+bucket AS (
+  SELECT f, xor(list_reduce(
+      list_prepend(4294967295, list_transform(range(len(x) // 2),
+        lambda i: ('0x' || substr(x, 2 * i + 1, 2))::BIGINT)),
+      lambda c, v: xor(c >> 8, t[(xor(c, v) & 255) + 1])), 4294967295) % 10000 AS b
+  FROM hexed, crc),
+counts AS (
+  SELECT b, coalesce(sum(n) FILTER (NOT goal), 0) AS s, coalesce(sum(n) FILTER (goal), 0) AS t
+  FROM per JOIN bucket USING (f) GROUP BY b),
+sums AS (SELECT sum(s) AS s_all, sum(t) AS t_all FROM counts),
+gain AS (
+  SELECT b, floor(1000 * ln(((t + 1)::DOUBLE * (s_all + 10000)::DOUBLE)
+                            / ((s + 1)::DOUBLE * (t_all + 10000)::DOUBLE)))::BIGINT AS g
+  FROM counts, sums),
+weights AS (
+  SELECT rn, sum(n)::BIGINT AS n_features, sum(n * g)::BIGINT AS total
+  FROM per JOIN bucket USING (f) JOIN gain USING (b) WHERE NOT goal GROUP BY rn),
+scored AS (
+  SELECT id AS doc_id, len(w) >= 20 AS able, coalesce(n_features, 0)::BIGINT AS n_features,
+         coalesce((total - ((total % n_features) + n_features) % n_features) // n_features, 0)::BIGINT AS weight,
+         floor(-1000 * ln(-ln((('0x' || substr(sha256('7:' || coalesce(id::VARCHAR, 'null')), 1, 8))::BIGINT
+           + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS noise
+  FROM words LEFT JOIN weights USING (rn) WHERE NOT goal),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY able ORDER BY weight + noise DESC, doc_id NULLS LAST) AS r,
+         25 * count(*) FILTER (able) OVER () // 100 AS drawn
+  FROM scored)
+SELECT doc_id, n_features, weight, weight + noise AS score,
+       CASE WHEN able AND r <= drawn THEN r END::BIGINT AS rank
+FROM ranked
+"""
+
+ORACLE_SQL = {"op2_mix": OP2, "op7_topk": OP7, "op10_warc": OP10,
+              "op11_importance_resample": OP11}

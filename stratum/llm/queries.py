@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from stratum.llm import (
     decontaminate,
+    importance,
     jaccard_join,
     mixing,
     secrets,
@@ -80,6 +81,12 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.importance_resample(
+        read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")).select(
+        "doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_mix": op2_mix,
@@ -91,4 +98,5 @@ QUERIES = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_decontaminate": op9_decontaminate,
     "op10_warc": op10_warc,
+    "op11_importance_resample": op11_importance_resample,
 }

@@ -17,6 +17,7 @@ from stratum.llm import (
     toxicity,
     urls,
     warc,
+    whitening,
 )
 from stratum.llm.common import read_table, scratch_uri
 
@@ -87,6 +88,11 @@ def op11_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_features", "weight", "score", "rank")
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    whitened = whitening.whiten(read_table(spark, sf_dir, "embeddings"), components=32)
+    return whitening.per_component(whitened)
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_mix": op2_mix,
@@ -99,4 +105,5 @@ QUERIES = {
     "op9_decontaminate": op9_decontaminate,
     "op10_warc": op10_warc,
     "op11_importance_resample": op11_importance_resample,
+    "op12_whitening": op12_whitening,
 }

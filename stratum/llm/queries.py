@@ -10,6 +10,7 @@ from stratum.llm import (
     importance,
     jaccard_join,
     mixing,
+    pu_quality,
     secrets,
     substring_dedup,
     suffix_dedup,
@@ -93,6 +94,11 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.per_component(whitened)
 
 
+def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pu_quality.score_documents(read_table(spark, sf_dir, "documents"),
+                                      read_table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_mix": op2_mix,
@@ -106,4 +112,5 @@ QUERIES = {
     "op10_warc": op10_warc,
     "op11_importance_resample": op11_importance_resample,
     "op12_whitening": op12_whitening,
+    "op13_quality": op13_quality,
 }

@@ -1,32 +1,38 @@
 """Incremental file sources with typed inference, schema persistence,
 additive schema evolution, rescued values and file lineage.
 
-How a run works (``bronze_stream``):
-  1. infer a typed schema from the landing files modified since the last run
-     (Spark's ``modifiedAfter`` prunes the listing; no list of paths is kept or
-     collected).  Dates and timestamps stay text, because one delivery's formats
-     say nothing about the next one's, and declared types win over inference;
+How a micro-batch works (``streaming.flows.ingest``): a stream of file *names* gives every
+micro-batch the files that arrived, whatever their modification times and whenever they
+landed; a batch holds at most ``MAX_FILES`` of them (the one list that reaches the
+driver).  Then, for exactly these files:
+  1. infer a typed schema.  JSON: Spark's inference.  CSV: the header of each file, and
+     one aggregate that types the columns not known yet; with none, no pass at all.  So a
+     file is read at most twice.  Dates, timestamps and numbers with leading zeros stay
+     text, because one delivery's formats say nothing about the next one's, and declared
+     types win over inference;
   2. merge it into the schema persisted at ``schema_location``: known columns
-     keep their first type, new columns are appended (add-new-columns
-     evolution).  Schemas are numbered files, the newest complete one counts, so
-     a crash leaves the old one or the new one;
-  3. open the file *stream* with every column read as raw text (JSON numbers,
-     booleans and nested values as VARIANT), then cast each to its persisted
-     type.  A value present in the file that does not fit its type becomes NULL
-     and is kept, as text, in ``_rescued_data`` (a JSON object column -> raw
-     value), as are surplus CSV values and the text of an unparseable JSON
+     keep their first type, new columns are appended (or, with ``evolution: rescue``,
+     kept in ``_rescued_data``).  Schemas are numbered files, the newest complete one
+     counts, so a crash leaves the old one or the new one;
+  3. read the files with every column as raw text (JSON numbers, booleans and nested
+     values as VARIANT), CSV by name: files with one header are one read, in the order
+     of that header.  Then cast each column to its persisted type.  A value present in
+     the file that does not fit its type becomes NULL and is kept, as text, in
+     ``_rescued_data`` (a JSON object column -> raw value), as are keys that differ from
+     a column in case only, surplus CSV values and the text of an unparseable JSON
      document, instead of failing the batch or being lost;
   4. add ``_ingestion_timestamp`` and ``_source_file`` (``_metadata.file_name``).
-The stream checkpoint makes each file processed once; a restart with a wider
-schema resumes from the same checkpoint.
+A batch that is run again after a crash has the same files, so it merges and reads the
+same.
 """
 
 from __future__ import annotations
 
-import datetime
+import csv
 import json
 import os
 import re
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -133,83 +139,134 @@ def _not_found(exc: Exception) -> bool:
     return "PATH_NOT_FOUND" in msg or "UNABLE_TO_INFER_SCHEMA" in msg
 
 
-def newest_modification(spark: SparkSession, path: str) -> int | None:
-    """Latest modification time (ms) of the data files under ``path``, None without files.
+MAX_FILES = 1000                 # files of one micro-batch, unless the flow says otherwise
+MAX_DOCUMENT = 512 * 1024 * 1024  # bytes of one multi-line JSON file: one task parses it whole
+ANY_AGE = "36500d"                # files are told apart by name, never by age
 
-    ``binaryFile`` lists them; only the time is selected, so no content is read.
-    """
-    try:
-        files = spark.read.format("binaryFile").load(path)
-        return files.agg(F.max(F.unix_millis("modificationTime"))).first()[0]
-    except Exception as exc:
-        if _not_found(exc):
-            return None
-        raise
 
+def file_names(spark: SparkSession, spec: SourceSpec, max_files: int | None = None) -> DataFrame:
+    """Stream of the files that arrive (``path``, ``length``); no content is read."""
+    return (spark.readStream.format("binaryFile")
+            .schema("path string, modificationTime timestamp, length long, content binary")
+            .option("maxFilesPerTrigger", max_files or MAX_FILES).option("maxFileAge", ANY_AGE)
+            .load(spec.source_path).select("path", "length"))
 
-def _since(seen_until: int | None) -> dict:
-    """Reader options for files modified since ``seen_until``; times have whole seconds
-    in this option, so the last second is read again (merging twice changes nothing)."""
-    if seen_until is None:
-        return {}
-    at = datetime.datetime.fromtimestamp(seen_until / 1000 - 1, datetime.timezone.utc)
-    return {"modifiedAfter": at.strftime("%Y-%m-%dT%H:%M:%S"), "timeZone": "UTC"}
 
+def check_sizes(spec: SourceSpec, files: list) -> None:
+    """A JSON array is one task and one buffer: refuse one beyond the bound by name."""
+    if spec.file_format != "json" or reader_options(spec)["multiLine"] != "true":
+        return
+    bound = int(spec.options.get("max_document_bytes", MAX_DOCUMENT))
+    large = [f.path for f in files if f.length > bound]
+    if large:
+        raise ValueError(f"{len(large)} multi-line JSON files are larger than {bound} bytes, e.g. "
+                         f"{large[0]}. Write smaller arrays, or JSON Lines with multiline=false, "
+                         "or raise max_document_bytes.")
 
-def csv_headers(spark: SparkSession, spec: SourceSpec, options: dict) -> list[tuple[str, str]]:
-    """Distinct header lines, each with a file that has it.
 
-    A file's first line is the lowest-numbered row of the split that starts at offset
-    0 (row ids increase in read order within a task).  One row per distinct header
-    comes back, not one per file.
-    """
-    lines = spark.read.options(**options).text(spec.source_path).select(
-        "value", F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_block_start").alias("start"),
-        F.monotonically_increasing_id().alias("i"))
-    first = (lines.filter(F.col("start") == 0).groupBy("path")
-             .agg(F.min_by("value", "i").alias("header")))
-    per = first.groupBy("header").agg(F.min("path").alias("path")).orderBy("header")
-    return [(r.header, r.path) for r in per.collect()]
-
-
-def _header_names(header: str, sep: str) -> list[str]:
-    return [h.strip().strip('"') for h in header.split(sep)]
-
-
-def _check_positional(schema: T.StructType, headers: list[tuple[str, str]], sep: str) -> None:
-    """Positional CSV reading is exact only when each header is a prefix of the schema."""
-    names = [f.name.lower() for f in schema.fields]
-    for header, file in headers:
-        cols = [c.lower() for c in _header_names(header, sep)]
-        if cols != names[:len(cols)]:
-            raise ValueError(
-                "CSV header does not match the column order of the table "
-                f"({', '.join(names)}): {header!r}, e.g. in {file}. "
-                "Positional reading would misplace values; write such files with the "
-                "table's column order (new columns last) or ingest them as a separate source.")
-
-
-def _csv_schema(spark: SparkSession, spec: SourceSpec, options: dict,
-                headers: list[tuple[str, str]]) -> T.StructType:
-    """Columns in header order, typed by name over files with different headers."""
-    rows = (spark.read.options(**reader_options(spec)).options(**options)
-            .option("singleVariantColumn", "_row").format("csv").load(spec.source_path))
-    found = rows.agg(F.schema_of_variant_agg("_row")).first()[0] or ""
-    types = {}
-    for name, quoted, kind in re.findall(r"(?:([^<>,`: ]+)|`((?:[^`]|``)+)`): ([A-Z_]+)", found):
-        types[name or quoted.replace("``", "`")] = kind
-    simple = {"BIGINT": T.LongType(), "DECIMAL": T.DoubleType(), "DOUBLE": T.DoubleType(),
-              "FLOAT": T.DoubleType(), "BOOLEAN": T.BooleanType()}
-    sep = spec.options.get("delimiter", ",")
-    names = list(dict.fromkeys(n for h, _ in headers for n in _header_names(h, sep)))
-    kinds = {n: simple.get(types.get(n, ""), T.StringType()) for n in names}
-    whole = [n for n in names if isinstance(kinds[n], T.LongType)]
-    if whole:  # the narrowest whole type, as Spark's own inference has it
-        value = lambda n: F.abs(F.try_variant_get("_row", f"$['{n}']", "bigint"))
-        top = rows.agg(*[F.max(value(n)) for n in whole]).first()
-        kinds |= {n: T.IntegerType() for n, x in zip(whole, top) if x is not None and x < 1 << 31}
-    return T.StructType([T.StructField(n, kinds[n]) for n in names])
+def _literal(path: str) -> str:
+    """A path for readers, which take some characters for patterns."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
+def _reader(spark: SparkSession, spec: SourceSpec):
+    reader = spark.read.options(**reader_options(spec))
+    if not re.search(r"[{}\[\]*?]", spec.source_path):
+        reader = reader.option("basePath", spec.source_path)
+    return reader
+
+
+def _first_line(spark: SparkSession, path: str) -> str:
+    """The first line of a file that is not blank; only its first block is read."""
+    jvm = spark.sparkContext._jvm
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(p)
+        source = stream if codec is None else codec.createInputStream(stream)
+        lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(source, "UTF-8"))
+        line = lines.readLine()
+        while line is not None and not line.strip():
+            line = lines.readLine()
+        return (line or "").lstrip("\ufeff")
+    finally:
+        stream.close()
+
+
+def header_names(line: str, sep: str, header: bool = True) -> tuple[str, ...]:
+    """Column names of a header line: blank ones by position, repeated ones numbered."""
+    names: list[str] = []
+    for i, name in enumerate(next(csv.reader([line], delimiter=sep), [])):
+        name = name.strip() if header else ""
+        name = name or f"_c{i}"
+        while name.lower() in {n.lower() for n in names}:
+            name = f"{name}{i}"
+        names.append(name)
+    return tuple(names)
+
+
+def csv_groups(spark: SparkSession, spec: SourceSpec, paths: list[str]) -> dict[tuple, list[str]]:
+    """Column names -> the files with that header (of one micro-batch); empty files go."""
+    sep, header = spec.options.get("delimiter", ","), reader_options(spec)["header"] == "true"
+    with ThreadPoolExecutor(16) as pool:
+        lines = list(pool.map(lambda p: _first_line(spark, p), paths))
+    groups: dict[tuple, list[str]] = {}
+    for path, line in zip(paths, lines):
+        if line:
+            groups.setdefault(header_names(line, sep, header), []).append(path)
+    return groups
+
+
+def _csv_text(spark: SparkSession, spec: SourceSpec, names: tuple, paths: list[str]) -> DataFrame:
+    """The files with one header: their columns as text, in that order, and ``CORRUPT``."""
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in (*names, CORRUPT)])
+    return (_reader(spark, spec).option("columnNameOfCorruptRecord", CORRUPT).schema(schema)
+            .csv([_literal(p) for p in paths]))
+
+
+WHOLE, NUMBER = r"^-?(0|[1-9][0-9]*)$", r"^-?(0|[1-9][0-9]*)(\.[0-9]+)?([eE][+-]?[0-9]+)?$"
+
+
+def _csv_schema(spark: SparkSession, spec: SourceSpec, groups: dict[tuple, list[str]],
+                persisted: T.StructType | None) -> T.StructType:
+    """Columns of the headers; those not known yet are typed by one aggregate."""
+    known = {f.name.lower() for f in persisted.fields} if persisted else set()
+    declared = {k.lower() for k in spec.types}
+    names: dict[str, str] = {}
+    for header in groups:
+        for n in header:
+            names.setdefault(n.lower(), n)
+    new = [n for k, n in names.items() if k not in known | declared]
+    kinds: dict[str, T.DataType] = {}
+    if new:
+        parts = []
+        for header, paths in groups.items():
+            have = {n.lower(): n for n in header}
+            parts.append(_csv_text(spark, spec, header, paths).select(*[
+                F.col(f"`{have[n.lower()]}`").alias(f"c{i}") if n.lower() in have
+                else F.lit(None).cast("string").alias(f"c{i}") for i, n in enumerate(new)]))
+        rows = parts[0]
+        for part in parts[1:]:
+            rows = rows.unionByName(part)
+        stats = []
+        for i in range(len(new)):
+            v = F.col(f"c{i}")
+            whole = F.when(v.rlike(WHOLE), v.try_cast("bigint"))
+            stats += [F.count(v).alias(f"n{i}"), F.count(whole).alias(f"w{i}"),
+                      F.max(F.abs(whole.cast("decimal(20,0)"))).alias(f"m{i}"),
+                      F.count_if(v.rlike(NUMBER)).alias(f"d{i}"),
+                      F.count_if(F.lower(v).isin("true", "false")).alias(f"b{i}")]
+        got = rows.agg(*stats).first()
+        for i, n in enumerate(new):
+            seen = got[f"n{i}"]
+            if seen and got[f"w{i}"] == seen:
+                kinds[n] = T.IntegerType() if got[f"m{i}"] < 1 << 31 else T.LongType()
+            elif seen and got[f"d{i}"] == seen:
+                kinds[n] = T.DoubleType()
+            elif seen and got[f"b{i}"] == seen:
+                kinds[n] = T.BooleanType()
+    return T.StructType([T.StructField(n, kinds.get(n, T.StringType())) for n in names.values()])
 
 
 def _declared(spec: SourceSpec, schema: T.StructType) -> T.StructType:
@@ -226,37 +283,36 @@ def _declared(spec: SourceSpec, schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, kind(f), True) for f in schema.fields])
 
 
-def infer_schema(spark: SparkSession, spec: SourceSpec, seen_until: int | None = None
-                 ) -> T.StructType | None:
-    """Typed schema of the files modified since ``seen_until``; None if there are none."""
-    fmt = spec.file_format
-    if fmt == "text":
-        return T.StructType([T.StructField("value", T.StringType())])
-    options = _since(seen_until)
+def infer_schema(spark: SparkSession, spec: SourceSpec, paths: list[str],
+                 groups: dict[tuple, list[str]], persisted: T.StructType | None) -> T.StructType:
+    """Typed schema of the given files; no fields if they hold none."""
+    if spec.file_format == "csv":
+        return _declared(spec, _csv_schema(spark, spec, groups, persisted))
+    reader = _reader(spark, spec)
+    if spec.file_format != "json":
+        reader = reader.option("mergeSchema", "true")
     try:
-        if fmt == "csv":
-            headers = csv_headers(spark, spec, options)
-            return _declared(spec, _csv_schema(spark, spec, options, headers)) if headers else None
-        schema = (spark.read.options(**reader_options(spec)).options(**options)
-                  .format(fmt).load(spec.source_path).schema)
-    except Exception as exc:  # empty or missing landing folder
+        schema = reader.format(spec.file_format).load([_literal(p) for p in paths]).schema
+    except Exception as exc:  # nothing but empty files
         if _not_found(exc):
-            return None
+            return T.StructType([])
         raise
     fields = T.StructType([f for f in schema.fields if f.name != "_corrupt_record"])
     # Typed files (Parquet, ORC) say what they mean; text formats were guessed.
-    return _declared(spec, fields) if fmt == "json" else fields
+    return _declared(spec, fields) if spec.file_format == "json" else fields
 
 
 def merge_schemas(persisted: T.StructType | None, inferred: T.StructType | None) -> T.StructType:
     """Known columns keep their type and position; new columns are appended."""
-    if persisted is None:
-        return inferred or T.StructType([])
     if inferred is None:
-        return persisted
-    known = {f.name.lower() for f in persisted.fields}
-    extra = [f for f in inferred.fields if f.name.lower() not in known]
-    return T.StructType(list(persisted.fields) + extra)
+        return persisted or T.StructType([])
+    merged = list(persisted.fields) if persisted else []
+    known = {f.name.lower() for f in merged}
+    for f in inferred.fields:
+        if f.name.lower() not in known:
+            known.add(f.name.lower())
+            merged.append(f)
+    return T.StructType(merged)
 
 
 def load_schema(spark: SparkSession, location: str) -> T.StructType | None:
@@ -265,35 +321,21 @@ def load_schema(spark: SparkSession, location: str) -> T.StructType | None:
 
 
 def save_schema(spark: SparkSession, location: str, schema: T.StructType,
-                seen_until: int | None = None) -> None:
+                batch_id: int | None = None) -> None:
     """Persist through Hadoop's file system API, so any shared file system works."""
     write_versioned(spark, location, {"schema": json.loads(schema.json()),
-                                      "seen_until": seen_until})
-
+                                      "batch_id": batch_id})
 
-def evolve_schema(spark: SparkSession, spec: SourceSpec) -> T.StructType:
-    """Merge the schema of files not merged before into the persisted schema.
 
-    Only files modified since the last run are read for inference, so the cost of a
-    run follows the new data, not the history of the landing folder.  The time is
-    taken before the files are read: one that lands meanwhile is read again next time.
-    """
-    doc = read_versioned(spark, spec.schema_location) or {}
-    persisted = T.StructType.fromJson(doc["schema"]) if doc else None
-    seen_until = doc.get("seen_until")
-    if spec.file_format == "text":
-        newest = seen_until
-    else:
-        newest = newest_modification(spark, spec.source_path)
-        if newest is None:
-            newest = seen_until
-    inferred = infer_schema(spark, spec, seen_until)
+def evolve_schema(spark: SparkSession, spec: SourceSpec, inferred: T.StructType,
+                  batch_id: int) -> T.StructType:
+    """Merge what the files of a batch hold into the persisted schema, by the evolution mode."""
+    persisted = load_schema(spark, spec.schema_location)
+    if persisted is not None and spec.options.get("evolution", "add") == "rescue":
+        return persisted
     merged = merge_schemas(persisted, inferred)
-    if spec.file_format == "csv" and inferred is not None:
-        _check_positional(merged, csv_headers(spark, spec, _since(seen_until)),
-                          spec.options.get("delimiter", ","))
-    if merged.fields and (persisted is None or merged != persisted or newest != seen_until):
-        save_schema(spark, spec.schema_location, merged, newest)
+    if merged.fields and merged != persisted:
+        save_schema(spark, spec.schema_location, merged, batch_id)
     return merged
 
 
@@ -313,24 +355,39 @@ def text_schema(schema: T.StructType, file_format: str = "csv") -> T.StructType:
     return T.StructType([*fields, T.StructField(CORRUPT, T.StringType(), True)])
 
 
-def _corrupt(schema: T.StructType, spec: SourceSpec) -> tuple[str, Column]:
+def _corrupt(width: int, spec: SourceSpec) -> tuple[str, Column]:
     """What an unparseable record leaves in the rescued map."""
     raw = F.col(CORRUPT)
     if spec.file_format == "json":
         return "_corrupt_record", raw
     # A CSV line with fewer values than columns is complete; one with more is not.
-    wide = ", ".join(f"c{i} string" for i in range(len(schema.fields) + 1))
+    wide = ", ".join(f"c{i} string" for i in range(width + 1))
     options = {"sep": spec.options.get("delimiter", ",")}
-    surplus = F.from_csv(raw, wide, options)[f"c{len(schema.fields)}"]
+    surplus = F.from_csv(raw, wide, options)[f"c{width}"]
     return "_surplus_values", F.when(raw.isNotNull() & surplus.isNotNull(), raw)
 
 
-def typed_with_rescue(df: DataFrame, schema: T.StructType, spec: SourceSpec) -> DataFrame:
-    """Cast raw columns to ``schema``; misfits go to ``_rescued_data`` as JSON."""
+def typed_with_rescue(df: DataFrame, schema: T.StructType, spec: SourceSpec,
+                      width: int | None = None) -> DataFrame:
+    """Cast raw columns to ``schema``; misfits go to ``_rescued_data`` as JSON.
+
+    Columns of ``df`` beyond the schema are rescued too; those of the schema that the
+    files lack are NULL.  ``width``: columns of a CSV header.
+    """
     cols: list[Column] = []
-    misfits: list[tuple[str, Column]] = [_corrupt(schema, spec)]
+    misfits: list[tuple[str, Column]] = [_corrupt(width or len(schema.fields), spec)]
+    # Names as they are, then by case: a header may spell a column in another case.
+    have = {c.lower(): c for c in df.columns} | {c: c for c in df.columns}
+    if spec.file_format != "csv":
+        have = {c: c for c in df.columns}
+    used = {CORRUPT}
     for f in schema.fields:
-        raw = F.col(f"`{f.name}`")
+        name = have.get(f.name) or have.get(f.name.lower())
+        if name is None:
+            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
+            continue
+        used.add(name)
+        raw = F.col(f"`{name}`")
         if isinstance(f.dataType, T.StringType):
             cols.append(raw.alias(f.name))
             continue
@@ -348,6 +405,8 @@ def typed_with_rescue(df: DataFrame, schema: T.StructType, spec: SourceSpec) ->
             # value twice loses nothing.)
             lost = lost | (F.to_json(typed) != text)
         misfits.append((f.name, F.when(text.isNotNull() & lost, text)))
+    misfits += [(c, F.col(f"`{c}`").cast("string")) for c in df.columns
+                if c not in used and not c.startswith("_meta_")]
     m = F.map_filter(F.create_map(*[x for name, v in misfits for x in (F.lit(name), v)]),
                      lambda k, v: v.isNotNull())
     rescued = F.when(F.size(m) > 0, F.to_json(m))
@@ -360,33 +419,47 @@ def with_lineage(df: DataFrame) -> DataFrame:
                            SOURCE_FILE: F.col("_meta_file_name")}).drop("_meta_file_name")
 
 
-def read_files(spark: SparkSession, spec: SourceSpec, schema: T.StructType,
-               streaming: bool = True, max_files_per_trigger: int | None = None,
-               strict_header: bool = False) -> DataFrame:
-    """Stream (or batch) the landing folder with bronze columns appended."""
-    base = spark.readStream if streaming else spark.read
-    reader = base.options(**reader_options(spec))
-    if streaming and max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+def _named(raw: DataFrame) -> DataFrame:
+    return raw.select("*", F.col("_metadata.file_name").alias("_meta_file_name"))
+
+
+def read_files(spark: SparkSession, spec: SourceSpec, schema: T.StructType, paths: list[str],
+               groups: dict[tuple, list[str]], inferred: T.StructType) -> DataFrame:
+    """The rows of the given files with bronze columns appended.
+
+    Needs a case-sensitive session: names that differ in case only are read apart.
+    """
     fmt = spec.file_format
-    if fmt in ("json", "csv"):
-        reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
-        if fmt == "csv" and strict_header:
-            # A running stream cannot check headers first: one that differs stops it
-            # instead of being read by position.
-            reader = reader.option("enforceSchema", "false")
-        raw = reader.schema(text_schema(schema, fmt)).format(fmt).load(spec.source_path)
-        raw = raw.select("*", F.col("_metadata.file_name").alias("_meta_file_name"))
-        out = typed_with_rescue(raw, schema, spec)
-    elif fmt == "text":
-        raw = reader.format("text").load(spec.source_path)
-        out = raw.select("value", F.lit(None).cast("string").alias(RESCUED),
-                         F.col("_metadata.file_name").alias("_meta_file_name"))
-    else:  # parquet / orc: typed files, no rescue needed
-        raw = reader.schema(schema).format(fmt).load(spec.source_path)
-        out = raw.select("*", F.lit(None).cast("string").alias(RESCUED),
-                         F.col("_metadata.file_name").alias("_meta_file_name"))
-    return with_lineage(out)
+    if fmt == "csv":
+        parts = [typed_with_rescue(_named(_csv_text(spark, spec, names, files)), schema, spec,
+                                   len(names)) for names, files in groups.items()]
+        out = parts[0]
+        for part in parts[1:]:
+            out = out.unionByName(part)
+        return with_lineage(out)
+    reader = _reader(spark, spec)
+    files = [_literal(p) for p in paths]
+    if fmt == "json":
+        known = {f.name for f in schema.fields}
+        more = [T.StructField(f.name, T.VariantType()) for f in inferred.fields
+                if f.name not in known]
+        read = text_schema(schema, fmt)
+        read = T.StructType([*read.fields[:-1], *more, read.fields[-1]])
+        raw = reader.option("columnNameOfCorruptRecord", CORRUPT).schema(read).json(files)
+        return with_lineage(typed_with_rescue(_named(raw), schema, spec))
+    raw = reader.schema(schema).format(fmt).load(files)  # Parquet, ORC: typed files
+    return with_lineage(_named(raw).withColumn(RESCUED, F.lit(None).cast("string")).select(
+        *schema.names, RESCUED, "_meta_file_name"))
+
+
+def text_stream(spark: SparkSession, spec: SourceSpec, max_files: int | None = None) -> DataFrame:
+    """Stream of the lines of text files, whose schema never changes."""
+    reader = spark.readStream.option("maxFileAge", ANY_AGE)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    raw = reader.format("text").load(spec.source_path)
+    return with_lineage(raw.select("value", F.lit(None).cast("string").alias(RESCUED),
+                                   F.col("_metadata.file_name").alias("_meta_file_name")))
 
 
 def bronze_schema(spark: SparkSession, spec: SourceSpec) -> T.StructType | None:
@@ -406,11 +479,23 @@ def bronze_schema(spark: SparkSession, spec: SourceSpec) -> T.StructType | None:
     ])
 
 
-def bronze_stream(spark: SparkSession, spec: SourceSpec,
-                  max_files_per_trigger: int | None = None,
-                  strict_header: bool = False) -> DataFrame:
-    schema = evolve_schema(spark, spec)
+def bronze_rows(spark: SparkSession, spec: SourceSpec, files: list,
+                batch_id: int) -> DataFrame | None:
+    """Bronze rows of the files (``path``, ``length``) of a micro-batch; evolves the schema.
+    None if the files hold nothing and no schema is known."""
+    check_sizes(spec, files)
+    paths = sorted(f.path for f in files if f.length > 0)
+    if not paths:
+        return None
+    spark.conf.set("spark.sql.caseSensitive", "true")
+    persisted = load_schema(spark, spec.schema_location)
+    groups = csv_groups(spark, spec, paths) if spec.file_format == "csv" else {}
+    if spec.file_format == "csv" and not groups:
+        return None
+    inferred = infer_schema(spark, spec, paths, groups, persisted)
+    schema = evolve_schema(spark, spec, inferred, batch_id)
     if not schema.fields:
-        raise ValueError(f"no files and no persisted schema for source {spec.source_name!r}")
-    return read_files(spark, spec, schema, streaming=True,
-                      max_files_per_trigger=max_files_per_trigger, strict_header=strict_header)
+        # Nothing but unparseable records: their text is kept once a schema is known.
+        raise ValueError(f"no schema can be inferred for source {spec.source_name!r}: "
+                         f"{len(paths)} files, e.g. {paths[0]}, hold no parseable record")
+    return read_files(spark, spec, schema, paths, groups, inferred)

@@ -34,7 +34,7 @@ class SourceSpec:
                              f"{self.source_name!r}; expected one of {KNOWN_FORMATS}")
 
 
-_OPTION_KEYS = ("delimiter", "header", "multiline")
+_OPTION_KEYS = ("delimiter", "header", "multiline", "evolution", "max_document_bytes")
 
 
 def load_sources(spark: SparkSession, path: str) -> list[SourceSpec]:

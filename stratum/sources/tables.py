@@ -123,9 +123,11 @@ def read_path(spark: SparkSession, path: str) -> DataFrame:
 
 
 def stream_path(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Incremental read of a file-sink table (its commit log lists the files)."""
+    """Incremental read of a table (by a file sink's commit log where there is one).
+
+    Every file counts once, by name and whatever its age."""
     schema = schema or read_path(spark, path).schema
-    return spark.readStream.schema(schema).parquet(path)
+    return spark.readStream.option("maxFileAge", "36500d").schema(schema).parquet(path)
 
 
 def overwrite(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:

@@ -1,8 +1,8 @@
 """Structured Streaming flows of the bronze and silver layers.
 
-Topology (each arrow is one streaming query with its own checkpoint; tables
-are file-sink Parquet directories, so every hand-off is durable and each
-stage survives executor loss and restarts):
+Topology (each arrow is one streaming query with its own checkpoint; tables are Parquet
+folders, written by file sinks or batch by batch exactly once, so every hand-off is
+durable and each stage survives executor loss and restarts):
 
     landing/<source>  --ingest-->  bronze.<source>
     bronze.transactions --normalise+dedup+rules-->  silver.transactions_validated
@@ -32,14 +32,15 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from stratum.operators.quality import QUARANTINE_SCHEMA, REASON
 from stratum.plans import gold, merchants, transactions, users
-from stratum.sources.files import bronze_stream
+from stratum.sources.files import bronze_rows, file_names, load_schema, text_stream
 from stratum.sources.registry import SourceSpec
 from stratum.sources.tables import (Layout, declare_table, ensure_namespaces, path_exists,
                                     read_path, register, stream_path)
+from stratum.streaming.publish import append_once, make_folder
 
 QUARANTINE = "silver.quarantine"
 ENTITIES = {"transactions": transactions, "merchants": merchants}
@@ -60,19 +61,22 @@ class FlowOptions:
     dedup_salt_buckets: int | None = None
 
 
-def _start(df: DataFrame, path: str, checkpoint: str, name: str, opts: FlowOptions,
-           partition_by: tuple[str, ...] = ()) -> StreamingQuery:
+def _triggered(df: DataFrame, checkpoint: str, name: str, opts: FlowOptions) -> DataStreamWriter:
     active = {q.name for q in df.sparkSession.streams.active}
     if name in active:  # another pipeline (layout) runs the same flow in this session
         name = f"{name}_{abs(hash(checkpoint)) % 10**8:08d}"
-    w = (df.writeStream.format("parquet").outputMode("append")
-         .option("path", path).option("checkpointLocation", checkpoint).queryName(name))
+    w = df.writeStream.option("checkpointLocation", checkpoint).queryName(name)
+    if opts.processing_time:
+        return w.trigger(processingTime=opts.processing_time)
+    return w.trigger(availableNow=True)
+
+
+def _start(df: DataFrame, path: str, checkpoint: str, name: str, opts: FlowOptions,
+           partition_by: tuple[str, ...] = ()) -> StreamingQuery:
+    w = _triggered(df, checkpoint, name, opts).format("parquet").outputMode("append").option(
+        "path", path)
     if partition_by:
         w = w.partitionBy(*partition_by)
-    if opts.processing_time:
-        w = w.trigger(processingTime=opts.processing_time)
-    else:
-        w = w.trigger(availableNow=True)
     return w.start()
 
 
@@ -98,14 +102,38 @@ def with_contract(spec: SourceSpec) -> SourceSpec:
 
 def ingest(spark: SparkSession, layout: Layout, spec: SourceSpec,
            opts: FlowOptions | None = None) -> StreamingQuery:
-    """Landing folder -> bronze.<source_name> (typed, rescued, with lineage)."""
+    """Landing folder -> bronze.<source_name> (typed, rescued, with lineage).
+
+    Text has one column for ever and goes straight to the file sink.  Of the other formats
+    the stream carries file names; each micro-batch infers, evolves and reads exactly
+    its own files (``sources.files``) and is appended once (``publish``).
+    """
     opts = opts or FlowOptions()
-    df = bronze_stream(spark, with_contract(spec), opts.max_files_per_trigger,
-                       strict_header=bool(opts.processing_time))
+    spec = with_contract(spec)
     name = f"bronze.{spec.source_name}"
-    q = _start(df, layout.table_path(name), layout.checkpoint(f"bronze_{spec.source_name}"),
-               f"bronze_{spec.source_name}", opts, spec.partition_by)
-    return _finish(spark, q, opts)
+    flow = name.replace(".", "_")
+    path, checkpoint = layout.table_path(name), layout.checkpoint(flow)
+    if spec.file_format == "text":
+        q = _start(text_stream(spark, spec, opts.max_files_per_trigger), path, checkpoint, flow,
+                   opts, spec.partition_by)
+        return _finish(spark, q, opts)
+    if path_exists(spark, f"{path}/_spark_metadata"):
+        raise ValueError(f"{path} was written by a file sink, whose log hides other files; "
+                         f"full_refresh({name!r}) rebuilds it")
+    make_folder(spark, path)
+
+    def take(batch: DataFrame, batch_id: int) -> None:
+        # The stream's own session: its settings do not reach the caller's.
+        rows = bronze_rows(batch.sparkSession, spec, batch.collect(), batch_id)
+        if rows is not None:
+            append_once(rows, path, f"{checkpoint}/publish", batch_id, spec.partition_by)
+
+    writer = _triggered(file_names(spark, spec, opts.max_files_per_trigger), checkpoint, flow, opts)
+    q = _finish(spark, writer.foreachBatch(take).start(), opts)
+    if load_schema(spark, spec.schema_location) is None:
+        q.stop()
+        raise ValueError(f"no files and no persisted schema for source {spec.source_name!r}")
+    return q
 
 
 def _validated_plan(spark: SparkSession, layout: Layout, entity: str, opts: FlowOptions,

@@ -13,14 +13,19 @@ set of seen keys in the state store across micro-batches and restarts, so a
 copy arriving in a later batch is dropped.  Which copy survives *within* one
 micro-batch is unspecified, as in the source pipeline.
 
-Well-formed keys take one shuffle and one state entry.  Only keys that may be hot,
-NULL or blank ones, are first thinned: level 1 drops duplicates of (key,
-hash(payload) mod S), which spreads such a key over S partitions, and level 2
-receives at most S rows per key over the whole stream.  Both levels see those rows
-only (the filters reach the file scan).  The surviving row per key is a first-seen
-copy either way, so results are unchanged.  S follows
-``spark.sql.shuffle.partitions``; like it, it is part of the checkpointed plan:
-choose it before the first run.
+Every key meets one ``dropDuplicates`` with one state entry.  Keys that may be hot are
+thinned before it: duplicates of (key, salt of the row) go first, which spreads
+such a key over S partitions and leaves at most S rows of it, over the whole stream.
+Hot are NULL and blank keys, and those that ``hot_keys`` finds in the data: a sketch of
+the most frequent keys (one aggregate over the key column, merged map-side).  The
+list only chooses the path of a row, never whether it survives, so it may be stale,
+incomplete or changed between restarts.  S follows ``spark.sql.shuffle.partitions``; like
+it, it is part of the checkpointed plan: choose it before the first run.
+
+State is unbounded, unless ``within`` names a time: then copies that come later than
+that after the first one (by ``time_col``, a watermark) pass as new, state older than the
+watermark goes, and rows whose time is older than the watermark are dropped, as a
+watermark does.  By arrival time, the default, no row is.
 """
 
 from __future__ import annotations
@@ -45,20 +50,44 @@ def dedup_first(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     return picked.select(*keys, *[F.col(f"_first.{c}").alias(c) for c in payload]).select(*df.columns)
 
 
+TRACKED = 10_000   # keys that the sketch follows
+MOST_HOT = 256     # keys called hot at most, per sketch
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], partitions: int, least: int = 1000) -> list[int]:
+    """Hashes of the keys that hold more than a quarter of a fair share of the rows of a batch
+    frame (and ``least`` rows); one pass over the key columns, bounded by ``MOST_HOT``."""
+    top = f"approx_top_k(_key, {MOST_HOT}, {TRACKED})"
+    row = df.select(F.xxhash64(*[F.col(k) for k in keys]).alias("_key")).agg(
+        F.count(F.lit(1)).alias("n"), F.expr(top).alias("top")).first()
+    return [t["item"] for t in row.top or []
+            if t["count"] >= least and t["count"] * 4 * partitions > row.n]
+
+
 def dedup_stream(df: DataFrame, keys: Sequence[str], salt_buckets: int | None = None,
-                 exclude_from_salt: Sequence[str] = ("_ingestion_timestamp",)) -> DataFrame:
-    """Streaming first-seen dedup with unbounded key state (no watermark)."""
+                 exclude_from_salt: Sequence[str] = ("_ingestion_timestamp",),
+                 hot: Sequence[int] = (), within: str | None = None,
+                 time_col: str = "_ingestion_timestamp") -> DataFrame:
+    """Streaming first-seen dedup; ``hot``: key hashes to thin first (see ``hot_keys``)."""
     keys = list(keys)
+    if within:
+        df = df.withWatermark(time_col, within)
+    drop = (lambda d, k: d.dropDuplicatesWithinWatermark(k)) if within else (
+        lambda d, k: d.dropDuplicates(k))
     if not salt_buckets or salt_buckets <= 1:
-        return df.dropDuplicates(keys)
+        return drop(df, keys)
     odd = F.lit(False)
     for k in keys:
         blank = F.col(k).isNull()
         if dict(df.dtypes)[k] == "string":
             blank = blank | (F.trim(F.col(k)) == "")
         odd = odd | blank
-    payload = [c for c in df.columns if c not in keys and c not in exclude_from_salt]
-    digest = F.xxhash64(*[F.col(c) for c in payload]) if payload else F.lit(0)
-    thinned = (df.filter(odd).withColumn("_dedup_salt", F.pmod(digest, F.lit(salt_buckets)))
-               .dropDuplicates(keys + ["_dedup_salt"]).drop("_dedup_salt"))
-    return df.filter(~odd).dropDuplicates(keys).unionByName(thinned.dropDuplicates(keys))
+    if hot:
+        odd = odd | F.xxhash64(*[F.col(k) for k in keys]).isin([int(h) for h in hot])
+    # Equal rows of different tasks get different salts.
+    payload = [F.col(c) for c in df.columns if c not in keys and c not in exclude_from_salt]
+    salt = F.pmod(F.xxhash64(*payload, F.spark_partition_id()), F.lit(salt_buckets))
+    marked = df.withColumns({"_dedup_odd": odd, "_dedup_salt": salt})
+    thinned = drop(marked.filter("_dedup_odd"), keys + ["_dedup_salt"])
+    return drop(marked.filter("NOT _dedup_odd").unionByName(thinned)
+                .drop("_dedup_odd", "_dedup_salt"), keys)

@@ -313,4 +313,27 @@ ORACLE_SQL.update({
                                 "CASE WHEN _seq < 1000000000 THEN _seq END AS detail_n, "
                                 "CASE WHEN _seq >= 1000000000 THEN '#' || CAST(_seq AS VARCHAR) "
                                 "END AS rescued_n FROM raw_tx"),
+    "ingest_late_column": _q([RAW_TX], "SELECT *, CASE WHEN _seq >= 1000000000 "
+                             f"THEN upper(trim(channel)) END AS device, {NO_RESCUE} FROM raw_tx"),
+    "ingest_csv_mixed_headers": _q([RAW_M], "SELECT CAST(_seq AS INTEGER) AS _seq, merchant_id, "
+                                   "merchant_name, category, country, affiliation_date, status, "
+                                   "risk_level, CASE WHEN _seq < 1000000000 AND _seq % 3 = 2 THEN "
+                                   "lpad(CAST(_seq AS VARCHAR), 9, '0') END AS code, "
+                                   f"{NO_RESCUE} FROM raw_m"),
+    "ingest_rescued_unknown_column": _q([RAW_TX], "SELECT *, CASE WHEN _seq >= 1000000000 THEN "
+                                        "'{\"device\":\"' || upper(trim(channel)) || '\"}' END "
+                                        "AS _rescued_data FROM raw_tx"),
+    "ingest_rescued_malformed": _q([RAW_TX], "SELECT CASE WHEN _seq < 1000000000 THEN _seq END AS _seq, "
+                                   "CASE WHEN _seq < 1000000000 THEN transaction_id END AS transaction_id, "
+                                   "CASE WHEN _seq >= 1000000000 THEN '{\"_seq\":' || CAST(_seq AS VARCHAR) "
+                                   "|| ',\"transac' END AS corrupt FROM raw_tx"),
+    "ingest_timestamps": _q([RAW_TX], "SELECT CAST(count(*) AS BIGINT) AS n_rows, "
+                            "CAST(count(*) AS BIGINT) AS n_with_time, CAST(2 AS BIGINT) AS n_times, "
+                            "true AS in_order, true AS not_in_the_future FROM raw_tx"),
+    "gold_processed_at": _q(TX_CHAIN + (KPIS,), "SELECT CAST(count(*) AS BIGINT) AS n_rows, "
+                            "CAST(count(*) AS BIGINT) AS n_with_time, CAST(1 AS BIGINT) AS n_times, "
+                            "true AS not_in_the_future FROM kpis"),
+    "stream_dedup_hot_key": _q([RAW_TX], "SELECT DISTINCT CASE WHEN _seq % 3 = 0 THEN 'N/A' "
+                               "ELSE transaction_id END AS transaction_id FROM raw_tx"),
+    "stream_dedup_bounded": _q([RAW_TX], "SELECT DISTINCT transaction_id FROM raw_tx"),
 })

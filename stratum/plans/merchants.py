@@ -71,17 +71,17 @@ def rejection_reason():
 
 
 def dedup(df: DataFrame, batch_order: str | None = "_seq",
-          salt_buckets: int | None = None) -> DataFrame:
+          salt_buckets: int | None = None, **how) -> DataFrame:
     if df.isStreaming or batch_order is None:
-        return dedup_stream(df, [KEY], salt_buckets)
+        return dedup_stream(df, [KEY], salt_buckets, **how)
     return dedup_first(df, [KEY], batch_order)
 
 
 def validate(bronze: DataFrame, batch_order: str | None = "_seq",
-             salt_buckets: int | None = None) -> DataFrame:
+             salt_buckets: int | None = None, **how) -> DataFrame:
     """Deduplicate on the raw key, then normalise (same rows; see transactions)."""
     raw = ensure_columns(bronze, RAW_COLUMNS)
-    return normalize(dedup(raw, batch_order, salt_buckets)).withColumn(REASON, rejection_reason())
+    return normalize(dedup(raw, batch_order, salt_buckets, **how)).withColumn(REASON, rejection_reason())
 
 
 def clean(validated: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ processing time are left out so results can be compared.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from stratum.functions.normalize import parse_amount, parse_date
 from stratum.plans import gold, merchants, transactions, users
 from stratum.session import ensure_checkpoint_dir
 from stratum.sources import fixtures
+from stratum.sources.landing import write_text
 from stratum.sources.tables import delete_path, overwrite, read_partitioned, read_path
 from stratum.streaming import flows, staging
 from stratum.streaming.pipeline import KPI_TABLE, Pipeline, complete_batches
@@ -334,6 +336,92 @@ def ingest_csv_two_date_formats(spark, sf_dir):
     return v.drop("_rescued_data", "_source_file")
 
 
+def ingest_late_column(spark, sf_dir):
+    """The second delivery has a new column and older file times than the first one."""
+    layout = staging.fresh_layout(spark, "ingest_late_column")
+    raw = fixtures.raw_transactions(spark, sf_dir)
+    spec = staging.stage(spark, layout, "transactions", staging.first_copies(raw), "json")
+    flows.ingest(spark, layout, spec)
+    late = staging.late_copies(raw).withColumn("device", F.upper(F.trim("channel")))
+    staging.stage(spark, layout, "transactions", late, "json")
+    staging.age_files(spark, spec.source_path, 7200)
+    flows.ingest(spark, layout, spec)
+    return _bronze_rows(spark, layout, "transactions")
+
+
+def ingest_csv_mixed_headers(spark, sf_dir):
+    """Three kinds of CSV files in one delivery, with the columns in order, reversed, and
+    with one more in front; then the late copies, reversed, with older file times."""
+    layout = staging.fresh_layout(spark, "ingest_csv_mixed_headers")
+    raw = fixtures.raw_merchants(spark, sf_dir)
+    first, back = staging.first_copies(raw), raw.columns[::-1]
+    kind = F.col("_seq") % 3
+    wide = first.filter(kind == 2).withColumn("code", F.lpad(F.col("_seq").cast("string"), 9, "0"))
+    for part in (first.filter(kind == 0), first.filter(kind == 1).select(*back),
+                 wide.select("code", *raw.columns)):
+        spec = staging.stage(spark, layout, "merchants", part, "csv")
+    flows.ingest(spark, layout, spec)
+    staging.stage(spark, layout, "merchants", staging.late_copies(raw).select(*back), "csv")
+    staging.age_files(spark, spec.source_path, 7200)
+    flows.ingest(spark, layout, spec)
+    return _bronze_rows(spark, layout, "merchants")
+
+
+def ingest_rescued_unknown_column(spark, sf_dir):
+    """A source that keeps its first columns: a later one stays in the rescued data."""
+    layout = staging.fresh_layout(spark, "ingest_rescued_unknown_column")
+    raw = fixtures.raw_transactions(spark, sf_dir)
+    spec = replace(staging.stage(spark, layout, "transactions", staging.first_copies(raw), "json"),
+                   options={"evolution": "rescue"})
+    flows.ingest(spark, layout, spec)
+    late = staging.late_copies(raw).withColumn("device", F.upper(F.trim("channel")))
+    staging.stage(spark, layout, "transactions", late, "json")
+    flows.ingest(spark, layout, spec)
+    return _bronze_rows(spark, layout, "transactions")
+
+
+def ingest_rescued_malformed(spark, sf_dir):
+    """JSON Lines, with the lines of the late copies cut off: their text is kept."""
+    layout = staging.fresh_layout(spark, "ingest_rescued_malformed")
+    raw = fixtures.raw_transactions(spark, sf_dir).select("_seq", "transaction_id")
+    spec = replace(staging.spec_for(layout, "transactions", "json"), options={"multiline": False})
+    whole = F.to_json(F.struct("_seq", "transaction_id"))
+    cut = F.concat(F.lit('{"_seq":'), F.col("_seq").cast("string"), F.lit(',"transac'))
+    lines = raw.select(F.when(F.col("_seq") < staging.LATE_OFFSET, whole).otherwise(cut)
+                       .alias("value"))
+    write_text(lines, spec.source_path)
+    flows.ingest(spark, layout, spec)
+    b = _bronze_rows(spark, layout, "transactions")
+    text = F.get_json_object("_rescued_data", "$._corrupt_record")
+    return b.select(F.when(text.isNull(), F.col("_seq")).alias("_seq"), "transaction_id",
+                    text.alias("corrupt"))
+
+
+def ingest_timestamps(spark, sf_dir):
+    """Two deliveries: each micro-batch has one ingestion time, no row lacks it."""
+    layout = staging.fresh_layout(spark, "ingest_timestamps")
+    raw = fixtures.raw_transactions(spark, sf_dir)
+    for part in (staging.first_copies(raw), staging.late_copies(raw)):
+        spec = staging.stage(spark, layout, "transactions", part, "json")
+        flows.ingest(spark, layout, spec)
+    b = flows.bronze_table(spark, layout, "transactions")
+    late = F.col("_seq") >= staging.LATE_OFFSET
+    at = F.col("_ingestion_timestamp")
+    return b.agg(F.count(F.lit(1)).alias("n_rows"), F.count(at).alias("n_with_time"),
+                 F.count_distinct(at).alias("n_times"),
+                 (F.max(F.when(~late, at)) < F.min(F.when(late, at))).alias("in_order"),
+                 (F.max(at) <= F.current_timestamp()).alias("not_in_the_future"))
+
+
+def gold_processed_at(spark, sf_dir):
+    """The processing time of the KPI rows: one value for all, set on every row."""
+    kpis = _kpis(spark, sf_dir, with_timestamp=True)
+    at = F.col("_processed_at")
+    return kpis.agg(F.count(F.lit(1)).alias("n_rows"), F.count(at).alias("n_with_time"),
+                    F.count_distinct(at).alias("n_times"),
+                    (F.max(at) <= F.current_timestamp()).alias("not_in_the_future"))
+
+
 def _two_delivery_silver(spark, sf_dir, name, sources=("transactions", "merchants")):
     """Deliver first copies, run bronze+silver; deliver late copies, run again."""
     layout = staging.fresh_layout(spark, name)
@@ -355,6 +443,32 @@ def stream_dedup_across_batches(spark, sf_dir):
     return v.select("transaction_id")
 
 
+def _validated_keys(spark, sf_dir, name, opts, key):
+    """Keys of the validated table after the first copies and the late ones."""
+    layout = staging.fresh_layout(spark, name)
+    raw = fixtures.raw_transactions(spark, sf_dir).withColumn("transaction_id", key)
+    pipe = Pipeline(spark, layout, [staging.spec_for(layout, "transactions", "json")], opts,
+                    register_tables=False)
+    for part in (staging.first_copies(raw), staging.late_copies(raw)):
+        staging.stage(spark, layout, "transactions", part, "json")
+        pipe.run_bronze()
+        flows.validated(spark, layout, "transactions", opts, pipe._bronze_schema("transactions"))
+    return read_path(spark, layout.table_path("silver.transactions_validated")).select(
+        "transaction_id")
+
+
+def stream_dedup_hot_key(spark, sf_dir):
+    """A third of all rows have the key ``N/A``, which the sketch finds and spreads."""
+    key = F.when(F.col("_seq") % 3 == 0, F.lit("N/A")).otherwise(F.col("transaction_id"))
+    return _validated_keys(spark, sf_dir, "stream_dedup_hot_key", flows.FlowOptions(), key)
+
+
+def stream_dedup_bounded(spark, sf_dir):
+    """Dedup state bounded to a week after the first copy; all copies arrive within it."""
+    return _validated_keys(spark, sf_dir, "stream_dedup_bounded",
+                           flows.FlowOptions(dedup_within="7 days"), F.col("transaction_id"))
+
+
 def stream_quarantine_fan_in(spark, sf_dir):
     layout, _ = _two_delivery_silver(spark, sf_dir, "stream_quarantine")
     q = flows.quarantine_table(spark, layout)
@@ -475,7 +589,15 @@ QUERIES: dict[str, Query] = {
     "ingest_rescued_data": ingest_rescued_data,
     "ingest_rescued_nested": ingest_rescued_nested,
     "ingest_csv_two_date_formats": ingest_csv_two_date_formats,
+    "ingest_late_column": ingest_late_column,
+    "ingest_csv_mixed_headers": ingest_csv_mixed_headers,
+    "ingest_rescued_unknown_column": ingest_rescued_unknown_column,
+    "ingest_rescued_malformed": ingest_rescued_malformed,
+    "ingest_timestamps": ingest_timestamps,
+    "gold_processed_at": gold_processed_at,
     "stream_dedup_across_batches": stream_dedup_across_batches,
+    "stream_dedup_hot_key": stream_dedup_hot_key,
+    "stream_dedup_bounded": stream_dedup_bounded,
     "stream_quarantine_fan_in": stream_quarantine_fan_in,
     "stream_silver_end_to_end": stream_silver_end_to_end,
     "stream_gold_incremental": stream_gold_incremental,

@@ -61,13 +61,32 @@ def _comment_sql(comment: str | None) -> str:
 
 def declare_table(spark: SparkSession, layout: Layout, name: str, schema_ddl: str,
                   comment: str | None = None, properties: dict | None = None) -> str:
-    """Create an empty table with a declared schema if it does not exist yet."""
+    """Create an empty table with a declared schema; one that exists must have that schema."""
     path = layout.table_path(name)
+    if spark.catalog.tableExists(name):
+        require_schema(name, schema_ddl, spark.table(name).schema)
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({schema_ddl}) USING parquet "
               f"LOCATION '{path}'{_comment_sql(comment)}{_props_sql(properties)}")
     return path
 
 
+def require_schema(name: str, declared: T.StructType | str, actual: T.StructType) -> None:
+    """Refuse a flow whose rows are not what its target declares: by name and type,
+    whatever the order and nullability."""
+    if isinstance(declared, str):
+        declared = T._parse_datatype_string(declared)
+    want = {f.name.lower(): f for f in declared.fields}
+    have = {f.name.lower(): f for f in actual.fields}
+    wrong = [f"{have[k].name} is not declared" for k in have if k not in want]
+    wrong += [f"{want[k].name} is missing" for k in want if k not in have]
+    wrong += [f"{have[k].name} is {have[k].dataType.simpleString()}, declared "
+              f"{want[k].dataType.simpleString()}" for k in have
+              if k in want and have[k].dataType.simpleString() != want[k].dataType.simpleString()]
+    if wrong:
+        raise ValueError(f"the flow into {name} does not fit its declared schema: "
+                         + "; ".join(wrong))
+
+
 def register(spark: SparkSession, layout: Layout, name: str, schema: T.StructType,
              comment: str | None = None, properties: dict | None = None,
              partition_by: tuple[str, ...] = ()) -> None:

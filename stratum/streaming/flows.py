@@ -18,15 +18,15 @@ or refreshed on its own (two file-sink queries on one directory would silently l
 rows, and a union of them could not change its sources); ``quarantine_table`` and the
 catalog view ``silver.quarantine`` are their union.  The validated tables are
 persisted, so the stateful dedup runs once for both consumers.  Dedup state is
-unbounded (every key ever seen), as in the source pipeline; the session uses the
-RocksDB state store so it lives off-heap, and the number of state partitions is fixed
+unbounded (every key ever seen), as in the source pipeline, unless
+``FlowOptions.dedup_within`` bounds it; the session uses the RocksDB state store so it lives off-heap, and the number of state partitions is fixed
 by ``spark.sql.shuffle.partitions`` at the first run - size it for the target volume
 before the first checkpoint is written.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,12 +34,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from stratum.operators.dedup import hot_keys
 from stratum.operators.quality import QUARANTINE_SCHEMA, REASON
 from stratum.plans import gold, merchants, transactions, users
-from stratum.sources.files import bronze_rows, file_names, load_schema, text_stream
+from stratum.sources.files import (bronze_rows, file_names, load_schema, read_versioned,
+                                   text_stream, write_small_text, write_versioned)
 from stratum.sources.registry import SourceSpec
 from stratum.sources.tables import (Layout, declare_table, ensure_namespaces, path_exists,
-                                    read_path, register, stream_path)
+                                    read_path, register, require_schema, stream_path)
 from stratum.streaming.publish import append_once, make_folder
 
 QUARANTINE = "silver.quarantine"
@@ -56,9 +58,15 @@ class FlowOptions:
     # continuously with this trigger interval, e.g. "1 minute".
     processing_time: str | None = None
     max_files_per_trigger: int | None = None
-    # Partitions that NULL and blank dedup keys are spread over; None: as many as
-    # shuffle partitions, 0: no spreading.  Fixed once checkpointed.
+    # Partitions that hot dedup keys are spread over; None: as many as shuffle
+    # partitions, 0: no spreading.  Fixed once checkpointed.
     dedup_salt_buckets: int | None = None
+    # Look for hot keys in the bronze files that are new since the last start.
+    find_hot_keys: bool = True
+    # Bounded dedup state, e.g. "7 days" after the first copy; None: every key for ever.
+    # Fixed once checkpointed.
+    dedup_within: str | None = None
+    dedup_time: str = "_ingestion_timestamp"
 
 
 def _triggered(df: DataFrame, checkpoint: str, name: str, opts: FlowOptions) -> DataStreamWriter:
@@ -137,12 +145,46 @@ def ingest(spark: SparkSession, layout: Layout, spec: SourceSpec,
 
 
 def _validated_plan(spark: SparkSession, layout: Layout, entity: str, opts: FlowOptions,
-                    bronze_schema: T.StructType | None = None) -> DataFrame:
+                    bronze_schema: T.StructType | None = None,
+                    hot: Sequence[int] = ()) -> DataFrame:
     src = stream_path(spark, layout.table_path(f"bronze.{entity}"), bronze_schema)
-    buckets = opts.dedup_salt_buckets
-    if buckets is None:
-        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return ENTITIES[entity].validate(src, batch_order=None, salt_buckets=buckets)
+    return ENTITIES[entity].validate(
+        src, batch_order=None, salt_buckets=_salt_buckets(spark, opts), hot=hot,
+        within=opts.dedup_within, time_col=opts.dedup_time)
+
+
+def _salt_buckets(spark: SparkSession, opts: FlowOptions) -> int:
+    if opts.dedup_salt_buckets is not None:
+        return opts.dedup_salt_buckets
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+HOT_KEPT = 1024  # key hashes remembered, the newest
+
+
+def known_hot_keys(spark: SparkSession, layout: Layout, entity: str, opts: FlowOptions,
+                   bronze_schema: T.StructType | None) -> list[int]:
+    """Hot dedup keys: those remembered and those of the bronze files modified since the last
+    look.  Only the key column of those files is read.  (What is missed or stale costs
+    time, never rows.)"""
+    buckets = _salt_buckets(spark, opts)
+    if not opts.find_hot_keys or buckets <= 1 or bronze_schema is None:
+        return []
+    key = ENTITIES[entity].KEY
+    if key not in bronze_schema.names:
+        return []
+    state = f"{layout.checkpoint(f'silver_{entity}_validated')}_hot_keys"
+    doc = read_versioned(spark, state) or {"upto": 0, "hashes": []}
+    at = F.unix_millis("_metadata.file_modification_time")
+    new = spark.read.schema(bronze_schema).parquet(layout.table_path(f"bronze.{entity}")).where(
+        at > doc["upto"])
+    upto = new.agg(F.max(at)).first()[0]
+    if upto is None:
+        return doc["hashes"]
+    found = hot_keys(new, [key], buckets)
+    doc = {"upto": upto, "hashes": list(dict.fromkeys(found + doc["hashes"]))[:HOT_KEPT]}
+    write_versioned(spark, state, doc)
+    return doc["hashes"]
 
 
 def validated_plan(spark: SparkSession, layout: Layout, entity: str,
@@ -175,7 +217,8 @@ def validated(spark: SparkSession, layout: Layout, entity: str,
     ``bronze_schema`` (see ``sources.files.bronze_schema``) avoids discovering the
     bronze schema from the footers of all its files."""
     opts = opts or FlowOptions()
-    out = _validated_plan(spark, layout, entity, opts, bronze_schema)
+    out = _validated_plan(spark, layout, entity, opts, bronze_schema,
+                          known_hot_keys(spark, layout, entity, opts, bronze_schema))
     # Per-micro-batch quality metrics, reported in the query progress
     # (``q.lastProgress["observedMetrics"]``) at no extra pass over the data.
     out = out.observe(f"silver_{entity}_validated",
@@ -220,8 +263,10 @@ def quarantine(spark: SparkSession, layout: Layout, entity: str,
                  if spark.catalog.tableExists(quarantine_name(e))]
         spark.sql(f"CREATE OR REPLACE VIEW {QUARANTINE} AS "
                   + " UNION ALL ".join(f"SELECT * FROM {p}" for p in parts))
-    src = _validated_source(spark, layout, entity, opts, bronze_schema)
-    q = _start(ENTITIES[entity].quarantine(src), layout.table_path(name),
+    rejects = ENTITIES[entity].quarantine(
+        _validated_source(spark, layout, entity, opts, bronze_schema))
+    require_schema(name, QUARANTINE_SCHEMA, rejects.schema)
+    q = _start(rejects, layout.table_path(name),
                layout.checkpoint(name.replace(".", "_")), name.replace(".", "_"), opts)
     return _finish(spark, q, opts)
 
@@ -270,14 +315,21 @@ def kpi_partials(spark: SparkSession, layout: Layout, clean_schema: T.StructType
     """silver.transactions -> one folder of additive KPI partials per micro-batch.
 
     A batch that is run again after a crash has the same rows (its offsets are
-    logged first) and replaces its own folder, so no delivery counts twice.  Always
-    available-now: each refresh takes what has arrived.
+    logged first) and replaces its own folder, unless that was marked whole, so no
+    delivery counts twice.  The mark is our own: stores may do without success files.
+    Folders are partitioned by date.  Always available-now: each refresh takes what has
+    arrived.
     """
     src = spark.readStream.schema(clean_schema).parquet(layout.table_path("silver.transactions"))
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        mark = f"{folder}/_whole/batch-{batch_id:09d}"
+        if path_exists(spark, mark):
+            return
         (gold.kpi_partials(batch).hint("rebalance", "transaction_date")
-         .write.mode("overwrite").parquet(f"{folder}/batch-{batch_id:09d}"))
+         .write.mode("overwrite").partitionBy("transaction_date")
+         .parquet(f"{folder}/run=batch-{batch_id:09d}"))
+        write_small_text(spark, mark, "")
 
     q = (src.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())

@@ -147,8 +147,8 @@ class Pipeline:
         of those dates and replaced, then the pointer moves on.  Nothing is ever added
         to a stored KPI row, so a refresh that stops anywhere is simply done again:
         folders are rewritten with the same rows, dates are recomputed to the same
-        values.  Cost follows the dates that new data touches.  Partials are folded
-        into one folder from time to time, under the same pointer.
+        values.  Cost follows the dates that new data touches: partials are partitioned by
+        date.  They are folded into one folder from time to time, under the same pointer.
         """
         spark, state = self.spark, self.layout.checkpoint("gold_daily_transaction_kpis")
         folder, pointer = f"{state}/partials", f"{state}/pointer"
@@ -156,20 +156,21 @@ class Pipeline:
                            f"{state}/stream")
         at = read_versioned(spark, pointer) or {"base": -1, "upto": -1}
         batches = [i for i in complete_batches(spark, folder) if i > at["base"]]
-        paths = ([f"{folder}/base-{at['base']:09d}"] if at["base"] >= 0 else []) + [
-            f"{folder}/batch-{i:09d}" for i in batches]      # at most about FOLD_AFTER
+        paths = ([f"{folder}/run=base-{at['base']:09d}"] if at["base"] >= 0 else []) + [
+            f"{folder}/run=batch-{i:09d}" for i in batches]   # at most about FOLD_AFTER
         path = self.layout.table_path(KPI_TABLE)
         schema = T.StructType(gold.daily_kpis(spark.createDataFrame(
             [], self._silver_schema("transactions"))).schema.fields)
-        new = [f"{folder}/batch-{i:09d}" for i in batches if i > at["upto"]]
+        new = [f"{folder}/run=batch-{i:09d}" for i in batches if i > at["upto"]]
         if new:
             shape = T.StructType([f for f in schema.fields
                                   if f.name in (*gold.KPI_KEYS, *gold.ADDITIVE_KPIS)])
             shape = T.StructType([shape[c] for c in (*gold.KPI_KEYS, *gold.ADDITIVE_KPIS)])
-            every = spark.read.schema(shape).parquet(*paths)
-            touched = _dates(spark.read.schema(shape).parquet(*new))
+            every = read_partials(spark, folder, paths, shape)
+            touched = _dates(read_partials(spark, folder, new, shape))
             if touched:
-                # A rebalance by date: about one file per date, split where one is large.
+                # Only the partials of the touched dates are listed and read.  A rebalance by
+                # date: about one file per date, split where one is large.
                 (gold.kpis_from_partials(every.filter(F.col("transaction_date").isin(touched)))
                  .hint("rebalance", "transaction_date").write.mode("overwrite")
                  .option("partitionOverwriteMode", "dynamic")
@@ -179,10 +180,13 @@ class Pipeline:
             if len(batches) > FOLD_AFTER:
                 last = batches[-1]
                 (gold.combine_partials(every).hint("rebalance", "transaction_date")
-                 .write.mode("overwrite").parquet(f"{folder}/base-{last:09d}"))
+                 .write.mode("overwrite").partitionBy("transaction_date")
+                 .parquet(f"{folder}/run=base-{last:09d}"))
                 write_versioned(spark, pointer, {"base": last, "upto": last})
                 for p in paths:
                     delete_path(spark, p)
+                for i in batches:
+                    delete_path(spark, f"{folder}/_whole/batch-{i:09d}")
         if not path_exists(spark, path):
             return spark.createDataFrame([], schema)
         return spark.read.schema(schema).parquet(path).select(*schema.names)
@@ -240,20 +244,28 @@ class Pipeline:
 
     def _drop(self, table: str) -> None:
         delete_path(self.spark, self.layout.table_path(table))
-        delete_path(self.spark, self.layout.checkpoint(table.replace(".", "_")))
+        flow = self.layout.checkpoint(table.replace(".", "_"))
+        delete_path(self.spark, flow)
+        delete_path(self.spark, f"{flow}_hot_keys")
         if self.register_tables and table != QUARANTINE:
             self.spark.sql(f"DROP TABLE IF EXISTS {table}")
 
 
 def complete_batches(spark: SparkSession, folder: str) -> list[int]:
-    """Numbers of the partial folders whose write was committed."""
-    if not path_exists(spark, folder):
+    """Numbers of the partial folders that were marked whole and not folded away."""
+    if not path_exists(spark, f"{folder}/_whole"):
         return []
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    fs_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    p = fs_of(f"{folder}/_whole")
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     names = [f.getPath().getName() for f in fs.listStatus(p)]
-    found = [int(m[1]) for n in names if (m := re.fullmatch(r"batch-(\d+)", n))]
-    return sorted(i for i in found if path_exists(spark, f"{folder}/batch-{i:09d}/_SUCCESS"))
+    return sorted(int(m[1]) for n in names if (m := re.fullmatch(r"batch-(\d+)", n)))
+
+
+def read_partials(spark: SparkSession, folder: str, paths: list[str],
+                  shape: T.StructType) -> DataFrame:
+    """KPI partials of some runs; ``transaction_date`` is a partition of each."""
+    return spark.read.option("basePath", folder).schema(shape).parquet(*paths).select(*shape.names)
 
 
 def _dates(df: DataFrame) -> list:

@@ -63,3 +63,12 @@ def stage(spark: SparkSession, layout: Layout, source: str, df: DataFrame,
     else:
         write_files(df, path, file_format)
     return spec_for(layout, source, file_format)
+
+
+def age_files(spark: SparkSession, path: str, seconds: int) -> None:
+    """Set the landing files' modification times back, as a move or a copy with kept
+    times would."""
+    fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = fs_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for f in fs.listStatus(fs_path):
+        fs.setTimes(f.getPath(), f.getModificationTime() - 1000 * seconds, -1)

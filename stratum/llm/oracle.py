@@ -36,17 +36,17 @@ FROM d JOIN (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE
 
 OP7 = r"""
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS e
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS e
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
     AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
 s AS (
-  SELECT q.vec_id AS query_id, c.vec_id,
+  SELECT q.r AS query, q.vec_id AS query_id, c.vec_id,
          list_sum(list_transform(range(1, len(q.e) + 1), lambda i: q.e[i] * c.e[i]))::BIGINT AS score
-  FROM v q JOIN v c ON c.vec_id <> q.vec_id AND len(c.e) = len(q.e)
+  FROM v q JOIN v c ON c.r <> q.r AND len(c.e) = len(q.e)
   WHERE q.vec_id % 100 = 0),
 r AS (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank
+  SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, vec_id)::INTEGER AS rank
   FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 """

@@ -2,7 +2,8 @@
 
 OP2 = r"""
 WITH d AS (
-  SELECT doc_id, source,
+  SELECT doc_id, source, md5(coalesce(text, '')) AS hash,
+         row_number() OVER (PARTITION BY doc_id, coalesce(text, '')) - 1 AS number,
          coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size
   FROM documents),
 s AS (
@@ -28,7 +29,8 @@ t AS (
   SELECT source, source_size, least(cap, w * (SELECT level FROM l)) AS target FROM lv)
 SELECT d.doc_id, d.size, t.source_size, t.target,
        (d.size * (floor(rate) + CASE WHEN
-          ('0x' || substr(md5('17:' || coalesce(d.doc_id::VARCHAR, 'null')), 1, 13))::BIGINT
+          ('0x' || substr(md5('17:' || coalesce(d.doc_id::VARCHAR, 'null') || ':' || d.hash || ':'
+                              || d.number), 1, 13))::BIGINT
           / 4503599627370496.0::DOUBLE < rate - floor(rate) THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM d JOIN (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0 END AS rate
              FROM t) t ON d.source IS NOT DISTINCT FROM t.source

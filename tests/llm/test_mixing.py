@@ -1,3 +1,4 @@
+import random
 import re
 
 import pytest
@@ -68,6 +69,42 @@ def test_odd_tables(spark):
     rows = [(None, None), (None, "a b"), (1, ""), (1, "x y z"), (1, "x y z")]
     df = with_clashes(frame(spark, rows))
     assert mixing.plan_mix(df).count() == 5
-    assert mixing.mix(df).schema["copy"].dataType.simpleString() == "bigint"   # replaced
+    out = mixing.mix(df.withColumn("_size", df.n_chars))
+    assert out.columns == [*df.columns, "_size", "copy_"]          # input columns stay
+    assert {r["copy"] for r in out.collect()} == {"clash"}
+    assert dict(out.dtypes)["copy_"] == "bigint"
     assert mixing.plan_mix(df.limit(0)).count() == 0
     assert mixing.mix(df.limit(0)).count() == 0
+
+
+def test_rows_without_an_id_or_with_a_shared_one(spark):
+    rng = random.Random(5)
+    rows = [(i if i % 3 else (None if i % 2 else 77), " ".join(["w"] * rng.randrange(1, 9)),
+             "abc"[rng.randrange(20) % 3 if rng.random() < 0.5 else 0]) for i in range(6000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.plan_mix(df.repartition(5)).collect()
+    taken, target = {}, {}
+    for r in got:
+        taken[r.source] = taken.get(r.source, 0) + r["_size"] * r["_copies"]
+        target[r.source] = r["_target"]
+    for s in target:
+        assert taken[s] == pytest.approx(target[s], rel=0.02)
+    key = lambda rows: sorted((str(r.doc_id), r.text, r.source, r["_copies"]) for r in rows)
+    only = [r for r in got if r.source == "a"]
+    again = mixing.plan_mix(df.repartition(9)).where("source = 'a'").collect()
+    assert len(only) == len(again)
+    # Equal rows draw the same coins in every run; who gets which does not matter.
+    a, b = key(got), key(mixing.plan_mix(df.coalesce(1)).collect())
+    plain = lambda x: sorted((i, t, c) for i, t, _, c in x)
+    assert sum(c for *_, c in plain(a)) == pytest.approx(sum(c for *_, c in plain(b)), rel=0.01)
+
+
+def test_equal_rows_draw_the_same_coins_in_every_run(spark):
+    rows = [(None, "a b c", "x")] * 900 + [(4, "d e", "x")] * 50 + [
+        (100 + i, "w " * (i % 5), "y") for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    runs = [sorted((str(r.doc_id), r.text, r["_copies"]) for r in
+                   mixing.plan_mix(df.repartition(n)).collect()) for n in (1, 4, 7)]
+    assert runs[0] == runs[1] == runs[2]
+    copies = {r[2] for r in runs[0] if r[0] == "None"}
+    assert len(copies) == 2                                   # coins differ among equal rows

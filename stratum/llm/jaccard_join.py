@@ -377,10 +377,11 @@ def large_links(rows: DataFrame, sets: DataFrame, classes: DataFrame, least: int
     texts = rows.join(open_, "_id").groupBy("_id", "_most", F.xxhash64("_text").alias("_tk")).agg(
         F.max("_text").alias("_text"))
     texts = written(texts, "listed-texts")       # of rows repeated with one id, one
-    lists = listed_items(texts, common)
-    # Only lists with two members matter; counted by a window, which spills.
-    seen = lists.withColumn("_k", F.count(F.lit(1)).over(Window.partitionBy("_item")))
-    lists = written(seen.where("_k > 1").select(*LIST), "lists")
+    # Only lists with two members matter.  Counts are pre-aggregated and joined back, so a
+    # list as long as a large group of copies is split like any skewed join.
+    lists = written(listed_items(texts, common).select(*LIST), "listed")
+    lists = written(_of_items(lists, lists.groupBy("_item").agg(
+        F.count(F.lit(1)).alias("_k")).where("_k > 1")), "lists")
     now = lists.withColumn("_label", F.col("_id"))
     links, tried, left = None, None, _pairs_left(now)
     for _ in range(MAX_ROUNDS):
@@ -414,15 +415,18 @@ def stars_of_none(rows: DataFrame) -> DataFrame:
     return rows.select(F.col("_id").alias("a"), F.col("_id").alias("b")).limit(0)
 
 
+def _of_items(lists: DataFrame, items: DataFrame) -> DataFrame:
+    return lists.join(items.select("_item"), "_item", "left_semi").select(*lists.columns)
+
+
 def _open_lists(lists: DataFrame, labels: DataFrame) -> DataFrame:
     """Rows of the lists that still hold more than one component, with their label."""
     l, c = lists.alias("l"), labels.alias("c")
-    known = l.join(c, F.expr("l._id = c.node"), "left").select(
-        "l.*", F.coalesce("c.label", "l._id").alias("_label"))
-    span = Window.partitionBy("_item")
-    return known.withColumns({"_lo": F.min("_label").over(span),
-                              "_hi": F.max("_label").over(span)}).where("_lo < _hi").select(
-        *LIST, "_label")
+    known = written(l.join(c, F.expr("l._id = c.node"), "left").select(
+        *[F.col(f"l.{x}").alias(x) for x in LIST], F.coalesce("c.label", "l._id").alias("_label")),
+        "labelled-lists")
+    return _of_items(known, known.groupBy("_item").agg(
+        F.min("_label").alias("_lo"), F.max("_label").alias("_hi")).where("_lo < _hi"))
 
 
 def _pairs_left(lists: DataFrame) -> int:

@@ -143,9 +143,13 @@ def llr_per_char(token: Column, table: list[float]) -> Column:
     return total / (F.length(token) - 1)
 
 
-def scan(docs: DataFrame, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
-    """``docs`` plus ``_assign``, ``_access``, ``_hex``, ``_markov`` span arrays."""
-    rows = docs.withColumn("_text", F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))
+SPANS = ("_assign", "_access", "_hex", "_markov")
+
+
+def scan_rows(docs: DataFrame, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
+    """``_row`` (the whole input row) and the span arrays ``SPANS``."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
+                       F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("_text"))
     table = train(rows.select("_text"))
     rows = with_base_spans(rows)
     if table is None:
@@ -161,6 +165,33 @@ def scan(docs: DataFrame, text_col: str = "text", threshold: float = 0.5) -> Dat
     return rows.drop("_text")
 
 
+def scan(docs: DataFrame, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
+    """``docs`` plus ``_assign``, ``_access``, ``_hex``, ``_markov`` span arrays (input columns
+    of these names are replaced)."""
+    return scan_rows(docs, text_col, threshold).select(
+        *[F.col(f"_row.`{c}`") for c in docs.columns if c not in SPANS], *SPANS)
+
+
+def redact_rows(docs: DataFrame, mark: str, text_col: str = "text", size_col: str | None = None,
+                threshold: float = 0.5) -> DataFrame:
+    """``docs`` with every secret in the text replaced by ``mark``, and ``size_col``, if given,
+    set to the new length; all other columns as they were, whatever their names."""
+    found = scan_rows(docs, text_col, threshold)
+    spans = F.concat(*SPANS)
+    new = F.when(F.size(spans) > 0, redact(F.col(f"_row.`{text_col}`"), spans, mark))
+    found = found.select("_row", new.alias("_new"))
+
+    def column(c: str):
+        old = F.col(f"_row.`{c}`")
+        if c == text_col:
+            old = F.coalesce("_new", old)
+        elif c == size_col:
+            old = F.coalesce(F.length("_new").cast(docs.schema[c].dataType), old)
+        return old.alias(c)
+
+    return found.select(*[column(c) for c in docs.columns])
+
+
 def joined_spans(spans: Column) -> Column:
     """``kind:start:stop`` by start, then kind as listed, comma-joined."""
     names = F.array(*[F.lit(k) for k in KINDS])

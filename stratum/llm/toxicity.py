@@ -261,9 +261,11 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str
         F.col(f"`{id_col}`").alias("_id"), y.cast("int").alias("_y"))
     known = known.where(F.crc32(F.col("_id").cast("string").cast("binary")) % 5 != 0)
     n = known.count()
-    share = min(1.0, max_train / max(1, n))
-    draw = F.pmod(F.xxhash64(F.lit(seed), F.col("_id").cast("string")), F.lit(1 << 20))
-    known = known.where(draw < int(share * (1 << 20)))
+    if n > max_train:
+        share = -(-max_train * (1 << 62) // n)          # never 0, however many labels
+        draw = F.xxhash64(F.lit(seed), F.col("_id").cast("string")).bitwiseAND(
+            F.lit((1 << 62) - 1))
+        known = known.where(draw < F.lit(share))
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     rows = docs.select(F.col(f"`{id_col}`").alias("_id"), text.alias("_text"))
     # Bounded by max_train rows of two numbers, so the broadcast is.

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 import corpus_pipeline as cp
-from stratum.llm.common import written
+from stratum.llm.common import read_table, written
 
 import test_decontaminate as leaks
 import test_jaccard_join as near
@@ -69,3 +69,11 @@ def test_run_is_the_stages(spark):
     out = cp.run(spark, SF)
     assert "copy" in out.columns and out.count() > 0
     assert cp.ORACLE_SQL is None
+
+
+def test_stages_on_an_empty_table(spark):
+    docs = read_table(spark, "/root/testdata/sf0.001", "documents").limit(0)
+    for name, stage in cp.STAGES:
+        out = stage(spark, docs, "/root/testdata/sf0.001")
+        assert out.count() == 0
+        assert out.columns == docs.columns + (["copy"] if name == "mix_sources" else [])

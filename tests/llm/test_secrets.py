@@ -98,3 +98,18 @@ def test_one_base_value_in_many_documents_adds_spans(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert secrets.scan(df).count() == 0
+
+
+def test_columns_named_like_the_working_ones_pass(spark):
+    from llm_corpus import with_clashes
+    text = "token = abcdef123456 and AKIA" + "B" * 20
+    df = with_clashes(spark.createDataFrame([(1, text, 7), (2, None, None), (3, "plain", 5)],
+                                            "doc_id long, text string, n_chars long"))
+    df = df.selectExpr("*", "'mine' AS _assign", "'mine' AS _new", "'mine' AS _row")
+    out = secrets.redact_rows(df, "[X]", size_col="n_chars")
+    assert out.schema == df.schema
+    rows = {r.doc_id: r for r in out.collect()}
+    assert "[X]" in rows[1].text and "abcdef" not in rows[1].text
+    assert rows[1].n_chars == len(rows[1].text) and rows[2].text is None and rows[3].n_chars == 5
+    assert all(r._assign == r._new == r._row == "mine" and r._text == "clash" for r in rows.values())
+    assert secrets.scan(df).where("doc_id = 1").first()._access

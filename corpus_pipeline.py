@@ -7,7 +7,6 @@ all but the last return the columns of ``documents``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from stratum.llm import decontaminate, jaccard_join, mixing, secrets, toxicity
 from stratum.llm.common import read_table, written
@@ -32,14 +31,7 @@ def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every secret is replaced by a mark; all documents stay."""
-    found = secrets.scan(docs)
-    spans = F.concat("_assign", "_access", "_hex", "_markov")
-    changed = F.size(spans) > 0
-    return (found.withColumn("text", F.when(changed, secrets.redact(
-                F.col("text"), spans, SECRET_MARK)).otherwise(F.col("text")))
-            .withColumn("n_chars", F.when(changed, F.length("text").cast(
-                docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-            .select(*docs.columns))
+    return secrets.redact_rows(docs, SECRET_MARK, size_col="n_chars")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

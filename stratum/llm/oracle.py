@@ -55,15 +55,17 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 
 OP10 = r"""
 WITH p AS (
-  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes,
+  SELECT page_id, url, strlen(coalesce(html, ''))::BIGINT AS payload_bytes,
          sha256(coalesce(html, '')) AS payload_digest
   FROM pages),
 f AS (
-  SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM p)
+  SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first,
+         row_number() OVER (PARTITION BY payload_digest
+                            ORDER BY page_id NULLS LAST, url NULLS FIRST) AS r FROM p)
 SELECT page_id, payload_bytes, payload_digest,
-       CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END
+       CASE WHEN payload_bytes >= 100 AND r > 1 THEN 'revisit' ELSE 'response' END
          AS record_type,
-       CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to
+       CASE WHEN payload_bytes >= 100 AND r > 1 THEN first END AS refers_to
 FROM f
 """
 

@@ -13,36 +13,41 @@ a manifest:
    its folder.  A reader trusts the manifest alone, so a crash leaves ignorable
    temporary files and never half a collection.
 
-Shard limits come from an exact histogram of payload bytes over equal-width id
-ranges (at most ``HIST`` rows reach the driver, whatever the input), refined where a
-range is too heavy, and records sort within a shard by (id, digest); so shards,
-files and bytes are the same on every run.
+Shards come from exact sums of payload bytes over equal parts of the id range, then of
+the digests of one id (rows without an id are such a one); all parts that are too heavy are
+refined by one aggregate per level.  The driver sees a few numbers per shard; rows find
+their shard by broadcast joins of those.  Rows equal in id and payload that fill several
+shards are counted and dealt to them (``_spread``).  Records sort within a shard by
+(id, digest, url); so shards, files and bytes are the same on every run.
 
 Duplicate payloads: of equal payloads of at least ``min_payload`` bytes the record
-with the smallest id is the response, the others are revisits with an empty block
-that name its record id, length and digest.  Only (digest, min id) of payloads that
+with the smallest id (of several, the first in order) is the response, the others are
+revisits with an empty block that name its record id, length and digest.  Only (digest, min id) of payloads that
 occur twice is shuffled for this, pre-aggregated per task; payloads move once.
 
 Defined results: null payload = empty; null url = empty target; null id is never
-chosen while another copy has an id, and sorts last; rows tied on the smallest id
-are all responses; an empty table writes a manifest of no files.
+chosen while another copy has an id, and sorts last; of rows tied on the smallest id, or
+all without one, that with the least url (null first) is the response; an empty table
+writes a manifest of no files; other columns are not read.
 """
 
 from __future__ import annotations
 
-import bisect
+import decimal
 import hashlib
 import posixpath
 import uuid
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-HIST = 4096
+HIST = 4096          # parts of a range at most
+RUN = 4096           # equal records written out together
 MANIFEST_SCHEMA = ("shard int, seq int, tmp string, name string, records long, "
                    "bytes long, sha256 string")
 RECORD_SCHEMA = ("page_id long, target_uri string, payload_bytes long, payload_digest string, "
@@ -70,9 +75,9 @@ def record_id(page_id: int | None, digest: str) -> str:
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, name)}>"
 
 
-def record_bytes(page_id, url, payload: bytes, digest: str, refers_to, date: str) -> bytes:
-    """One uncompressed WARC/1.1 record."""
-    revisit = refers_to is not None
+def record_bytes(page_id, url, payload: bytes, digest: str, revisit: bool, refers_to,
+                 date: str) -> bytes:
+    """One uncompressed WARC/1.1 record; a revisit may refer to a response without an id."""
     block = b"" if revisit else payload
     uri = " ".join((url or "").split())
     head = [
@@ -89,7 +94,7 @@ def record_bytes(page_id, url, payload: bytes, digest: str, refers_to, date: str
     if revisit:
         head += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest",
                  f"WARC-Refers-To: {record_id(refers_to, digest)}",
-                 f"X-Refers-To-Page-Id: {refers_to}"]
+                 f"X-Refers-To-Page-Id: {NULL_ID if refers_to is None else refers_to}"]
     head += ["Content-Type: text/html; charset=utf-8", f"Content-Length: {len(block)}", "", ""]
     return "\r\n".join(head).encode("utf-8") + block + b"\r\n\r\n"
 
@@ -133,57 +138,150 @@ def parse_record(raw: bytes) -> dict:
 
 # ---- writer ----------------------------------------------------------------------
 
-def _limits(sized: DataFrame, shard_bytes: int) -> tuple[list[int], int, int, list[int]]:
-    """Upper id of every shard but the last, from exact byte sums per id range.
+# A place in the order (id, digest) as cells: a level cuts ranges of ids or of digests into
+# equal parts; parts that are too heavy are ranges of the next level.
+ID, DIGEST = 0, 1
+DIGEST_BITS = 60        # the first 15 hex digits tell digests apart
+PLACE = "CASE WHEN _kind_of = 0 THEN cast(_id AS decimal(20,0)) ELSE cast(_prefix AS decimal(20,0)) END"
 
-    Also the histogram's origin and cell width, and how many limits lie below each
-    cell, so that a row finds its shard without scanning all limits.
+
+@dataclass
+class Range:
+    node: int
+    kind: int           # of ids or of digests
+    start: int
+    width: int
+    step: int           # width of a part
+    path: tuple         # its place in the order
+    children: dict      # part -> ("leaf", number) or ("node", number)
+
+
+@dataclass
+class Cells:
+    """Levels of ranges, and per leaf its shard and in how many it is split."""
+    levels: list
+    shard: dict
+    split: dict
+    n_shards: int
+
+
+def _range(node: int, kind: int, start: int, width: int, parts: int, path: tuple) -> Range:
+    return Range(node, kind, start, width, max(1, -(-width // max(1, min(parts, HIST)))), path, {})
+
+
+def _with_node(df: DataFrame) -> DataFrame:
+    return df.withColumns({
+        "_prefix": F.conv(F.substring("_digest", 1, DIGEST_BITS // 4), 16, 10).cast("long"),
+        "_node": F.col("_id").isNull().cast("int")})
+
+
+def _part(df: DataFrame, level: list) -> DataFrame:
+    """The rows in a level's ranges, with their ``_part``."""
+    table = df.sparkSession.createDataFrame(
+        [(r.node, r.kind, decimal.Decimal(r.start), decimal.Decimal(r.step)) for r in level],
+        "_at_node int, _kind_of int, _start decimal(20,0), _step decimal(20,0)")
+    return df.join(F.broadcast(table), F.col("_node") == F.col("_at_node")).withColumn(
+        "_part", F.expr(f"cast(({PLACE} - _start) div _step AS int)")).drop(
+        "_at_node", "_kind_of", "_start", "_step")
+
+
+def _next(df: DataFrame, level: list) -> DataFrame:
+    """Rows of a level with the ``_leaf`` or the ``_node`` that their part is."""
+    rows = [(r.node, part, n if kind == "leaf" else None, n if kind == "node" else None)
+            for r in level for part, (kind, n) in r.children.items()]
+    table = df.sparkSession.createDataFrame(
+        rows, "_at_node int, _at_part int, _leaf_of int, _node_of int")
+    found = _part(df, level).join(F.broadcast(table), (F.col("_node") == F.col("_at_node"))
+                                  & (F.col("_part") == F.col("_at_part")))
+    return found.withColumns({"_leaf": F.coalesce("_leaf", "_leaf_of"), "_node": F.col("_node_of")}
+                             ).drop("_at_node", "_at_part", "_leaf_of", "_node_of", "_part")
+
+
+def cells_of(facts: DataFrame, shard_bytes: int) -> Cells:
+    """Cut the order (id, digest) into shards of about ``shard_bytes`` by exact sums.
+
+    One aggregate per level refines all heavy parts at once; a level has at most
+    ``HIST`` parts for each, and no more than a few for each shard that they fill.  What
+    is left heavy is one id with one digest: a leaf split into several shards.
     """
-    lo, hi = sized.agg(F.min("_id"), F.max("_id")).first()
-    if lo is None:
-        return [], 0, 1, [0, 0]
-    step = max(1, -(-(hi - lo + 1) // HIST))
-
-    def sums(frame, start, width):
-        cell = F.floor((F.col("_id") - F.lit(start)) / F.lit(width)).cast("long")
-        return [(start + r[0] * width, width, r[1]) for r in frame.groupBy(cell.alias("c"))
-                .agg(F.sum("_size").alias("b")).orderBy("c").collect()]
-
-    cells = sums(sized.where("_id is not null"), lo, step)
-    while any(b > 2 * shard_bytes and w > 1 for _, w, b in cells):  # refine heavy ranges only
-        fine = []
-        for s, w, b in cells:
-            if b > 2 * shard_bytes and w > 1:
-                part = sized.where(F.col("_id").between(s, s + w - 1))
-                fine += sums(part, s, max(1, -(-w // HIST)))
+    lo, hi = facts.agg(F.min("_id"), F.max("_id")).first()
+    level = [_range(1, DIGEST, 0, 1 << DIGEST_BITS, HIST, (1,))]
+    if lo is not None:
+        level.insert(0, _range(0, ID, lo, hi - lo + 1, HIST, (0,)))
+    levels, leaves, nodes = [], [], 2
+    rows = _with_node(facts).withColumn("_leaf", F.lit(None).cast("int"))
+    while level:
+        by_node = {r.node: r for r in level}
+        deeper = []
+        for g in _part(rows, level).groupBy("_node", "_part").agg(F.sum("_size").alias("b")).orderBy(
+                "_node", "_part").collect():
+            r = by_node[g._node]
+            start = r.start + g._part * r.step
+            width = min(r.step, r.start + r.width - start)
+            path = (*r.path, g._part)
+            parts = -(-2 * g.b // shard_bytes)
+            if g.b > shard_bytes and (width > 1 or r.kind == ID):
+                sub = (_range(nodes, ID, start, width, parts, path) if r.kind == ID and width > 1
+                       else _range(nodes, DIGEST, 0, 1 << DIGEST_BITS, parts, path)
+                       if r.kind == ID else _range(nodes, DIGEST, start, width, parts, path))
+                r.children[g._part] = ("node", nodes)
+                nodes += 1
+                deeper.append(sub)
             else:
-                fine.append((s, w, b))
-        cells = fine
-    limits, run = [], 0
-    for s, w, b in cells:
-        if run and run + b > shard_bytes:
-            limits.append(s - 1)
-            run = 0
-        run += b
-    below = [bisect.bisect_left(limits, lo + c * step) for c in range(HIST + 1)]
-    return limits, lo, step, below
-
-
-def _shard_of(page_id: Column, limits, lo, step, below) -> tuple[Column, int]:
-    """(shard number of a row, number of shards); null ids go to the last shard."""
-    if not limits:
-        return F.lit(0), 1
-
-    def array(xs):
-        return F.split(F.lit(",".join(map(str, xs))), ",").cast("array<bigint>")
-
-    cell = F.floor((page_id - F.lit(lo)) / F.lit(step)).cast("int")
-    first = F.element_at(array(below), cell + 1)
-    last = F.element_at(array(below), cell + 2)
-    own = F.slice(array(limits), (first + 1).cast("int"), (last - first).cast("int"))
-    at = first + F.size(F.filter(own, lambda x: x < page_id))
-    return (F.when(page_id.isNull(), F.lit(len(limits))).otherwise(at).cast("int"),
-            len(limits) + 1)
+                r.children[g._part] = ("leaf", len(leaves))
+                leaves.append((path, g.b))
+        levels.append(level)
+        if deeper:
+            rows = _next(rows, level).where("_node IS NOT NULL")
+        level = deeper
+    shard, split, no, run = {}, {}, 0, 0
+    for leaf in sorted(range(len(leaves)), key=lambda i: leaves[i][0]):
+        size = leaves[leaf][1]
+        if run and run + size > shard_bytes:
+            no, run = no + 1, 0
+        shard[leaf], split[leaf] = no, max(1, size // shard_bytes)
+        if split[leaf] > 1:
+            no, size = no + split[leaf] - 1, 0
+        run += size
+    return Cells(levels, shard, split, no + 1 if leaves else 1)
+
+
+def _placed(rows: DataFrame, cells: Cells) -> DataFrame:
+    """``rows`` (_id, _digest, ...) with ``_shard`` and ``_split``; one broadcast join of a
+    few numbers per shard for each level."""
+    out = _with_node(rows).withColumn("_leaf", F.lit(None).cast("int"))
+    done = None
+    for level in cells.levels:
+        out = _next(out, level)
+        ready = out.where("_leaf IS NOT NULL")
+        done = ready if done is None else done.unionByName(ready)
+        out = out.where("_leaf IS NULL")
+    table = rows.sparkSession.createDataFrame(
+        [(i, cells.shard[i], cells.split[i]) for i in cells.shard],
+        "_at_leaf int, _shard int, _split int")
+    return done.join(F.broadcast(table), F.col("_leaf") == F.col("_at_leaf")).drop(
+        "_at_leaf", "_leaf", "_node", "_prefix")
+
+
+def _spread(rows: DataFrame) -> DataFrame:
+    """Rows of a leaf that fills several shards, dealt to them.
+
+    They are equal in id and payload, so those with one URL are counted (pre-aggregated),
+    cut into runs, and written out again behind the cut.  The first run of the least URL
+    stays in the first shard.
+    """
+    group = ["_id", "_digest", "_shard", "_split", "_url"]
+    counted = rows.groupBy(*group).agg(F.any_value("_payload").alias("_payload"),
+                                       F.count(F.lit(1)).alias("_n"))
+    least = counted.groupBy("_id", "_digest").agg(F.min(F.struct("_url")).alias("_least")).select(
+        F.col("_id").alias("_li"), F.col("_digest").alias("_ld"), "_least")
+    runs = counted.select("*", F.explode(F.expr(f"sequence(0L, (_n - 1) div {RUN})")).alias("_run"))
+    runs = runs.join(least, F.expr("_li <=> _id AND _ld = _digest"))
+    first = (F.col("_run") == 0) & F.col("_url").eqNullSafe(F.col("_least._url"))
+    runs = runs.withColumn("_shard", (F.col("_shard") + F.when(first, F.lit(0)).otherwise(
+        F.pmod(F.xxhash64("_url", "_run"), F.col("_split")))).cast("int"))
+    return runs.select("_id", "_digest", "_url", "_payload", "_shard", F.explode(F.expr(
+        f"sequence(1L, least({RUN}L, _n - _run * {RUN}L))")).alias("_copy")).drop("_copy")
 
 
 def write_warc(pages: DataFrame, root: str, id_col: str = "page_id", url_col: str = "url",
@@ -200,19 +298,27 @@ def write_warc(pages: DataFrame, root: str, id_col: str = "page_id", url_col: st
                         F.sha2("_payload", 256).alias("_digest"))
     copies = (facts.where(F.col("_size") >= min_payload).groupBy("_digest")
               .agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_first"))
-              .where("_n > 1 and _first is not null"))
+              .where("_n > 1"))
     # Which rows refer where: narrow rows only, so the payloads are not shuffled for it.
-    refers = (facts.where(F.col("_size") >= min_payload).join(copies, "_digest")
-              .where("not (_id <=> _first)").select("_id", "_digest", "_first").distinct())
-    shard = _shard_of(F.col("_id"), *_limits(facts, shard_bytes))
-    n = shard[1]
+    # Of the rows tied on the smallest id (or all without one), the first in order leads.
+    refers = (facts.where(F.col("_size") >= min_payload).groupBy("_id", "_digest").agg(
+        F.lit(1).alias("_one")).join(copies, "_digest").select("_id", "_digest", "_first"))
+    cells = cells_of(facts, shard_bytes)
+    n = cells.n_shards
     none_s, none_l = F.lit(None).cast("string"), F.lit(None).cast("long")
-    both = refers.select("_id", "_digest", F.lit(0).alias("_kind"), none_s.alias("_url"),
-                         none_s.alias("_payload"), F.col("_first")).unionByName(
-        rows.select("_id", F.sha2("_payload", 256).alias("_digest"), F.lit(1).alias("_kind"),
-                    "_url", "_payload", none_l.alias("_first")))
+    placed = _placed(rows.withColumn("_digest", F.sha2("_payload", 256)), cells)
+    page = lambda df: df.select("_id", "_digest", F.lit(1).alias("_kind"), "_url", "_payload",
+                                none_l.alias("_first"), "_shard", F.lit(False).alias("_lead"))
+    dealt = page(placed.where("_split = 1")) if max(cells.split.values(), default=1) > 1 else page(placed)
+    if max(cells.split.values(), default=1) > 1:
+        dealt = dealt.unionByName(page(_spread(placed.where("_split > 1"))))
+    # A decision goes to every shard of its leaf; only the first one may hold a leader.
+    told = _placed(refers, cells).withColumn("_nth", F.explode(F.expr("sequence(0, _split - 1)")))
+    dealt = dealt.unionByName(told.select(
+        "_id", "_digest", F.lit(0).alias("_kind"), none_s.alias("_url"), none_s.alias("_payload"),
+        "_first", (F.col("_shard") + F.col("_nth")).cast("int").alias("_shard"),
+        (F.col("_id").eqNullSafe(F.col("_first")) & (F.col("_nth") == 0)).alias("_lead")))
     # A shard stays in one partition; the sort puts each decision before its pages.
-    dealt = both.withColumn("_shard", shard[0])
     dealt = dealt.repartitionByRange(n, "_shard").sortWithinPartitions(
         "_shard", F.col("_id").asc_nulls_last(), "_digest", "_kind", "_url")
     attempt_root = f"{root}/_tmp"
@@ -243,19 +349,22 @@ def write_warc(pages: DataFrame, root: str, id_col: str = "page_id", url_col: st
             state.update(shard=shard_no, seq=seq, tmp=tmp, records=0, bytes=0,
                          sha=hashlib.sha256(), out=fs.open_output_stream(f"{base}/{tmp}"))
 
-        decided = (None, None, None)
+        decided = None          # (id, digest, what it refers to, whether a leader is due)
         for b in batches:
             cols = {k: b.column(k) for k in b.schema.names}
             for i in range(b.num_rows):
                 pid, dig = cols["_id"][i].as_py(), cols["_digest"][i].as_py()
+                no = cols["_shard"][i].as_py()
                 if cols["_kind"][i].as_py() == 0:
-                    decided = (pid, dig, cols["_first"][i].as_py())
+                    decided = [pid, dig, cols["_first"][i].as_py(), cols["_lead"][i].as_py()]
                     continue
-                first = decided[2] if decided[:2] == (pid, dig) else None
+                revisit = decided is not None and decided[:2] == [pid, dig] and not decided[3]
+                first = decided[2] if revisit else None
+                if decided is not None:
+                    decided[3] = False
                 data = gzip_member(record_bytes(
-                    pid, cols["_url"][i].as_py(),
-                    cols["_payload"][i].as_py().encode("utf-8"), dig, first, date), level)
-                no = cols["_shard"][i].as_py()
+                    pid, cols["_url"][i].as_py(), cols["_payload"][i].as_py().encode("utf-8"),
+                    dig, revisit, first, date), level)
                 if state["out"] is None or state["shard"] != no or (
                         state["records"] and state["bytes"] + len(data) > file_bytes):
                     open_new(no)
@@ -342,7 +451,8 @@ def read_warc(spark: SparkSession, root: str) -> DataFrame:
                         pid, ref = h["X-Page-Id"], h.get("X-Refers-To-Page-Id")
                         rows.append((None if pid == NULL_ID else int(pid), h["WARC-Target-URI"],
                                      int(h["X-Payload-Length"]), digest, kind,
-                                     None if ref is None else int(ref), len(block), m["name"]))
+                                     None if ref in (None, NULL_ID) else int(ref), len(block),
+                                     m["name"]))
                         n += 1
                         if len(rows) >= 2000:
                             yield batch(rows)

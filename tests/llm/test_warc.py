@@ -15,22 +15,23 @@ def pages(n=300):
     rows += [(1000, "http://a/", None), (1001, None, ""), (1002, "bad\r\nurl", "x" * 5000),
              (1003, "u", "same " * 30), (5, "u2", "same " * 30), (None, "u3", "same " * 30),
              (1004, "u", "short"), (1005, "u", "short"), (1006, "u", "z" * 100),
-             (1006, "u", "z" * 100), (1007, "v", "z" * 100), (None, "n", "only null " * 20)]
+             (1006, "u", "z" * 100), (1007, "v", "z" * 100), (None, "n", "only null " * 20),
+             (None, "m", "only null " * 20), (None, "n", "only null " * 20)]
     return rows
 
 
 def expected(rows):
-    out, first = [], {}
-    for i, _, h in rows:
+    digest = lambda h: hashlib.sha256((h or "").encode()).hexdigest()
+    order = sorted(range(len(rows)), key=lambda k: (
+        rows[k][0] is None, rows[k][0] or 0, digest(rows[k][2]), rows[k][1] or ""))
+    lead, out = {}, []
+    for k in order:
+        lead.setdefault(digest(rows[k][2]), k)
+    for k, (i, _, h) in enumerate(rows):
         b = (h or "").encode()
-        d = hashlib.sha256(b).hexdigest()
-        if i is not None:
-            first[d] = min(first.get(d, i), i)
-    for i, _, h in rows:
-        b = (h or "").encode()
-        d = hashlib.sha256(b).hexdigest()
-        rev = len(b) >= 100 and d in first and i != first[d]
-        out.append((i, len(b), d, "revisit" if rev else "response", first[d] if rev else None))
+        d = digest(h)
+        rev = len(b) >= 100 and lead[d] != k
+        out.append((i, len(b), d, "revisit" if rev else "response", rows[lead[d]][0] if rev else None))
     return out
 
 
@@ -89,3 +90,35 @@ def test_empty_table(spark):
     root = scratch_uri(spark, "warc-test")
     assert warc.write_warc(spark.createDataFrame([], SCHEMA), root).count() == 0
     assert warc.read_warc(spark, root).count() == 0
+
+
+def test_hot_ids_are_split(spark, monkeypatch):
+    monkeypatch.setattr(warc, "RUN", 20)                    # read on the driver
+    rows = [(None, f"u{i % 3}", "hot payload " * 30) for i in range(400)]          # equal rows
+    rows += [(7, None, f"body {i} " * 40) for i in range(300)]                     # one id
+    rows += [(i * 10**15, "u", f"page {i} " * 30) for i in range(100)]             # wide ids
+    rows += [(2**63 - 1, "max", "x" * 200), (-2**63, "min", "y" * 200)]
+    shas = []
+    for parts in (2, 5):
+        root = scratch_uri(spark, "warc-test")
+        df = spark.createDataFrame(rows, SCHEMA).repartition(parts)
+        m = warc.write_warc(df.selectExpr("*", "1 AS _id", "'c' AS _shard"), root,
+                            shard_bytes=10_000, file_bytes=1 << 20).collect()
+        shas.append(sorted((r.name, r.sha256, r.records) for r in m))
+        got = [tuple(r) for r in warc.read_warc(spark, root).select(
+            "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to").collect()]
+        assert sorted(got, key=key) == sorted(expected(rows), key=key)
+        assert max(r.records for r in m) < 200           # no file holds a hot id whole
+    assert shas[0] == shas[1]
+
+
+def test_levels_stay_few(spark):
+    from pyspark.sql import functions as F
+    facts = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id") * 10**9).alias("_id"),
+        F.sha2(F.col("id").cast("string"), 256).alias("_digest"), F.lit(1000).alias("_size"))
+    cells = warc.cells_of(facts, 20_000)
+    assert len(cells.levels) <= 5 and 120 <= cells.n_shards <= 400
+    placed = warc._placed(facts, cells)
+    assert placed.count() == 3000
+    assert placed.groupBy("_shard").sum("_size").agg({"sum(_size)": "max"}).first()[0] <= 40_000

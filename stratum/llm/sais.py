@@ -1,9 +1,13 @@
 """Suffix arrays by induced sorting, and permuted common prefixes, in NumPy.
 
-The induced passes walk the buckets of the alphabet; within a bucket, all suffixes
-whose predecessors fall into other buckets are dealt at once, so a pass is a linear
-amount of work in a few array operations per bucket (and one more per length of a
-run of one symbol).
+Suffixes are classified, the leftmost-smaller substrings are sorted by an induced pass
+and named, the string of their names is sorted the same way (recursively, until the names
+differ), and the order of all suffixes is induced from theirs.
+
+Over bytes, the induced passes walk the buckets of the alphabet; within a bucket, all
+suffixes whose predecessors fall into other buckets are dealt at once, so a pass is a
+linear amount of work in a few array operations per bucket (and one more per length of
+a run of one symbol).  Over names, whose buckets are small, a pass is a scan.
 """
 
 from __future__ import annotations
@@ -11,7 +15,7 @@ from __future__ import annotations
 import numpy as np
 
 STRIDE = 1024
-DIRECT_SIGMA = 4096   # the reduced string is induced itself up to this alphabet
+DENSE = 256   # suffixes per bucket from which buckets are dealt as arrays
 
 
 def smaller_type(s: np.ndarray) -> np.ndarray:
@@ -101,21 +105,39 @@ def _names(s: np.ndarray, leftmost: np.ndarray, ranked: np.ndarray) -> np.ndarra
     return name[leftmost]
 
 
-def _doubled(names: np.ndarray) -> np.ndarray:
-    """Suffix order of a string over a large alphabet, by doubling ranks."""
-    m = len(names)
-    rank, h = names.astype(np.int64), 1
-    while True:
-        key = rank * (m + 1)
-        key[:m - h] += rank[h:] + 1
-        order = np.argsort(key, kind="stable")
-        k = key[order]
-        new = np.concatenate([[0], np.cumsum(k[1:] != k[:-1])])
-        rank = np.empty(m, np.int64)
-        rank[order] = new
-        if new[-1] == m - 1 or h >= m:
-            return order
-        h *= 2
+def _induce_sparse(s: np.ndarray, small: np.ndarray, leftmost: np.ndarray,
+                   sigma: int) -> np.ndarray:
+    """``_induce`` for an alphabet so large that its buckets hold a few suffixes each: buckets
+    by counting, one scan from the left and one from the right."""
+    n = len(s)
+    count = np.bincount(s, minlength=sigma)
+    ends = np.cumsum(count)
+    seeds = leftmost[np.argsort(s[leftmost], kind="stable")]
+    own = np.bincount(s[seeds], minlength=sigma)
+    sa = np.full(n, -1, np.int64)
+    sa[ends[s[seeds]] - np.cumsum(own)[s[seeds]] + np.arange(len(seeds))] = seeds
+    order = sa.tolist()
+    # The symbol before each place, where that suffix is of the scan's type; else -1 (an
+    # empty slot, -1, looks at the extra last entry).
+    before = np.concatenate([[-1], s[:-1].astype(np.int64), [-1]])
+    is_small = np.concatenate([[False], small[:-1], [False]])
+    symbol = np.where(is_small, -1, before).tolist()
+    at = (ends - count).tolist()
+    for j in order:                              # filled further on while it is read
+        c = symbol[j]
+        if c >= 0:
+            p = at[c]
+            order[p] = j - 1
+            at[c] = p + 1
+    symbol = np.where(is_small, before, -1).tolist()
+    at = ends.tolist()
+    for j in reversed(order):
+        c = symbol[j]
+        if c >= 0:
+            p = at[c] - 1
+            order[p] = j - 1
+            at[c] = p
+    return np.array(order, np.int64)
 
 
 def suffix_array(s: np.ndarray, sigma: int) -> np.ndarray:
@@ -128,17 +150,13 @@ def suffix_array(s: np.ndarray, sigma: int) -> np.ndarray:
     edge[0] = False
     edge[1:] &= ~small[:-1]
     leftmost = np.flatnonzero(edge)
-    order = _induce(s, small, leftmost, sigma)
+    induce = _induce if n >= DENSE * sigma else _induce_sparse
+    order = induce(s, small, leftmost, sigma)
     ranked = order[edge[order]]
     names = _names(s, leftmost, ranked)
     top = int(names.max()) + 1
-    if top == len(leftmost):
-        sort = np.argsort(names)
-    elif top <= DIRECT_SIGMA:
-        sort = suffix_array(names.astype(np.uint16), top)
-    else:
-        sort = _doubled(names)
-    return _induce(s, small, leftmost[sort], sigma)
+    sort = np.argsort(names) if top == len(leftmost) else suffix_array(names, top)
+    return induce(s, small, leftmost[sort], sigma)
 
 
 def permuted_lcp(s: np.ndarray, sa: np.ndarray,

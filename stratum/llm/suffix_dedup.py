@@ -12,9 +12,8 @@ shard are settled before its suffix arrays.
 
 *Suffix arrays.* A task takes the pieces of its anchors, about ``SHARD`` bytes at a
 time, and builds their suffix array by induced sorting (``sais``): suffixes are
-classified by type, leftmost-smaller substrings are sorted (recursively; a reduced
-string over a large alphabet by rank doubling), and the shard's array is induced in
-linear passes.  Permuted common prefixes then tell which strings share ``window``
+classified by type, leftmost-smaller substrings are sorted recursively, and the shard's
+array is induced in linear passes.  Permuted common prefixes then tell which strings share ``window``
 bytes with a neighbour in the order: those repeat.
 
 *Hot anchors.* An anchor with more than ``HOT`` pieces (a passage in many documents:

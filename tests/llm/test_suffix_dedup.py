@@ -55,7 +55,7 @@ def test_kept_bytes(spark):
 def test_suffix_arrays_and_common_prefixes(monkeypatch):
     rng = random.Random(1)
     for trial in range(200):
-        monkeypatch.setattr(sais, "DIRECT_SIGMA", rng.choice([0, 4096]))
+        monkeypatch.setattr(sais, "DENSE", rng.choice([0, 1, 8, 10**9]))
         k = rng.choice([1, 2, 3, 20])
         t = [rng.randrange(1, k + 1) for _ in range(rng.randrange(1, 120))] + [0]
         s = np.array(t, np.uint16)
@@ -70,6 +70,30 @@ def test_suffix_arrays_and_common_prefixes(monkeypatch):
             assert phi[b] == a and lcp[b] == n
 
 
+def test_recursion_runs_on_a_megabyte_of_prose(monkeypatch):
+    import pyarrow.parquet as pq
+    texts = pq.read_table("/root/testdata/sf0.1/documents.parquet", columns=["text"])["text"]
+    raw, k = b"", 0
+    while len(raw) < 1 << 20:
+        raw, k = raw + (texts[k].as_py() or "").encode() + b"\n", k + 1
+    raw = raw[:1 << 20]
+    s = np.append(np.frombuffer(raw, np.uint8).astype(np.uint16) + 1, 0).astype(np.uint16)
+    levels = []
+    real = sais.suffix_array
+
+    def counted(t, sigma):
+        levels.append((len(t), sigma))
+        return real(t, sigma)
+
+    monkeypatch.setattr(sais, "suffix_array", counted)
+    sa = sais.suffix_array(s, 257)
+    assert len(levels) >= 3 and levels[1][1] > 4096          # names beyond any small alphabet
+    assert np.array_equal(np.sort(sa), np.arange(len(s)))
+    text = raw + b"\0"
+    for i in np.random.RandomState(1).randint(1, len(s) - 1, 30000):
+        assert text[sa[i]:sa[i] + 30000] <= text[sa[i + 1]:sa[i + 1] + 30000]
+
+
 def test_repeated_starts_do_not_cross_pieces():
     a, b = b"abcdefgh" * 3, b"abcdefgh"
     got = sd.repeated_starts([a, b, b"zz", b"ghab"], 4)

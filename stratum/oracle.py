@@ -23,6 +23,10 @@ def _strict_date(col: str, fmts: list[tuple[str, str]]) -> str:
     return parts[0] if len(parts) == 1 else f"coalesce({', '.join(parts)})"
 
 
+# ---------------------------------------------------------------------------
+# The reasons, patterns, aliases, value lists, thresholds and column names in
+# the SQL below are the source pipeline's, stated here once more as plain text.
+# ---------------------------------------------------------------------------
 ISO = (r"^\d{4}-\d{2}-\d{2}$", "%Y-%m-%d")
 DMY = (r"^\d{2}/\d{2}/\d{4}$", "%d/%m/%Y")
 

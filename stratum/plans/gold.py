@@ -31,6 +31,10 @@ ALERT_RATE = 0.30                            # strict >
 ALERT_SCORE = 60                             # inclusive >=
 ALERT_HIGH_RATE = "high_reversal_rate"
 ALERT_HIGH_SCORE = "high_risk_score"
+KPI_COLUMNS = ("total_transactions", "total_payments", "total_reversals", "total_withdrawals",
+               "total_amount", "average_amount", "reversed_amount", "total_rejected_transactions")
+METRIC_COLUMNS = ("historical_transactions", "historical_reversals", "historical_amount",
+                  "average_reversal_rate", "maximum_risk_score", "active_days")
 # ---------------------------------------------------------------------------
 
 
@@ -94,9 +98,7 @@ def kpis_from_partials(partials: DataFrame, with_timestamp: bool = True) -> Data
 
 
 def _derive(kpis: DataFrame, with_timestamp: bool) -> DataFrame:
-    kpis = kpis.select(*KPI_KEYS, "total_transactions", "total_payments", "total_reversals",
-                       "total_withdrawals", "total_amount", "average_amount", "reversed_amount",
-                       "total_rejected_transactions")
+    kpis = kpis.select(*KPI_KEYS, *KPI_COLUMNS)
     kpis = kpis.withColumn("reversal_rate",
                            reversal_rate(F.col("total_payments"), F.col("total_reversals")))
     kpis = kpis.withColumn("risk_score",
@@ -116,14 +118,10 @@ def daily_kpis(tx: DataFrame, with_timestamp: bool = True) -> DataFrame:
 def merchant_metrics(kpis: DataFrame) -> DataFrame:
     """Per-merchant roll-up of the KPI table (amounts summed across currencies,
     unweighted mean of group rates, distinct active dates)."""
+    measures = (F.sum("total_transactions"), F.sum("total_reversals"), F.sum("total_amount"),
+                F.avg("reversal_rate"), F.max("risk_score"), F.count_distinct("transaction_date"))
     return kpis.groupBy("merchant_id").agg(
-        F.sum("total_transactions").alias("historical_transactions"),
-        F.sum("total_reversals").alias("historical_reversals"),
-        F.sum("total_amount").alias("historical_amount"),
-        F.avg("reversal_rate").alias("average_reversal_rate"),
-        F.max("risk_score").alias("maximum_risk_score"),
-        F.count_distinct("transaction_date").alias("active_days"),
-    )
+        *[m.alias(name) for m, name in zip(measures, METRIC_COLUMNS)])
 
 
 def merchant_risk_summary(kpis: DataFrame, merchants: DataFrame,

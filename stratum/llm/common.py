@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,11 +26,37 @@ def scratch_uri(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/stratum-llm/{name}-{uuid.uuid4().hex[:12]}"
 
 
+# Tables written since ``settled`` began, while it runs.
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
-    """Cut the lineage: write to the shared folder and read back (compressed, columnar)."""
+    """Cut the lineage: write to the shared folder and read back (compressed, columnar).
+
+    The table stays as long as a result may read it; see ``settled``.
+    """
     spark = df.sparkSession
     uri = scratch_uri(spark, name)
     df.write.parquet(uri)
+    made = _made.get()
+    if made is not None:
+        made.append(uri)
+    return spark.read.schema(df.schema).parquet(uri)
+
+
+def settled(spark: SparkSession, make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """The written result of ``make()``, whose own intermediate tables are removed then."""
+    token = _made.set([])
+    try:
+        df = make()
+        inner = _made.get() or []
+        uri = scratch_uri(spark, name)
+        df.write.parquet(uri)
+    finally:
+        _made.reset(token)
+    for table in inner:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
     return spark.read.schema(df.schema).parquet(uri)
 
 

@@ -77,3 +77,21 @@ def test_stages_on_an_empty_table(spark):
         out = stage(spark, docs, "/root/testdata/sf0.001")
         assert out.count() == 0
         assert out.columns == docs.columns + (["copy"] if name == "mix_sources" else [])
+
+
+def test_a_settled_result_leaves_no_tables_behind(spark):
+    import os
+
+    from stratum.llm.common import settled
+    folders = []
+
+    def make():
+        a = written(spark.range(5).toDF("x"), "inner")
+        folders.extend(f.rsplit("/", 1)[0].removeprefix("file:") for f in a.inputFiles())
+        return written(a.where("x > 1"), "inner").where("x > 2")
+
+    out = settled(spark, make, "outer")
+    assert sorted(r.x for r in out.collect()) == [3, 4]
+    assert folders and not any(os.path.exists(f.replace("//", "/")) for f in folders)
+    kept = written(spark.range(2).toDF("x"), "kept")
+    assert kept.count() == 2

@@ -6,10 +6,12 @@ all but the last return the columns of ``documents``.
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 
 from stratum.llm import decontaminate, jaccard_join, mixing, secrets, toxicity
-from stratum.llm.common import read_table, written
+from stratum.llm.common import read_table, settled
 
 SECRET_MARK = "[SECRET]"
 
@@ -54,5 +56,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        # A stage's own tables go once its result is written.
+        docs = settled(spark, partial(stage, spark, docs, sf_dir), f"pipeline-{name}")
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -416,7 +416,10 @@ def stars_of_none(rows: DataFrame) -> DataFrame:
 
 
 def _of_items(lists: DataFrame, items: DataFrame) -> DataFrame:
-    return lists.join(items.select("_item"), "_item", "left_semi").select(*lists.columns)
+    """The rows of the lists of ``items``.  What is joined to lists is written first: a join of
+    plain shuffles is split where a list is long, one with an aggregate inside is not."""
+    items = written(items.select("_item"), "items")
+    return lists.join(items, "_item", "left_semi").select(*lists.columns)
 
 
 def _open_lists(lists: DataFrame, labels: DataFrame) -> DataFrame:
@@ -442,13 +445,15 @@ def _stars(lists: DataFrame, first: bool) -> DataFrame:
     if not first:
         # The pivot of a later round is outside the list's largest component.
         size = lists.groupBy("_item", "_label").agg(F.count(F.lit(1)).alias("_k"))
-        main = size.groupBy("_item").agg(F.max(F.struct("_k", "_label")).alias("_m"))
+        main = written(size.groupBy("_item").agg(F.max(F.struct("_k", "_label")).alias("_m")),
+                       "main-components")
         pool = lists.join(main, "_item").where("_label <> _m._label")
     pick = F.struct("_common", (-F.col("_n")).alias("_minus"), "_id", "_n", "_most", "_at",
                     "_label")
     pivot = pool.groupBy("_item").agg(F.max(pick).alias("_p")).select(
         "_item", *[F.col(f"_p.{c}").alias(f"p{c}") for c in ("_id", "_n", "_most", "_at",
                                                              "_label")])
+    pivot = written(pivot, "pivots")
     return (lists.join(pivot, "_item").where(f"_label <> p_label AND {may_link('', 'p')}")
             .select(F.col("p_id").alias("a"), F.col("_id").alias("b")).distinct())
 

@@ -41,6 +41,7 @@ from stratum.llm.common import written
 STEM = 4          # bytes of a word's stem
 MARGIN = 0.02     # keeps an equal example from outvoting all others
 BLOCK = 64        # examples per block
+FREQUENT = 16     # a term in more than 1 / FREQUENT of the examples is frequent
 LEAST_Z = 3.0     # difference of the two labels' rates, in standard errors
 LEAST_DOCS = 3    # examples with a term; below, the standard error says nothing
 EVIDENCE = 3
@@ -97,6 +98,14 @@ class BlockMaxIndex:
         self.cell_max = np.maximum.reduceat(self.weight, first) if len(cell) else self.weight
         self.term_cell = np.searchsorted(cell[first] // max(1, self.n_blocks),
                                          np.arange(n_terms + 1))
+        # The lists of frequent terms are kept as rows over all examples: read faster.
+        df = np.bincount(term, minlength=n_terms)
+        frequent = np.flatnonzero(df * FREQUENT > max(1, self.n))
+        self.row_of = np.full(n_terms, -1, np.int64)
+        self.row_of[frequent] = np.arange(len(frequent))
+        self.rows = np.zeros((len(frequent), self.n_blocks * BLOCK))
+        mine = self.row_of[term] >= 0
+        self.rows[self.row_of[term[mine]], self.slot[mine]] = self.weight[mine]
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int,
                 skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
@@ -106,21 +115,29 @@ class BlockMaxIndex:
         if not len(cells):
             return np.empty(0, np.int64), np.empty(0)
         w = np.repeat(weights, hi - lo)
+        row = self.row_of[terms]
+        listed = np.repeat(row < 0, hi - lo)
+        rows, row_w = row[row >= 0], weights[row >= 0]
         blocks = self.cell_block[cells]
         bound = np.bincount(blocks, w * self.cell_max[cells], self.n_blocks)
         visit = np.argsort(-bound, kind="stable")
         visit = visit[bound[visit] > 0]
         rank = np.full(self.n_blocks, len(visit), np.int64)
         rank[visit] = np.arange(len(visit))
-        place = rank[blocks]
+        # Cells of lists in the order in which their blocks are visited.
+        cells, w, place = cells[listed], w[listed], rank[blocks[listed]]
+        by = np.argsort(place, kind="stable")
+        cells, w, place = cells[by], w[by], place[by]
         found_s, found_c, kth = np.empty(0, np.int64), np.empty(0), 0.0
         at, step = 0, max(16, -(-2 * k // BLOCK))
         while at < len(visit) and (len(found_s) < k or bound[visit[at]] >= kth - 1e-12):
-            mine = (place >= at) & (place < at + step)
-            start, stop = self.cell_start[cells[mine]], self.cell_start[cells[mine] + 1]
+            a, b = np.searchsorted(place, [at, at + step])
+            start, stop = self.cell_start[cells[a:b]], self.cell_start[cells[a:b] + 1]
             post = _ranges(start, stop)
-            score = np.bincount(self.slot[post], np.repeat(w[mine], stop - start)
-                                * self.weight[post], self.n)
+            score = np.bincount(self.slot[post], np.repeat(w[a:b], stop - start)
+                                * self.weight[post], self.n).astype(float, copy=False)
+            if len(rows):
+                self._add_rows(score, rows, row_w, visit[at:at + step])
             if skip >= 0:
                 score[self.slot_of[skip]] = 0.0
             # Only what can stay among the best k (ties included) is ordered.
@@ -132,10 +149,30 @@ class BlockMaxIndex:
             best = np.lexsort((self.order[found_s], -found_c))[:k]
             found_s, found_c = found_s[best], found_c[best]
             kth = found_c[-1] if len(found_c) else 0.0
-            at, step = at + step, step * 2
+            at += step
+            # Then all blocks that can still hold one of the best, at once.
+            step = (int(np.searchsorted(-bound[visit], -(kth - 1e-12), "right")) - at
+                    if len(found_s) == k else 2 * step)
+            step = max(step, 1)
         return self.order[found_s], np.minimum(found_c, 1.0)
 
 
+    def _add_rows(self, score: np.ndarray, rows: np.ndarray, weights: np.ndarray,
+                  blocks: np.ndarray) -> None:
+        """Add what the frequent terms give to the examples of some blocks."""
+        if 2 * len(blocks) > self.n_blocks:
+            full = np.zeros(len(self.rows))
+            full[rows] = weights
+            part = full @ self.rows
+            seen = np.zeros(self.n_blocks, bool)
+            seen[blocks] = True
+            score += np.where(np.repeat(seen, BLOCK), part, 0.0)[:self.n]
+            return
+        slots = (blocks[:, None] * BLOCK + np.arange(BLOCK)).ravel()
+        slots = slots[slots < self.n]
+        score[slots] += weights @ self.rows[np.ix_(rows, slots)]
+
+
 def _ranges(lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
     """lo[0]..hi[0]-1, lo[1]..hi[1]-1, ..."""
     n = hi - lo

@@ -300,8 +300,10 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str
     n = known.count()
     if n > max_train:
         share = -(-max_train * (1 << 62) // n)          # never 0, however many labels
-        draw = F.xxhash64(F.lit(seed), F.col("_id").cast("string")).bitwiseAND(
-            F.lit((1 << 62) - 1))
+        # The low 20 bits of the hash lead, 42 further ones refine them.
+        h = F.xxhash64(F.lit(seed), F.col("_id").cast("string"))
+        draw = F.shiftleft(h.bitwiseAND(F.lit((1 << 20) - 1)), 42).bitwiseOR(
+            F.shiftrightunsigned(h, 20).bitwiseAND(F.lit((1 << 42) - 1)))
         known = known.where(draw < F.lit(share))
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     rows = docs.select(F.col(f"`{id_col}`").alias("_id"), text.alias("_text"))

@@ -122,3 +122,15 @@ def test_levels_stay_few(spark):
     placed = warc._placed(facts, cells)
     assert placed.count() == 3000
     assert placed.groupBy("_shard").sum("_size").agg({"sum(_size)": "max"}).first()[0] <= 40_000
+
+
+def test_copies_of_one_record_are_a_leaf_at_once(spark):
+    from pyspark.sql import functions as F
+    facts = spark.range(500).select(
+        F.lit(5).cast("long").alias("_id"), F.sha2(F.lit("x"), 256).alias("_digest"),
+        F.lit(1000).alias("_size"))
+    far = spark.range(2).selectExpr("id * 9000000000000000 AS _id", "sha2('y', 256) AS _digest",
+                                    "1000 AS _size")
+    cells = warc.cells_of(facts.unionByName(far), 20_000)
+    assert len(cells.levels) <= 3 and max(cells.split.values()) == 25
+    assert warc._placed(facts.unionByName(far), cells).count() == 502
